@@ -15,6 +15,7 @@ from eventmetrics.plans import (
     metrics,
     prepare_events,
     quality_report,
+    refresh_aggregates,
     run_batch,
     run_stream,
 )
@@ -65,6 +66,7 @@ __all__ = [
     "read_event_lake",
     "read_event_stream",
     "read_events",
+    "refresh_aggregates",
     "replace_aggregates",
     "run_batch",
     "run_stream",

@@ -8,7 +8,6 @@ something to do.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventmetrics.functions import lookback
 from eventmetrics.functions.filters import AsOf
@@ -19,26 +18,29 @@ COUNTRIES = (
     "US", "GB", "DE", "FR", "CA", "AU", "IN", "BR", "JP", "MX",
     "ES", "IT", "NL", "SE", "SG", "KR", "PL", "TR", "ZA", "AR",
 )
+# The table as it is given.
+TABLE_SCHEMA = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING"
+)
 # The table's last event is on 2024-01-30; "now" for every look-back.
 AS_OF = "2024-01-31 00:00:00"
 
 
 def std_events(events: DataFrame) -> DataFrame:
     """Rows of `events` in the event schema."""
-    def pick(values, index):
-        return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-    kind = F.col("event_type")
-    return events.select(
-        F.when(F.col("event_id") % 97 != 0, F.col("user_id").cast("string")).alias("user_id"),
-        F.when(kind == "view", "page_view").when(kind == "click", "search")
-        .when(kind == "signup", "add_to_cart").otherwise(kind).alias("event_type"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-        F.concat(F.lit("s"), F.col("user_id") % 1000).alias("session_id"),
-        pick(DEVICES, F.col("event_id") % 3).alias("device"),
-        F.concat(F.lit("/p/"), F.get_json_object("props", "$.k")).alias("page"),
-        pick(COUNTRIES, F.col("user_id") % 20).alias("country"),
-        F.when(F.col("event_id") % 10 >= 7, F.col("value")).alias("amount"),
+    devices = ", ".join(f"'{d}'" for d in DEVICES)
+    countries = ", ".join(f"'{c}'" for c in COUNTRIES)
+    return events.selectExpr(
+        "CASE WHEN event_id % 97 <> 0 THEN CAST(user_id AS STRING) END AS user_id",
+        """CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'search'
+                WHEN 'signup' THEN 'add_to_cart' ELSE event_type END AS event_type""",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS timestamp",
+        "'s' || (user_id % 1000) AS session_id",
+        f"get(array({devices}), CAST(event_id % 3 AS INT)) AS device",
+        "'/p/' || get_json_object(props, '$.k') AS page",
+        f"get(array({countries}), CAST(user_id % 20 AS INT)) AS country",
+        "CASE WHEN event_id % 10 >= 7 THEN value END AS amount",
     )
 
 
@@ -50,7 +52,7 @@ def read_std_events(spark: SparkSession, sf_dir: str, time_window: str | None =
     loses nothing, and the raw time column lets Parquet skip row groups, which a filter on the
     window start cannot.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     if time_window is not None:
         events = lookback(events, time_window, as_of, column="ts")
     return std_events(events)

@@ -1,5 +1,5 @@
 from eventmetrics.plans import metrics
-from eventmetrics.plans.jobs import prepare_events, run_batch, run_stream
+from eventmetrics.plans.jobs import prepare_events, refresh_aggregates, run_batch, run_stream
 from eventmetrics.plans.quality import (
     assert_quality,
     check_freshness,
@@ -16,6 +16,7 @@ __all__ = [
     "metrics",
     "prepare_events",
     "quality_report",
+    "refresh_aggregates",
     "run_batch",
     "run_stream",
 ]

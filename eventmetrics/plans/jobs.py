@@ -10,9 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmetrics.operators import clean_events, enrich_events, window_aggregations
 from eventmetrics.operators.windows import USER_BUCKETS
 from eventmetrics.schema import WINDOW_DURATION
-from eventmetrics.sources import decode_events, read_event_lake
-from eventmetrics.streaming import replace_aggregates, write_aggregate_log, write_event_lake
+from eventmetrics.sources import decode_events, read_aggregate_log, read_event_lake
+from eventmetrics.sources.aggregates import Target
+from eventmetrics.streaming import (
+    latest_aggregates,
+    replace_aggregates,
+    write_aggregate_log,
+    write_event_lake,
+)
 from eventmetrics.streaming.sinks import EVERY_30_SECONDS
+POLL_SECONDS = 5
 
 
 def prepare_events(source: DataFrame) -> DataFrame:
@@ -58,17 +65,30 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     ]
     if wait:
         bounded = "availableNow" in trigger or "once" in trigger
-        _await(spark, queries, bounded)
+        _await(queries, bounded)
     return queries
 
 
-def _await(spark: SparkSession, queries: list[StreamingQuery], bounded: bool) -> None:
+def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = None) -> DataFrame:
+    """Load the newest state of `out`/aggregate_log into a serving table and return it.
+
+    The table is `out`/aggregates or a database table. Between refreshes,
+    `latest_aggregates(read_aggregate_log(...))` answers the same queries from the log itself;
+    look-backs reach its scan too.
+    """
+    log = read_aggregate_log(spark, f"{out}/aggregate_log")
+    return replace_aggregates(latest_aggregates(log), target or f"{out}/aggregates")
+
+
+def _await(queries: list[StreamingQuery], bounded: bool) -> None:
+    # Each query is asked itself: the session's own wait would also end with anybody else's.
     try:
-        if bounded:
-            for query in queries:
-                query.awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        if not bounded:
+            while all(query.isActive for query in queries):
+                queries[0].awaitTermination(POLL_SECONDS)
+        for query in queries:
+            if bounded or not query.isActive:
+                query.awaitTermination()  # raises the error it failed with
     finally:
         for query in queries:
             if query.isActive:

@@ -101,17 +101,22 @@ def events_over_time(aggregates: DataFrame, time_window: str = DEFAULT_TIME_WIND
 def event_type_distribution(aggregates: DataFrame, time_window: str = DEFAULT_TIME_WINDOW,
                             country: str = ALL, as_of: AsOf = None) -> DataFrame:
     """Events, users and revenue per event type, most events first."""
-    return (_selected(aggregates, time_window, as_of, country=country)
-            .groupBy("event_type").agg(_events(), _users(), _revenue())
+    return (_per_event_type(aggregates, time_window, country, as_of)
             .orderBy(F.desc("event_count"), "event_type"))
 
 
+def _per_event_type(aggregates: DataFrame, time_window: str, country: str,
+                    as_of: AsOf) -> DataFrame:
+    return (_selected(aggregates, time_window, as_of, country=country)
+            .groupBy("event_type").agg(_events(), _users(), _revenue()))
+
+
 def event_type_share(aggregates: DataFrame, time_window: str = DEFAULT_TIME_WINDOW,
                      country: str = ALL, as_of: AsOf = None) -> DataFrame:
     """Each event type's percentage of all events, with the grand total."""
     # The window sees one row per event type, never the aggregates themselves.
     total = F.sum("event_count").over(W.partitionBy())
-    return (event_type_distribution(aggregates, time_window, country, as_of)
+    return (_per_event_type(aggregates, time_window, country, as_of)
             .select("event_type", "event_count", total.alias("total_events"))
             .withColumn("percent", 100.0 * F.col("event_count") / F.col("total_events"))
             .orderBy(F.desc("event_count"), "event_type"))

@@ -83,11 +83,13 @@ def decode_events(df: DataFrame) -> DataFrame:
     """JSON in `value` (bytes or text) to event columns.
 
     Malformed or NULL text gives a row of NULLs, a mistyped field a NULL; unknown keys are
-    ignored. Spark parses only the fields that the rest of the query uses.
+    ignored.
+
+    `inline` makes the parsed fields the output of a generator. A plain projection would be
+    inlined into the filters on its fields, and every message parsed once per such field.
     """
-    return df.select(
-        F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event")
-    ).select("event.*")
+    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    return df.select(F.inline(F.array(event)))
 
 
 def encode_events(df: DataFrame) -> DataFrame:

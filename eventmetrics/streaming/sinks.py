@@ -55,8 +55,12 @@ def write_aggregate_log(df: DataFrame, path: str, checkpoint: str,
     """Append each micro-batch's changed aggregates to a log, in a folder of their own.
 
     A micro-batch may run again after a failure. It then replaces its own folder, so nothing
-    is counted twice. An empty micro-batch writes nothing.
+    is counted twice. An empty micro-batch writes nothing; the log is there from the start, as
+    a folder without rows.
     """
+    empty = df.sparkSession.createDataFrame([], AGGREGATE_LOG_SCHEMA).drop("batch_id")
+    empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = _log_rows(batch).drop("batch_id").persist()
         try:
