@@ -19,7 +19,12 @@ from eventmetrics.plans import (
     run_batch,
     run_stream,
 )
-from eventmetrics.schema import AGGREGATE_SCHEMA, EVENT_SCHEMA, EVENT_TYPES
+from eventmetrics.schema import (
+    AGGREGATE_LOG_SCHEMA,
+    AGGREGATE_SCHEMA,
+    EVENT_SCHEMA,
+    EVENT_TYPES,
+)
 from eventmetrics.session import build_session
 from eventmetrics.sources import (
     decode_events,
@@ -42,6 +47,7 @@ from eventmetrics.streaming import (
 )
 
 __all__ = [
+    "AGGREGATE_LOG_SCHEMA",
     "AGGREGATE_SCHEMA",
     "EVENT_SCHEMA",
     "EVENT_TYPES",

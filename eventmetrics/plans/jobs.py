@@ -57,15 +57,21 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     trigger = trigger or EVERY_30_SECONDS
     events = prepare_events(source)
     aggregates = window_aggregations(events, duration, distinct, watermark, user_buckets)
-    queries = [
-        write_event_lake(events, f"{out}/events", f"{out}/checkpoints/events", trigger),
-        write_aggregate_log(
+    output_mode = "append" if distinct == "two_level" else "update"
+    queries = []
+    try:
+        queries.append(write_event_lake(
+            events, f"{out}/events", f"{out}/checkpoints/events", trigger))
+        queries.append(write_aggregate_log(
             aggregates, f"{out}/aggregate_log", f"{out}/checkpoints/aggregate_log", trigger,
-            "append" if distinct == "two_level" else "update"),
-    ]
+            output_mode))
+        if wait:
+            _await(queries, bounded="availableNow" in trigger or "once" in trigger)
+    except BaseException:
+        _stop(queries)
+        raise
     if wait:
-        bounded = "availableNow" in trigger or "once" in trigger
-        _await(queries, bounded)
+        _stop(queries)
     return queries
 
 
@@ -82,14 +88,15 @@ def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = No
 
 def _await(queries: list[StreamingQuery], bounded: bool) -> None:
     # Each query is asked itself: the session's own wait would also end with anybody else's.
-    try:
-        if not bounded:
-            while all(query.isActive for query in queries):
-                queries[0].awaitTermination(POLL_SECONDS)
-        for query in queries:
-            if bounded or not query.isActive:
-                query.awaitTermination()  # raises the error it failed with
-    finally:
-        for query in queries:
-            if query.isActive:
-                query.stop()
+    if not bounded:
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(POLL_SECONDS)
+    for query in queries:
+        if bounded or not query.isActive:
+            query.awaitTermination()  # raises the error it failed with
+
+
+def _stop(queries: list[StreamingQuery]) -> None:
+    for query in queries:
+        if query.isActive:
+            query.stop()
