@@ -49,7 +49,8 @@ def _parser() -> argparse.ArgumentParser:
 
     peek = command("peek", "show the first events of a source", source=True, out=False)
     peek.add_argument("--rows", type=int, default=5)
-    peek.add_argument("--order-by", nargs="+", default=["partition", "offset"])
+    peek.add_argument("--order-by", nargs="+", metavar="COLUMN",
+                      help="order all messages first, such as by partition offset")
     return parser
 
 

@@ -107,13 +107,16 @@ def write_events(df: DataFrame, fmt: str = "kafka", options: Mapping[str, str] |
 
 
 def peek_events(df: DataFrame, n: int = 5,
-                order_by: Sequence[str | Column] = ("partition", "offset")) -> DataFrame:
-    """The first n events in the given order, decoded if they are messages.
+                order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """The first n events, decoded if they are messages.
 
-    The order and limit run as one top-k: each task keeps n rows, and n rows meet at the end.
+    As they come, tasks stop reading as soon as n have been found. With `order_by`, such as
+    partition and offset, it is one top-k over all of them: each task keeps n rows.
     """
-    first = df.orderBy(*order_by).limit(n)
-    return decode_events(first) if "value" in df.columns else first
+    if order_by:
+        df = df.orderBy(*order_by).limit(n)
+    events = decode_events(df) if "value" in df.columns else df
+    return events if order_by else events.limit(n)
 
 
 def read_event_lake(spark: SparkSession, path: str) -> DataFrame:

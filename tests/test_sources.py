@@ -69,7 +69,16 @@ def test_peek_takes_the_first_messages_in_order(spark):
     messages = spark.createDataFrame(
         [(json.dumps({"user_id": f"u{i}"}), 0, i) for i in range(20)],
         "value string, partition int, offset long").repartition(4)
-    assert [r["user_id"] for r in peek_events(messages).collect()] == [f"u{i}" for i in range(5)]
+    first = peek_events(messages, order_by=["partition", "offset"])
+    assert [r["user_id"] for r in first.collect()] == [f"u{i}" for i in range(5)]
+
+
+def test_peek_stops_reading_once_it_has_enough(spark):
+    messages = spark.range(0, 1000, 1, 100).selectExpr(
+        "to_json(named_struct('user_id', string(id))) AS value")
+    first = peek_events(messages)
+    assert [r["user_id"] for r in first.collect()] == ["0", "1", "2", "3", "4"]
+    assert "CollectLimit 5" in first._jdf.queryExecution().executedPlan().toString()
 
 
 def test_peek_at_a_table_is_a_top_k(spark, std):
