@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import eventmetrics as em
 from eventmetrics import metrics
 from eventmetrics.fixtures import AS_OF, read_std_events
-from eventmetrics.functions import as_results, clock_label, compact_number, time_bucket
+from eventmetrics.functions import as_results, clock_label, compact_number
 from eventmetrics.session import pin_time_zone, scratch_dir
 
 TESTDATA = "/root/testdata"

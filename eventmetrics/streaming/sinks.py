@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampType
 
 from eventmetrics.operators.windows import added_up
 from eventmetrics.schema import AGGREGATE_KEY, AGGREGATE_LOG_SCHEMA, AGGREGATE_SCHEMA, MEASURES
@@ -14,7 +15,6 @@ from eventmetrics.sources.aggregates import (
     COLUMN_TYPES,
     Target,
     jdbc_options,
-    read_aggregate_log,
     read_aggregates,
 )
 
@@ -152,10 +152,20 @@ def write_aggregates_jdbc(df: DataFrame, url: str, table: str | None = None,
     _to_database(_serving_rows(df), target | ({"dbtable": table} if table else {}), "append")
 
 
+def database_rows(df: DataFrame) -> DataFrame:
+    """The rows with times as they go into columns of type TIMESTAMP, which have no zone.
+
+    Without the cast a database would get the time of day in the zone of the writing JVM.
+    """
+    times = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
+             if isinstance(f.dataType, TimestampType)}
+    return df.withColumns(times)
+
+
 def _to_database(rows: DataFrame, target: Mapping[str, str], mode: str) -> None:
     options = {
         "createTableColumnTypes": COLUMN_TYPES,
         "numPartitions": str(DATABASE_WRITERS),
         **jdbc_options(target),
     }
-    rows.write.format("jdbc").options(**options).mode(mode).save()
+    database_rows(rows).write.format("jdbc").options(**options).mode(mode).save()

@@ -27,3 +27,22 @@ def test_approximate_counts_have_the_right_groups(spark):
     approximate = contract.queries()["windowed_aggregates_6h_approx"](spark, SF_DIR)
     _, rows = run_sql(SQL["windowed_aggregates_6h"], SF_DIR)
     assert approximate.count() == len(rows)
+
+
+RUNS_A_JOB = {"text_round_trip", "event_lake", "serving_table", "batch_job", "compacted_log"}
+
+
+@pytest.mark.parametrize("name", sorted(
+    n for n in contract.queries() if n not in RUNS_A_JOB and not n.startswith("stream_")))
+def test_plans_stay_in_the_engine_and_join_nothing(spark, name):
+    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for slow in ("EvalPython", "InPandas", "InArrow", "Cartesian", "NestedLoop", "Broadcast",
+                 "SortAggregate"):
+        assert slow not in plan
+    assert plan.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["kpi_summary", "events_over_time_1h", "top_countries_purchase"])
+def test_look_backs_reach_the_scan_of_the_events(spark, name):
+    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2024-01-" in plan.split("PushedFilters:")[1]

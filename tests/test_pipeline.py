@@ -12,7 +12,7 @@ import eventmetrics as em
 from eventmetrics import metrics
 from eventmetrics.__main__ import main
 from eventmetrics.session import scratch_dir
-from eventmetrics.streaming.sinks import AVAILABLE_NOW
+from eventmetrics.streaming.sinks import AVAILABLE_NOW, database_rows
 from tests.conftest import rows_of
 
 LONG = "7 days"  # so that most groups get events from every slice
@@ -138,6 +138,23 @@ def test_serving_table_is_replaced_and_pushes_filters_down(spark, std, tmp_path)
     assert "GreaterThanOrEqual(window_start,2024-01-30" in pushed
 
 
+def test_database_rows_hold_utc_without_a_zone(spark, std):
+    rows = database_rows(em.window_aggregations(std))
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    assert types["window_start"] == types["window_end"] == "timestamp_ntz"
+    assert types["total_revenue"] == "decimal(28,2)"
+
+
+def test_a_database_without_its_driver_says_so(spark, std):
+    target = {"url": "jdbc:postgresql://localhost/none", "driver": "org.postgresql.Driver"}
+    aggregates = em.window_aggregations(std)
+    for write in (lambda: em.replace_aggregates(aggregates, target),
+                  lambda: em.write_aggregates_jdbc(aggregates, target["url"], props=target),
+                  lambda: em.read_aggregates(spark, target)):
+        with pytest.raises(Exception, match="org.postgresql.Driver"):
+            write()
+
+
 # --- Streams -----------------------------------------------------------------------------
 
 
@@ -245,6 +262,19 @@ def test_look_backs_reach_the_scan_of_the_log(spark):
     assert "SortAggregate" not in kpis._jdf.queryExecution().executedPlan().toString()
 
 
+def test_no_state_row_holds_a_whole_hot_group(spark, topic, tmp_path):
+    folder, send = topic
+    event = {"event_type": "search", "timestamp": "2024-06-01T00:00:00", "country": "US"}
+    for half in (range(0, 1500), range(500, 2000)):  # a third of the users come twice
+        send("\n".join(json.dumps({**event, "user_id": f"u{i}"}) for i in half))
+    run(spark, folder, tmp_path, user_buckets=8)
+    newest = log_of(spark, tmp_path).filter("batch_id = 1")
+    assert newest.count() == 8
+    assert newest.agg(F.max("unique_users")).first()[0] < 2000 / 4
+    whole = em.latest_aggregates(log_of(spark, tmp_path)).first()
+    assert (whole["event_count"], whole["unique_users"]) == (3000, 2000)
+
+
 def test_two_level_counts_equal_batch_once_windows_have_closed(spark, topic, tmp_path, expected):
     folder, send = topic
     sentinel = {"user_id": "z", "event_type": "search", "timestamp": "2100-01-01T00:00:00"}

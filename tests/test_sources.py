@@ -46,6 +46,12 @@ def test_encoding_writes_nulls_and_round_trips(four_rows):
     assert rows_of(decode_events(encoded)) == rows_of(four_rows)
 
 
+def test_only_some_events_carry_an_amount(std):
+    amounts = [json.loads(r["value"])["amount"] for r in encode_events(std).collect()]
+    assert any(a is None for a in amounts)
+    assert any(a is not None for a in amounts)
+
+
 def test_each_message_is_parsed_once(std):
     plan = clean_events(decode_events(encode_events(std)))._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("from_json") == 1
