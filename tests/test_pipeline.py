@@ -55,7 +55,16 @@ def stream_of(spark, folder):
     return em.read_event_stream(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"})
 
 
-def run(spark, folder, out, **how):
+def run(spark, folder, out, distinct="set", log="aggregate_log", **how):
+    """Only the aggregates of the pipeline, which most tests here are about."""
+    aggregates = em.window_aggregations(
+        em.prepare_events(stream_of(spark, folder)), LONG, distinct, **how)
+    em.write_aggregate_log(
+        aggregates, f"{out}/{log}", f"{out}/checkpoints/aggregate_log", AVAILABLE_NOW,
+        "append" if distinct == "two_level" else "update").awaitTermination()
+
+
+def run_both(spark, folder, out, **how):
     return em.run_stream(spark, stream_of(spark, folder), str(out), LONG,
                          trigger=AVAILABLE_NOW, **how)
 
@@ -158,19 +167,34 @@ def test_a_database_without_its_driver_says_so(spark, std):
 # --- Streams -----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("buckets", [1, 32])
-def test_stream_equals_batch(spark, topic, tmp_path, expected, std, buckets):
+def test_both_outputs_of_a_stream_equal_batch(spark, topic, tmp_path, expected, std):
     folder, send = topic
     send(0, 1, 2, 3)
-    run(spark, folder, tmp_path, user_buckets=buckets)
-    log = log_of(spark, tmp_path)
-    assert log.select("batch_id").distinct().count() == 4
-    assert plain(em.latest_aggregates(log)) == expected
+    run_both(spark, folder, tmp_path)
+    assert plain(em.latest_aggregates(log_of(spark, tmp_path))) == expected
+    assert plain(em.refresh_aggregates(spark, str(tmp_path))) == expected
+    assert plain(em.read_aggregates(spark, f"{tmp_path}/aggregates")) == expected
     assert rows_of(em.read_event_lake(spark, f"{tmp_path}/events")) == rows_of(
         em.prepare_events(std))
-    # Rows of one key, written by several batches, must not be added up.
-    assert log.agg(F.sum("event_count")).first()[0] > sum(
-        r["event_count"] for r in em.latest_aggregates(log).collect())
+
+
+@pytest.mark.parametrize("how", [
+    {"user_buckets": 1}, {"user_buckets": 32}, {"distinct": "approx"}])
+def test_rows_of_one_key_are_not_added_up(spark, topic, tmp_path, expected, how):
+    folder, send = topic
+    send(0, 1, 2, 3)
+    run(spark, folder, tmp_path, **how)
+    log, latest = log_of(spark, tmp_path), em.latest_aggregates(log_of(spark, tmp_path))
+    assert log.select("batch_id").distinct().count() == 4
+    if "distinct" in how:  # sketched users differ, the rest does not
+        without = [c for c in latest.columns if c not in ("unique_users", "created_at")]
+        order = sorted([*without, "unique_users"]).index("unique_users")
+        assert rows_of(latest.select(without)) == sorted(
+            row[:order] + row[order + 1:] for row in expected)
+    else:
+        assert plain(latest) == expected
+    once = latest.agg(F.sum("event_count")).first()[0]
+    assert log.agg(F.sum("event_count")).first()[0] > once
 
 
 def test_events_in_any_order_of_time_are_counted(spark, topic, tmp_path, expected):
@@ -231,10 +255,7 @@ def test_compaction_keeps_the_state_and_the_stream_goes_on(spark, topic, tmp_pat
     assert {r[0] for r in compacted.select("batch_id").distinct().collect()} == {0, last}
 
     send(3)
-    aggregates = em.window_aggregations(em.prepare_events(stream_of(spark, folder)), LONG)
-    em.write_aggregate_log(aggregates, f"{tmp_path}/compacted",
-                           f"{tmp_path}/checkpoints/aggregate_log",
-                           AVAILABLE_NOW).awaitTermination()
+    run(spark, folder, tmp_path, log="compacted")
     assert plain(em.latest_aggregates(
         em.read_aggregate_log(spark, f"{tmp_path}/compacted"))) == expected
 
@@ -245,14 +266,6 @@ def test_compacting_an_empty_log_is_refused(spark, tmp_path):
         em.compact_aggregate_log(log, str(tmp_path / "no"))
 
 
-def test_refresh_loads_the_serving_table(spark, topic, tmp_path, expected):
-    folder, send = topic
-    send(0, 1, 2, 3)
-    run(spark, folder, tmp_path)
-    assert plain(em.refresh_aggregates(spark, str(tmp_path))) == expected
-    assert plain(em.read_aggregates(spark, f"{tmp_path}/aggregates")) == expected
-
-
 def test_look_backs_reach_the_scan_of_the_log(spark):
     log = spark.createDataFrame([], em.AGGREGATE_LOG_SCHEMA)
     kpis = metrics.kpi_summary(em.latest_aggregates(log), as_of="2024-01-31")
@@ -307,8 +320,8 @@ def test_a_failing_query_stops_the_other_and_is_raised(spark, topic, tmp_path):
     folder, send = topic
     send(0)
     (tmp_path / "aggregate_log").write_text("in the way")
-    with pytest.raises(Exception):
-        run(spark, folder, tmp_path)
+    with pytest.raises(Exception, match="aggregate_log"):
+        run_both(spark, folder, tmp_path)
     assert not [q for q in spark.streams.active if str(tmp_path) in (q.name or "")]
 
 
