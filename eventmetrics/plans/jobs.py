@@ -33,8 +33,8 @@ def run_batch(spark: SparkSession, source: DataFrame, out: str,
     """Rebuild `out`/events and `out`/aggregates from a bounded source; returns the latter.
 
     The source is decoded once. The aggregates read the five columns they need back from the
-    lake. To add only what is new to an existing output, use `run_stream` with the trigger
-    `availableNow`.
+    lake. To add only what is new, use `run_stream` with the trigger `availableNow`, and a folder
+    of its own: a stream keeps a list of the lake's files, which a rebuild would not.
     """
     write_event_lake(prepare_events(source), f"{out}/events", mode="overwrite")
     aggregates = window_aggregations(read_event_lake(spark, f"{out}/events"), duration)

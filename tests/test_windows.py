@@ -1,12 +1,13 @@
 """Window aggregates in batch: every way of counting users, and awkward groups."""
 
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventmetrics import clean_events, window_aggregations
+from eventmetrics import EVENT_TYPES, clean_events, window_aggregations
 from tests.conftest import rows_of
 
 EXACT = ["exact", "set", "two_level"]
@@ -63,6 +64,44 @@ def test_unparsable_times_are_in_no_window(events):
     assert window_aggregations(events({"timestamp": "garbage"}, {})).count() == 1
 
 
+def by_hand(rows):
+    """Five-minute groups of raw events, worked out one event at a time."""
+    groups = {}
+    for r in rows:
+        if None in (r["user_id"], r["event_type"], r["timestamp"]):
+            continue
+        if r["event_type"] not in EVENT_TYPES or r["timestamp"] == "garbage":
+            continue
+        time = datetime.fromisoformat(r["timestamp"])
+        start = time.replace(minute=time.minute // 5 * 5, second=0)
+        n, users, amounts = groups.setdefault(
+            (start, r["event_type"], r["country"]), ([], set(), []))
+        n.append(1)
+        users.add(r["user_id"])
+        if r["amount"] is not None:
+            amounts.append(Decimal(str(r["amount"])))
+    return {key: (len(n), len(users), sum(amounts) if amounts else None)
+            for key, (n, users, amounts) in groups.items()}
+
+
+@pytest.mark.parametrize("distinct", EXACT)
+def test_random_events_equal_the_count_by_hand(events, distinct):
+    pick = random.Random(7).choice
+    rows = [{
+        "user_id": pick([None, "", "a", "b", "c", "d"]),
+        "event_type": pick([None, "unknown", "Purchase", *EVENT_TYPES]),
+        "timestamp": pick([None, "garbage", *(f"2026-01-15T{h}:{m:02d}:{s}" for h in (10, 23)
+                                              for m in (4, 5, 59) for s in ("00", "59"))]),
+        "country": pick([None, "", "US", "DE"]),
+        "amount": pick([None, None, 0.0, 0.1, 19.99, -5.25, 499.5]),
+    } for _ in range(2000)]
+    result = window_aggregations(clean_events(events(*rows)), distinct=distinct)
+    got = {(r["window_start"], r["event_type"], r["country"]):
+           (r["event_count"], r["unique_users"], r["total_revenue"]) for r in result.collect()}
+    assert got == by_hand(rows)
+    assert len(got) > 100
+
+
 @pytest.mark.parametrize("duration", ["5 minutes", "6 hours", "1 day"])
 def test_exact_ways_agree(std, duration):
     results = [rows_of(window_aggregations(clean_events(std), duration, distinct=d))
