@@ -31,8 +31,15 @@ AsOf = str | datetime | None
 
 
 def instant(as_of: AsOf) -> Column:
-    """A fixed time, or the time at which the query runs."""
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    """A fixed time, or the time at which the query runs.
+
+    A time without a zone is in the session's zone. Spark would take a Python object as being
+    in the zone of the driver's machine, so it goes in as text.
+    """
+    if as_of is None:
+        return F.current_timestamp()
+    text = as_of.isoformat() if isinstance(as_of, datetime) else as_of
+    return F.lit(text).cast("timestamp")
 
 
 def lookback(df: DataFrame, time_window: str = DEFAULT_TIME_WINDOW, as_of: AsOf = None,

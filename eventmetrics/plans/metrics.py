@@ -52,7 +52,7 @@ def _revenue(name: str = "revenue") -> Column:
 def _options(aggregates: DataFrame, column: str) -> DataFrame:
     values = aggregates.select(column).distinct().withColumn("rank", F.lit(1))
     # One generated row, so there is no driver-side data to ship.
-    head = aggregates.sparkSession.range(1).select(
+    head = aggregates.sparkSession.range(0, 1, 1, 1).select(
         F.lit(ALL).alias(column), F.lit(0).alias("rank"))
     return (head.unionByName(values)
             .orderBy("rank", F.asc_nulls_last(column)).select(column))
