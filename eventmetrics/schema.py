@@ -26,9 +26,10 @@ EVENT_SCHEMA = StructType(
     + [StructField("amount", DoubleType())]
 )
 
-# Money is summed as decimal so that the total does not depend on the order in which
-# partitions are merged. Eighteen digits still fit a long; their sum has type decimal(28,2).
-MONEY = DecimalType(18, 2)
+# Money is summed in whole cents, so that the total does not depend on the order in which
+# partitions are merged. An amount that does not fit NUMERIC(12,2) counts as missing; a sum of
+# cents in a long then has room for nine million amounts of the largest size.
+AMOUNT_LIMIT = 1e10
 MONEY_SUM = DecimalType(28, 2)
 
 # What identifies one aggregate.

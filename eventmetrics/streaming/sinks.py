@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
-from eventmetrics.operators.windows import added_up
-from eventmetrics.schema import AGGREGATE_KEY, AGGREGATE_LOG_SCHEMA, AGGREGATE_SCHEMA, MEASURES
+from eventmetrics.schema import (
+    AGGREGATE_KEY,
+    AGGREGATE_LOG_SCHEMA,
+    AGGREGATE_SCHEMA,
+    MEASURES,
+    MONEY_SUM,
+)
 from eventmetrics.sources.aggregates import (
     COLUMN_TYPES,
     Target,
@@ -102,7 +107,11 @@ def _newest(log: DataFrame) -> DataFrame:
 def latest_aggregates(log: DataFrame) -> DataFrame:
     """One row per key from a log: the newest row of each user bucket, added up."""
     return _newest(log).groupBy(*AGGREGATE_KEY).agg(
-        *added_up(), F.max("created_at").alias("created_at"))
+        F.sum("event_count").alias("event_count"),
+        F.sum("unique_users").alias("unique_users"),
+        F.sum("total_revenue").cast(MONEY_SUM).alias("total_revenue"),
+        F.max("created_at").alias("created_at"),
+    )
 
 
 def compact_aggregate_log(log: DataFrame, path: str) -> None:

@@ -55,9 +55,17 @@ def test_revenue_of_no_amounts_is_null(events, distinct):
 
 def test_amounts_that_are_not_money_do_not_stop_the_job(events):
     row = window_aggregations(events(
-        {"amount": 1e300}, {"amount": float("nan")}, {"amount": 12345678901.25})).first()
-    assert row["event_count"] == 3
-    assert row["total_revenue"] == Decimal("12345678901.25")
+        {"amount": 1e300}, {"amount": float("nan")}, {"amount": float("-inf")}, {"amount": 1e10},
+        {"amount": 9999999999.99}, {"amount": -0.29})).first()
+    assert row["event_count"] == 6
+    assert row["total_revenue"] == Decimal("9999999999.70")
+
+
+def test_every_amount_of_two_decimals_is_exact(spark, events):
+    amounts = spark.range(0, 2_000_000, 7).selectExpr("id", "id / 100.0D AS amount")
+    df = events({}).drop("amount").join(amounts)
+    row = window_aggregations(df).select("total_revenue").first()
+    assert row[0] == Decimal(sum(range(0, 2_000_000, 7))) / 100
 
 
 def test_unparsable_times_are_in_no_window(events):
