@@ -17,6 +17,14 @@ from eventmetrics.fixtures import AS_OF, read_std_events
 from eventmetrics.functions import as_results, clock_label, compact_number
 from eventmetrics.session import pin_time_zone, scratch_dir
 
+# The language-model operators are an optional part: without their folder the rest still works.
+try:
+    from eventmetrics.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("eventmetrics.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 TESTDATA = "/root/testdata"
 DAY = "Last 24 Hours"
 ALL_TIME = "Last 30 Days"
@@ -312,6 +320,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name, (label, _, _) in SERIES.items():
         found[name] = _metric(metrics.events_over_time, label)
+    if llm_queries:
+        found |= llm_queries.QUERIES
     return found
 
 
@@ -570,6 +580,8 @@ FROM agg GROUP BY 1""",
     }
     for name, (_, length, bucket) in SERIES.items():
         found[name] = _series_sql(length, bucket)
+    if llm_queries:
+        found |= llm_queries.ORACLE_SQL
     return found
 
 
