@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmetrics.llm.exact_dedup import duplicate_groups
+from eventmetrics.llm.near_dedup import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
