@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmetrics.llm.exact_dedup import duplicate_groups
 from eventmetrics.llm.near_dedup import near_duplicates
+from eventmetrics.llm.packing import pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +21,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL = {
