@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventmetrics.llm.decontamination import contamination
 from eventmetrics.llm.exact_dedup import duplicate_groups
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
@@ -17,6 +18,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_packing": op8_packing,
 }
