@@ -1,19 +1,21 @@
 """Near-duplicates: banded MinHash, odd sketches to check candidates, full sets to confirm links.
 
-1.  Each text becomes its set of word shingles, a MinHash signature, the hashes of the
-    signature's bands, and an odd sketch: every (sample number, sample) pair flips one of 512 bits,
-    so that samples which two texts share cancel out in the XOR of their sketches and its
-    population count tells how many samples differ.
+1.  Each text becomes its set of word shingles, the hashes of the bands of its MinHash signature,
+    and an odd sketch: up to 1,024 samples of one-permutation MinHash, the smallest hash of each
+    bin, flip one of 2,048 bits each, so that samples which two texts share cancel out in the XOR of
+    their sketches and its population count tells how many samples differ.
 2.  Texts with the same set are one class from here on, so copies cost nothing more.
 3.  Classes that share a band are a bucket. Its members are compared with a few leaders at a time,
-    four times as many in each round, until every member of another component has been compared
+    eight times as many in each round, until every member of another component has been compared
     with every other. Links found on the way join components, and members of one component need
     no further comparison; so a group of thousands of near copies takes time in proportion to its
-    size, without a cap on the size of a bucket or the number of partners.
+    size, without a cap on the size of a bucket or the number of partners. Only a bucket of texts
+    that are alike but never enough to be linked has all its sketches compared; such pairs are
+    compared inside the join and give no rows.
 4.  A pair with close sketches is a candidate; the full sets decide.
 
 With 25 bands of 5 samples a pair with a similarity of 0.85 shares no band with a probability of
-4e-7, and its sketches are further apart than the limit with a probability under 1e-8.
+4e-7, and (measured) its sketches are five standard deviations closer than the limit at least.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ from eventmetrics.llm.components import connected_components
 from eventmetrics.llm.hashing import blocks, mix, shingles
 
 WORDS = 5
-SAMPLES, BANDS, BAND_ROWS = 128, 25, 5
-SKETCH_BITS = 512
-#: Largest XOR population count of a candidate pair: the count expected for a similarity of 0.85,
-#: 36, and six standard deviations of it.
-SKETCH_LIMIT = 84
+BANDS, BAND_ROWS = 25, 5
+SAMPLES = BANDS * BAND_ROWS
+BINS, SKETCH_BITS = 1024, 2048
+DEVIATIONS = 3.5
+ROUND_FACTOR = 8
 
 _RANDOM = np.random.default_rng(3)
 _FACTORS = _RANDOM.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -60,21 +62,28 @@ def minhash(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def band_hashes(signatures: np.ndarray) -> np.ndarray:
-    parts = signatures[:, :BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS).astype(np.uint64)
+    parts = signatures.reshape(-1, BANDS, BAND_ROWS).astype(np.uint64)
     total = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2])
     for k in range(BAND_ROWS):
         total = mix(total ^ parts[:, :, k])
     return total.view(np.int64)
 
 
-def odd_sketches(signatures: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of the samples, as 64-bit words."""
-    n = len(signatures)
-    sample = np.arange(1, SAMPLES + 1, dtype=np.uint64) << np.uint64(32)
-    bit = (mix(signatures.astype(np.uint64) + sample) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    flips = np.bincount((bit + np.arange(n)[:, None] * SKETCH_BITS).ravel(),
-                        minlength=n * SKETCH_BITS)
-    return np.packbits((flips & 1).astype(np.uint8).reshape(n, SKETCH_BITS), axis=1).view(np.int64)
+def odd_sketches(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps of the sets' samples, as 64-bit words, and how many samples each has.
+
+    The values of a set are sorted, so the first of each bin (its upper bits) is its smallest.
+    """
+    n = len(counts)
+    row = np.repeat(np.arange(n), counts)
+    place = row * BINS + (values >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.ones(len(values), bool)
+    first[1:] = place[1:] != place[:-1]
+    row = row[first]
+    bit = (mix(values[first]) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    flips = np.bincount(row * SKETCH_BITS + bit, minlength=n * SKETCH_BITS)
+    parity = (flips & 1).astype(np.uint8).reshape(n, SKETCH_BITS)
+    return np.packbits(parity, axis=1).view(np.int64), np.bincount(row, minlength=n)
 
 
 def _signatures(batch: pa.RecordBatch):
@@ -82,16 +91,17 @@ def _signatures(batch: pa.RecordBatch):
         n, full = len(counts), np.flatnonzero(counts)
         set_a, set_b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         bands, sketch = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        samples = np.zeros(n, np.int64)
         if len(full):
             starts = (np.cumsum(counts) - counts)[full]
             set_a[full] = np.add.reduceat(mix(values), starts)
             set_b[full] = np.bitwise_xor.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
-            signatures = minhash(values, counts[full])
-            bands, sketch = band_hashes(signatures), odd_sketches(signatures)
+            bands = band_hashes(minhash(values, counts[full]))
+            sketch, samples[full] = odd_sketches(values, counts[full])
         has = (counts > 0).astype(np.int64)
         yield {"doc_id": batch.column(0).slice(first, n), "n_shingles": counts,
                "set_a": set_a.view(np.int64), "set_b": set_b.view(np.int64),
-               "bands": lists(bands.ravel(), has * BANDS),
+               "samples": samples, "bands": lists(bands.ravel(), has * BANDS),
                "sketch": lists(sketch.ravel(), has * (SKETCH_BITS // 64))}
 
 
@@ -101,9 +111,26 @@ def _sets(batch: pa.RecordBatch):
                "shingles": lists(values.view(np.int64), counts)}
 
 
-def _distance(a: str, b: str) -> F.Column:
-    words = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH_BITS // 64)]
-    return sum(words[1:], words[0])
+def _close(percent: int) -> F.Column:
+    """Whether the sketches of a pair are as close as those of linked texts are.
+
+    With a similarity J, a share of 1 - J of the bins differs. A bin that differs has one sample or,
+    if both texts have words in it, two that the other text lacks: `each` on average. The formulas
+    give the number of differing samples at J, add the deviations, and turn that into bits.
+    """
+    j = percent / 100
+    samples = F.col("samples_a") + F.col("samples_b")
+    smaller, larger = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    each = 2 - F.exp(-smaller / BINS)
+    differing = samples / (1 + 2 * j / (1 - j) / each)
+    left_out = 1 - F.least(F.lit(1.0), samples / 2 / larger)  # share of the sets not sampled
+    deviation = each * F.sqrt(j * differing / each * left_out + 1)
+    most = differing + DEVIATIONS * deviation + 2
+    bits = SKETCH_BITS / 2 * (1 - F.exp(-2 * most / SKETCH_BITS))
+    folding = DEVIATIONS * (2 / SKETCH_BITS) ** 0.5 * differing + 2
+    words = [F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
+             for i in range(SKETCH_BITS // 64)]
+    return sum(words[1:], words[0]) <= bits + folding
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -121,13 +148,20 @@ def _place(key: str, member: str) -> F.Column:
     return F.pmod(F.xxhash64(key, member), F.lit(1 << 30)) / float(1 << 30)
 
 
+def _sided(members: DataFrame, side: str) -> DataFrame:
+    return members.select(
+        "bucket", F.col("id").alias(side), F.col("component").alias(f"of_{side}"),
+        *[F.col(c).alias(f"{c}_{side}") for c in ("sketch", "samples", "n")])
+
+
 def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """id and component of the classes that have links."""
     spark = classes.sparkSession
     banded = classes.select(F.col("class_id").alias("id"), F.explode("bands").alias("bucket"))
     counts = banded.groupBy("bucket").agg(F.count("*").alias("members"),
                                           F.min("id").alias("first")).filter("members > 1")
-    sketches = classes.select(F.col("class_id").alias("id"), "sketch")
+    sketches = classes.select(F.col("class_id").alias("id"), "sketch", "samples",
+                              F.col("n_shingles").alias("n"))
     members = stored(banded.join(counts, "bucket"))
     ids = members.select("id").distinct()
     sketches = stored(sketches.join(ids, "id"))
@@ -137,7 +171,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
     components = spark.createDataFrame([], "id bigint, component bigint")
     links = spark.createDataFrame([], "a bigint, b bigint")
     most = members.agg(F.max("members")).first()[0] or 0
-    share, done = 0, 0.0  # leaders of a bucket so far, 0 at first: only its smallest id
+    share = 0  # leaders of a bucket so far, 0 at first: only its smallest id
     while most:
         if share == 0:
             pending = members.withColumn("component", F.col("id"))
@@ -152,15 +186,11 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
             if pending.isEmpty():
                 break
             turn = _place("bucket", "id") * F.col("members")
-            leaders = pending.filter((turn < share) & (turn >= share / 4 if share > 1 else turn >= 0))
-        left = leaders.join(sketches, "id").select(
-            "bucket", F.col("id").alias("a"), F.col("component").alias("of_a"),
-            F.col("sketch").alias("sketch_a"))
-        right = pending.join(sketches, "id").select(
-            "bucket", F.col("id").alias("b"), F.col("component").alias("of_b"),
-            F.col("sketch").alias("sketch_b"))
-        near = (left.join(right, "bucket").filter(F.col("of_a") != F.col("of_b"))
-                .filter(_distance("sketch_a", "sketch_b") <= SKETCH_LIMIT)
+            earlier = share // ROUND_FACTOR if share > ROUND_FACTOR else 0
+            leaders = pending.filter((turn < share) & (turn >= earlier))
+        near = (_sided(leaders.join(sketches, "id"), "a")
+                .join(_sided(pending.join(sketches, "id"), "b"), "bucket")
+                .filter(F.col("of_a") != F.col("of_b")).filter(_close(percent))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         found = stored(_confirmed(near, sets, percent))
         if not found.isEmpty():
@@ -179,7 +209,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
                 F.min("component").alias("component")))
         if share >= most:
             break
-        share = 1 if share == 0 else share * 4
+        share = ROUND_FACTOR if share == 0 else share * ROUND_FACTOR
     return components
 
 
@@ -199,12 +229,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signatures = stored(map_texts(
         rows, _signatures, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, "
-        "bands array<bigint>, sketch array<bigint>"))
+        "samples bigint, bands array<bigint>, sketch array<bigint>"))
     key = ["n_shingles", "set_a", "set_b"]
     known = signatures.filter("n_shingles > 0 and doc_id is not null")
     classes = stored(known.groupBy(*key).agg(
         F.min("doc_id").alias("class_id"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")))
+        F.first("sketch").alias("sketch"), F.first("samples").alias("samples")))
     components = _link_classes(classes, rows, percent)
     # A document's class, or classes if its id repeats, and then the component of the class.
     of_class = classes.select(*key, "class_id").join(
