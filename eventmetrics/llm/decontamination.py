@@ -31,8 +31,8 @@ FILTER_BITS = 1 << 27
 _ROW_BITS = 1 << 15  # of one row of bitmap_construct_agg
 #: A stretch counts if it has this many equal words, or all of a shorter passage that has
 #: SHORT_WORDS, and this share of its words is equal.
-MATCHED_WORDS, SHORT_WORDS, MATCHED_SHARE = 8, 5, 0.75
-_MISMATCH = 3.0  # what a changed word costs against equal ones when a stretch is extended
+MATCHED_WORDS, SHORT_WORDS, MATCHED_SHARE = 8, 5, 0.7
+_MISMATCH = 2.4  # what a changed word costs against equal ones when a stretch is extended
 
 
 _PLACES = np.random.default_rng(5).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
