@@ -89,8 +89,10 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         "text_sha256")
     maybe = flagged.filter("maybe")
-    groups = maybe.groupBy("text_sha256").agg(
-        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Stored, so that the join below has plain scans on both sides and Spark can split a group
+    # of very many copies over several tasks.
+    groups = stored(maybe.groupBy("text_sha256").agg(
+        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     found = maybe.join(groups, "text_sha256").select(*columns)
     return alone.unionByName(found).select(
         "doc_id", "keep_id", "group_size",
