@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from eventmetrics.llm.decontamination import contamination
 from eventmetrics.llm.exact_dedup import duplicate_groups
+from eventmetrics.llm.language_id import language_id
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
+from eventmetrics.llm.quality import quality
 from eventmetrics.llm.toxicity import toxicity
 
 
@@ -32,17 +34,27 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {

@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import crc_fold, fresh, map_texts, stored
+from eventmetrics.llm.common import crc_fold, fresh, labelled_sample, map_texts, stored
 from eventmetrics.llm.hashing import (
     FOLDED,
     PUNCTUATION,
@@ -149,24 +149,6 @@ def _with_features(rows: DataFrame, learned: np.ndarray) -> DataFrame:
                      "doc_id bigint, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
-                    limit: int) -> DataFrame:
-    """Up to `limit` labelled rows outside the held-out fold: doc_id, text and label (0 or 1).
-
-    Rows with the smallest hashed ids are taken, so the sample does not depend on the order or
-    the number of partitions. An id that is labelled several times has its largest label.
-    """
-    known = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                           F.col(label).cast("double").alias("label"))
-             .filter("doc_id is not null and label in (0.0, 1.0)")
-             .filter(crc_fold("doc_id", folds) != held_out)
-             .groupBy("doc_id").agg(F.max("label").alias("label")))
-    # At most `limit` rows of two numbers: small enough to be sent to every task.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return (docs.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-            .limit(limit).repartition(8))
-
-
 def _learned_words(sample: DataFrame) -> np.ndarray:
     """Hashes of the words that mark toxic texts of the sample most clearly."""
     word = F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))),
