@@ -76,3 +76,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     return (docs.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
             .limit(limit).repartition(8))
+
+
+#: Ids are broadcast up to this many bytes; beyond that both sides are shuffled.
+BROADCAST_BYTES = 32 << 20
+
+
+def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose `column` is (left_semi) or is not (left_anti) in the one column of `ids`.
+
+    The ids are stored and counted first. If they are few, the rows, with their texts, are not
+    shuffled.
+    """
+    key = fresh(df, "wanted_id")
+    ids = stored(ids.toDF(key).distinct())
+    if ids.count() * 16 <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    return df.join(ids, F.col(column) == F.col(key), how)

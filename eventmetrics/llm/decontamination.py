@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import fresh, lists, map_texts, stored
+from eventmetrics.llm.common import by_ids, lists, map_texts, stored
 from eventmetrics.llm.hashing import PUNCTUATION, blocks, mix
 
 #: Any eight words in a row; patterns that fit a change of every fifth and every fourth word; and one
@@ -165,10 +165,12 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
                                     F.col("place").alias("item_place")), "seed")
             .select(F.col("id").alias("doc_id"), "item_id",
                     (F.col("place") - F.col("item_place")).alias("shift")).distinct())
-    by_doc = (stored(hits).join(passages, "item_id")
+    hits = stored(hits)
+    by_doc = (hits.join(passages, "item_id")
               .groupBy("doc_id").agg(F.collect_list(
                   F.struct("item_id", "item_words", "shift")).alias("hits")))
-    both = rows.withColumnRenamed("id", "doc_id").join(by_doc, "doc_id").select(
+    texts = by_ids(rows, "id", hits.select("doc_id")).withColumnRenamed("id", "doc_id")
+    both = texts.join(by_doc, "doc_id").select(
         "doc_id", "text", "hits")
     overlaps = map_texts(both, _verify, "doc_id bigint, item_id bigint, matched bigint, "
                          "start bigint, length bigint")
@@ -196,6 +198,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                   item_text: str = "text") -> DataFrame:
     """The rows of documents that overlap no benchmark passage, with all their columns."""
     found = benchmark_overlaps(docs, benchmark, doc_id, text, item_id, item_text)
-    key = fresh(docs, "leaking_id")
-    return docs.join(found.select(F.col("doc_id").alias(key)).distinct(),
-                     F.col(doc_id) == F.col(key), "left_anti")
+    return by_ids(docs, doc_id, found.select("doc_id"), "left_anti")

@@ -6,7 +6,7 @@
     their sketches and its population count tells how many samples differ.
 2.  Texts with the same set are one class from here on, so copies cost nothing more.
 3.  Classes that share a band are a bucket. Its members are compared with a few leaders at a time,
-    eight times as many in each round, until every member of another component has been compared
+    sixteen times as many in each round, until every member of another component has been compared
     with every other. Links found on the way join components, and members of one component need
     no further comparison; so a group of thousands of near copies takes time in proportion to its
     size, without a cap on the size of a bucket or the number of partners. Only a bucket of texts
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import fresh, lists, map_texts, stored
+from eventmetrics.llm.common import by_ids, lists, map_texts, stored
 from eventmetrics.llm.components import connected_components
 from eventmetrics.llm.hashing import blocks, mix, shingles
 
@@ -34,7 +34,7 @@ BANDS, BAND_ROWS = 25, 5
 SAMPLES = BANDS * BAND_ROWS
 BINS, SKETCH_BITS = 1024, 2048
 DEVIATIONS = 3.5
-ROUND_FACTOR = 8
+ROUND_FACTOR = 16
 
 _RANDOM = np.random.default_rng(3)
 _FACTORS = _RANDOM.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -150,35 +150,64 @@ def _place(key: str, member: str) -> F.Column:
 
 def _sided(members: DataFrame, side: str) -> DataFrame:
     return members.select(
-        "bucket", F.col("id").alias(side), F.col("component").alias(f"of_{side}"),
-        *[F.col(c).alias(f"{c}_{side}") for c in ("sketch", "samples", "n")])
+        "bucket", "band", F.col("id").alias(side), F.col("component").alias(f"of_{side}"),
+        *[F.col(c).alias(f"{c}_{side}") for c in ("bands", "sketch", "samples", "n")])
+
+
+def _first_shared_band() -> F.Column:
+    """Whether the pair shares no band before this bucket's, so that it is compared only once."""
+    apart = [(F.lit(k) >= F.col("band")) | (F.col("bands_a")[k] != F.col("bands_b")[k])
+             for k in range(BANDS)]
+    out = apart[0]
+    for condition in apart[1:]:
+        out = out & condition
+    return out
+
+
+def _relabelled(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after each has taken the smallest name around it, twice.
+
+    Some components may get several names this way, which only means a few more comparisons.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    name = components.select(F.col("id").alias("b"), "component")
+    for _ in range(2):
+        named = both.join(name, "b", "left").select(
+            "a", F.coalesce("component", "b").alias("component"))
+        found = named.groupBy("a").agg(F.min("component").alias("component")).select(
+            F.col("a").alias("id"), F.least("a", "component").alias("component"))
+        components = stored(components.unionByName(found).groupBy("id").agg(
+            F.min("component").alias("component")))
+        name = components.select(F.col("id").alias("b"), "component")
+    # The name itself may have got a smaller one.
+    older = components.select(F.col("id").alias("component"), F.col("component").alias("smaller"))
+    return stored(components.join(older, "component", "left").select(
+        "id", F.coalesce("smaller", "component").alias("component")))
 
 
 def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """id and component of the classes that have links."""
     spark = classes.sparkSession
-    banded = classes.select(F.col("class_id").alias("id"), F.explode("bands").alias("bucket"))
+    banded = classes.select(F.col("class_id").alias("id"),
+                            F.posexplode("bands").alias("band", "bucket"))
     counts = banded.groupBy("bucket").agg(F.count("*").alias("members"),
                                           F.min("id").alias("first")).filter("members > 1")
-    sketches = classes.select(F.col("class_id").alias("id"), "sketch", "samples",
-                              F.col("n_shingles").alias("n"))
     members = stored(banded.join(counts, "bucket"))
     ids = members.select("id").distinct()
-    sketches = stored(sketches.join(ids, "id"))
-    sets = stored(map_texts(
-        docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"),
-        _sets, "id bigint, shingles array<bigint>"))
+    known = stored(by_ids(classes.select(F.col("class_id").alias("id"), "bands", "sketch", "samples",
+                                         F.col("n_shingles").alias("n")), "id", ids))
+    sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
+                            "id bigint, shingles array<bigint>"))
     components = spark.createDataFrame([], "id bigint, component bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
+    links = None
     most = members.agg(F.max("members")).first()[0] or 0
     share = 0  # leaders of a bucket so far, 0 at first: only its smallest id
     while most:
+        labelled = members.join(components, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
         if share == 0:
-            pending = members.withColumn("component", F.col("id"))
-            leaders = pending.filter("id = first")
+            pending, leaders = labelled, labelled.filter("id = first")
         else:
-            labelled = members.join(components, "id", "left").withColumn(
-                "component", F.coalesce("component", "id"))
             open_buckets = labelled.groupBy("bucket").agg(
                 F.min("component").alias("low"), F.max("component").alias("high")
             ).filter("low <> high").select("bucket")
@@ -188,29 +217,20 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
             turn = _place("bucket", "id") * F.col("members")
             earlier = share // ROUND_FACTOR if share > ROUND_FACTOR else 0
             leaders = pending.filter((turn < share) & (turn >= earlier))
-        near = (_sided(leaders.join(sketches, "id"), "a")
-                .join(_sided(pending.join(sketches, "id"), "b"), "bucket")
-                .filter(F.col("of_a") != F.col("of_b")).filter(_close(percent))
+        near = (_sided(leaders.join(known, "id"), "a")
+                .join(_sided(pending.join(known, "id"), "b").drop("band"), "bucket")
+                .filter((F.col("of_a") != F.col("of_b")) & _first_shared_band() & _close(percent))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         found = stored(_confirmed(near, sets, percent))
-        if not found.isEmpty():
-            # Found links join components, so only names of components are linked from now on.
-            names = components.select(F.col("id").alias("a"), F.col("component"))
-            named = (found.join(names, "a", "left")
-                     .select(F.coalesce("component", "a").alias("a"), "b")
-                     .join(names.withColumnRenamed("a", "b"), "b", "left")
-                     .select("a", F.coalesce("component", "b").alias("b")))
-            merged = connected_components(named).select(
-                F.col("id").alias("component"), F.col("component").alias("merged"))
-            older = components.join(merged, "component", "left").select(
-                "id", F.coalesce("merged", "component").alias("component"))
-            newer = merged.select(F.col("component").alias("id"), F.col("merged").alias("component"))
-            components = stored(older.unionByName(newer).groupBy("id").agg(
-                F.min("component").alias("component")))
+        links = found if links is None else links.unionByName(found)
         if share >= most:
             break
+        if not found.isEmpty():
+            components = _relabelled(components, links)
         share = ROUND_FACTOR if share == 0 else share * ROUND_FACTOR
-    return components
+    if links is None:
+        return components
+    return connected_components(links)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -269,6 +289,4 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                percent: int = 85) -> DataFrame:
     """The rows of the documents that are kept, with all their columns."""
     dropped = near_duplicates(docs, doc_id, text, percent).filter("not kept")
-    key = fresh(docs, "dropped_id")
-    return docs.join(dropped.select(F.col("doc_id").alias(key)).distinct(),
-                     F.col(doc_id) == F.col(key), "left_anti")
+    return by_ids(docs, doc_id, dropped.select("doc_id"), "left_anti")

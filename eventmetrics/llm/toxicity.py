@@ -17,7 +17,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import crc_fold, fresh, labelled_sample, map_texts, stored
+from eventmetrics.llm.common import by_ids, crc_fold, labelled_sample, map_texts, stored
 from eventmetrics.llm.hashing import (
     FOLDED,
     PUNCTUATION,
@@ -214,7 +214,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     Rows that share an id stay or go together: they go if one of them is toxic.
     """
-    key = fresh(docs, "toxic_id")
     toxic = toxicity(docs, labels, doc_id, text).filter("predicted = 1")
-    return docs.join(toxic.select(F.col("doc_id").alias(key)).distinct(),
-                     F.col(doc_id) == F.col(key), "left_anti")
+    return by_ids(docs, doc_id, toxic.select("doc_id"), "left_anti")
