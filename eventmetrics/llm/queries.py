@@ -11,6 +11,7 @@ from eventmetrics.llm.language_id import language_id
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
 from eventmetrics.llm.quality import quality
+from eventmetrics.llm.sharding import shard_documents
 from eventmetrics.llm.toxicity import toxicity
 
 
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op2_sharding": op2_sharding,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
