@@ -8,6 +8,7 @@ import corpus_pipeline
 from eventmetrics.llm.decontamination import contamination
 from eventmetrics.llm.exact_dedup import duplicate_groups
 from eventmetrics.llm.language_id import language_id
+from eventmetrics.llm.line_dedup import line_dedup
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
 from eventmetrics.llm.quality import quality
@@ -19,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_line_dedup": op1_line_dedup,
     "op2_sharding": op2_sharding,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
@@ -64,6 +71,38 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": r"""WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+split AS (SELECT text, string_split(text, chr(10)) AS lines FROM texts),
+content AS (SELECT text, unnest(lines) AS content, unnest(range(1, len(lines) + 1)) AS place FROM split),
+token AS (
+  SELECT text, place, list_transform(
+           string_split(trim(regexp_replace(content, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), ' '),
+           lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+  FROM content),
+line AS (SELECT text, place, tokens, len(tokens) AS n, tokens[1:3] AS lead FROM token WHERE tokens[1] <> ''),
+leaf AS (SELECT n, lead FROM line GROUP BY n, lead HAVING count(DISTINCT text) >= 3),
+occurrence AS (SELECT DISTINCT text, tokens, n, lead FROM line SEMI JOIN leaf USING (n, lead)),
+distinct_line AS (SELECT tokens, n, lead, count(*) AS texts FROM occurrence GROUP BY ALL),
+placed AS (
+  SELECT tokens, n, lead, texts, unnest(tokens) AS token, unnest(range(1, n + 1)) AS pos FROM distinct_line),
+constant AS (
+  SELECT n, lead, pos, token FROM placed WHERE token <> '<*>' GROUP BY ALL HAVING sum(texts) >= 3),
+template AS (
+  SELECT tokens, n, lead, list(struct_pack(pos := pos, token := token) ORDER BY pos) AS constants
+  FROM placed JOIN constant USING (n, lead, pos, token) GROUP BY tokens, n, lead
+  HAVING count(*) >= n * 0.6),
+recurring AS (
+  SELECT n, lead, constants FROM occurrence JOIN template USING (tokens, n, lead)
+  GROUP BY n, lead, constants HAVING count(DISTINCT text) >= 3),
+dropped AS (SELECT tokens FROM template JOIN recurring USING (n, lead, constants)),
+kept AS (
+  SELECT c.text, list(c.content ORDER BY c.place) FILTER (d.tokens IS NULL) AS lines,
+         count(*) AS n_lines, count(d.tokens) AS n_dropped
+  FROM content c JOIN token t USING (text, place) LEFT JOIN dropped d ON t.tokens = d.tokens
+  GROUP BY c.text)
+SELECT doc_id, CASE WHEN k.text IS NULL THEN NULL ELSE coalesce(array_to_string(k.lines, chr(10)), '') END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
+FROM documents LEFT JOIN kept k USING (text)""",
     "op6_exact_dedup": r"""WITH keys AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
   FROM documents)
