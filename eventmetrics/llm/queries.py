@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventmetrics.llm.decontamination import contamination
 from eventmetrics.llm.exact_dedup import duplicate_groups
 from eventmetrics.llm.language_id import language_id
+from eventmetrics.llm.licenses import NOTICE, scan_licenses
 from eventmetrics.llm.line_dedup import line_dedup
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
@@ -53,6 +55,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of the documents, taken as files: a repository for each source, a directory for each
+    thousand ids, and a short text with a notice as a directory's licence file."""
+    short_notice = F.col("text").rlike(NOTICE) & (F.length("text") <= 500)
+    name = F.concat(F.when(short_notice, "LICENSE-").otherwise("text-"), F.col("doc_id").cast("string"))
+    directory = F.floor(F.col("doc_id") / 1000).cast("string")
+    files = _table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", directory, name).alias("path"), "text")
+    return scan_licenses(files).drop("text")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -67,6 +80,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_quality": op10_quality,
 }
 
