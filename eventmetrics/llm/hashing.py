@@ -191,7 +191,7 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.
     powers = []
     for k in range(size):
         powers.append(power)
-        run[:n - k] += hashes[k:] * power
+        run[:max(n - k, 0)] += hashes[k:] * power
         power = np.uint64((int(power) * int(factor)) & 0xFFFFFFFFFFFFFFFF)
     run = mix(run)
     numbers = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))

@@ -1,9 +1,9 @@
 """Documents in shards of equal size, with linked documents together as far as that allows.
 
 Balanced label propagation: every document begins in the shard that a hash of its id names. In each
-round a group of linked documents looks at the shards its members and the rest of its links are in
-and wants to be where most of them are; a shard takes as many of those who want to come as its
-quota has room for besides the linked rows it has. At the end the shards over quota hand rows to
+round linked documents look at the shards their neighbours are in and want to be where most of
+them are, as far as these have room; a shard takes as many of those who want to come as its quota has
+room for besides the linked rows it has. At the end the shards over quota hand rows to
 those under it, unlinked ones first since no edge is cut by moving them, so that the numbers of
 rows are at most one apart.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from eventmetrics.llm.common import stored
 
 SHARDS = 24
-ROUNDS = 5
+ROUNDS = 6
 #: A group of linked documents moves in clusters of at most this many rows, and an eighth of a quota.
 CLUSTER_ROWS = 50_000
 _ORDER_BITS = 40
@@ -61,23 +61,25 @@ def _counts(df: DataFrame, column: str, shards: int) -> list[int]:
 def _propagate(linked: DataFrame, quota: float, shards: int, rounds: int) -> DataFrame:
     """Linked rows (with cluster and link_group) after the rounds."""
     for turn in range(rounds):
-        votes = linked.groupBy("link_group", "cluster", "shard").agg(F.count("*").alias("n"))
-        # What the rest of the links votes counts half, so a cluster first gathers itself.
-        of_group = votes.groupBy("link_group", "shard").agg(F.sum("n").alias("all"))
-        weighed = votes.join(of_group, ["link_group", "shard"])
-        own = weighed.select("link_group", "cluster", "shard", "n", (F.col("n") + (
-            F.col("all") - F.col("n")) * 0.5).alias("votes"))
-        # The group's favourite, which no member of the cluster may be in yet.
-        favourite = of_group.groupBy("link_group").agg(F.max(F.struct(
-            "all", (-F.col("shard")).alias("by"))).alias("best"))
-        other = (votes.select("link_group", "cluster").distinct()
-                 .join(favourite, "link_group")
-                 .select("link_group", "cluster", (-F.col("best.by")).cast("int").alias("shard"),
-                         F.lit(0).cast("bigint").alias("n"), (F.col("best.all") * 0.5).alias("votes")))
-        wanted = (own.unionByName(other).groupBy("link_group", "cluster")
-                  .agg(F.max(F.struct("votes", (-F.col("shard")).alias("by"))).alias("best"))
-                  .select("link_group", "cluster", (-F.col("best.by")).cast("int").alias("target")))
-        moving = stored(linked.join(wanted, ["link_group", "cluster"]))
+        load = _counts(linked, "shard", shards)
+        clusters = linked.groupBy("link_group", "cluster", "shard").agg(F.count("*").alias("n"))
+        # The shards of a group by how many of its members they hold, each with the room it has for
+        # the group. A cluster wants the one that its place within the group falls to: the first
+        # for a group that fits there, and for a larger one as few shards as hold it.
+        by_size = Window.partitionBy("link_group").orderBy(F.desc("held"), "shard")
+        free = F.greatest(F.lit(0.0), F.lit(quota) - _pick(load, F.col("shard")) + F.col("held"))
+        offers = (clusters.groupBy("link_group", "shard").agg(F.sum("n").alias("held"))
+                  .withColumn("up_to", F.sum(free).over(by_size.rowsBetween(
+                      Window.unboundedPreceding, 0)))
+                  .withColumn("from", F.col("up_to") - free)
+                  .withColumn("members", F.sum("held").over(Window.partitionBy("link_group")))
+                  .withColumnRenamed("shard", "target"))
+        place = _hash(30, F.lit("place"), "cluster") / float(1 << 30) * F.col("members")
+        wanted = (clusters.select("link_group", "cluster").distinct().join(offers, "link_group")
+                  .filter((place >= F.col("from")) & (place < F.col("up_to")))
+                  .select("link_group", "cluster", "target"))
+        moving = stored(linked.join(wanted, ["link_group", "cluster"], "left").withColumn(
+            "target", F.coalesce("target", "shard")))
         movers = moving.filter("shard <> target")
         coming = _counts(movers, "target", shards)
         if not sum(coming):

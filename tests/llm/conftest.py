@@ -1,0 +1,34 @@
+import pytest
+
+LONG = " ".join(f"word{i % 977}" for i in range(60_000)) + "\nlast line"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, clashing names."""
+    rows = [
+        (None, "you are an idiot and this is text", "en", None, None),
+        (1, None, "en", "a", 1), (2, "", None, "a", 0), (3, "   ", "en", "a", 3),
+        (4, "The same text here.\nAnd a second line.", "en", "b", 1),
+        (5, "The same text here.\nAnd a second line.", "en", "b", 1),
+        (5, "The same text here.\nAnd a second line.", "en", "b", 1),
+        (6, LONG, "en", "c", len(LONG)), (7, LONG, "en", "c", None),
+        (8, "été à la plage 日本語 ☃", "fr", "c", 2), (9, "\n\n \t\n", "en", "c", 2),
+        (10, "x", None, None, None), (11, "123 456 !!!", "en", "d", 9),
+    ]
+    clashing = {"kept": "boolean", "keep_id": "int", "maybe": "string", "shard": "int",
+                "text_sha256": "string", "bucket": "string", "id": "string", "license": "string",
+                "n_lines": "int", "Score": "double", "item_id": "int", "wanted_id": "int"}
+    schema = DOCS + "".join(f", {name} {kind}" for name, kind in clashing.items())
+    return spark.createDataFrame([r + (None,) * len(clashing) for r in rows], schema)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    return lambda name, sf="sf0.001": spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")
