@@ -82,6 +82,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
 BROADCAST_BYTES = 32 << 20
 
 
+def few(df: DataFrame, row_bytes: int) -> DataFrame:
+    """The stored rows, marked for broadcast if they are few: their number is counted first."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows whose `column` is (left_semi) or is not (left_anti) in the one column of `ids`.
 
@@ -89,7 +94,5 @@ def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -
     shuffled.
     """
     key = fresh(df, "wanted_id")
-    ids = stored(ids.toDF(key).distinct())
-    if ids.count() * 16 <= BROADCAST_BYTES:
-        ids = F.broadcast(ids)
+    ids = few(stored(ids.toDF(key).distinct()), 16)
     return df.join(ids, F.col(column) == F.col(key), how)

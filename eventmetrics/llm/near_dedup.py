@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import by_ids, lists, map_texts, stored
+from eventmetrics.llm.common import BROADCAST_BYTES, by_ids, few, lists, map_texts, stored
 from eventmetrics.llm.components import connected_components
 from eventmetrics.llm.hashing import blocks, mix, shingles
 
@@ -190,14 +190,30 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
     spark = classes.sparkSession
     banded = classes.select(F.col("class_id").alias("id"),
                             F.posexplode("bands").alias("band", "bucket"))
-    counts = banded.groupBy("bucket").agg(F.count("*").alias("members"),
-                                          F.min("id").alias("first")).filter("members > 1")
-    members = stored(banded.join(counts, "bucket"))
+    several = stored(banded.groupBy("bucket").agg(F.count("*").alias("members"))
+                     .filter("members > 1").select("bucket"))
+    members = stored(banded.join(few(several, 16), "bucket"))
+    # Texts that are alike share many buckets with the same members. The one with the smallest
+    # band is enough: it is the first shared band of all its pairs that another of them has.
+    same = ["members", "ids_a", "ids_b"]
+    kept = (members.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min("id").alias("first"), F.min("band").alias("lowest"),
+        F.bit_xor(F.xxhash64("id")).alias("ids_a"),
+        F.bit_xor(F.xxhash64(F.lit("member"), "id")).alias("ids_b"))
+        .groupBy(*same).agg(F.min_by(F.struct("bucket", "first"), "lowest").alias("kept"))
+        .select("kept.bucket", "kept.first", "members"))
+    members = stored(members.join(few(stored(kept), 32), "bucket"))
     ids = members.select("id").distinct()
-    known = stored(by_ids(classes.select(F.col("class_id").alias("id"), "bands", "sketch", "samples",
-                                         F.col("n_shingles").alias("n")), "id", ids))
+    # For telling the first shared band, 32 bits of each band's hash are enough.
+    known = stored(by_ids(classes.select(
+        F.col("class_id").alias("id"), F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int")).alias("bands"),
+        "sketch", "samples", F.col("n_shingles").alias("n")), "id", ids))
     sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
                             "id bigint, shingles array<bigint>"))
+    shingles_in_all = known.agg(F.sum("n")).first()[0] or 0
+    known = few(known, 500)
+    if shingles_in_all * 8 <= BROADCAST_BYTES:
+        sets = F.broadcast(sets)
     components = spark.createDataFrame([], "id bigint, component bigint")
     links = None
     most = members.agg(F.max("members")).first()[0] or 0
