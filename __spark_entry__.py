@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import eventmetrics as em
 from eventmetrics import metrics
-from eventmetrics.fixtures import AS_OF, read_std_events
+from eventmetrics.fixtures import AS_OF, TABLE_SCHEMA, read_std_events, std_events
 from eventmetrics.functions import as_results, clock_label, compact_number
 from eventmetrics.session import pin_time_zone, scratch_dir
 
@@ -119,20 +119,94 @@ def _approximate(spark, sf_dir):
         (error <= F.greatest(F.lit(4), F.max("unique_users") / 4)).alias("close"))
 
 
+def _plain(table):
+    """Without what only a stored table has."""
+    return table.drop("created_at", "window_date")
+
+
+def _stored_aggregates(spark, sf_dir):
+    return em.replace_aggregates(_aggregates(spark, sf_dir), scratch_dir(spark))
+
+
 def _serving_table(spark, sf_dir):
-    table = em.replace_aggregates(_aggregates(spark, sf_dir), scratch_dir(spark))
-    return table.drop("created_at")
+    return _plain(_stored_aggregates(spark, sf_dir))
+
+
+def _serving_metric(metric, *time_window, **choices):
+    """A metric over the stored serving table."""
+    def build(spark, sf_dir):
+        as_of = {"as_of": AS_OF} if time_window else {}
+        return metric(_stored_aggregates(spark, sf_dir), *time_window, **as_of, **choices)
+
+    return _result(build)
 
 
 def _batch_job(spark, sf_dir):
-    return em.run_batch(spark, _messages(spark, sf_dir), scratch_dir(spark)).drop("created_at")
+    return _plain(em.run_batch(spark, _messages(spark, sf_dir), scratch_dir(spark)))
+
+
+# --- Events that a healthy table has not: derived from the given ones by their id ---------
+
+
+def _odd_events(spark, sf_dir, **columns: str):
+    """The events with some columns replaced by expressions of `event_id` and `value`."""
+    pin_time_zone(spark)
+    table = spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    odd = [F.expr(expression).alias(f"odd_{name}") for name, expression in columns.items()]
+    names = [f"odd_{name}" for name in columns]
+    events = std_events(table.select("*", *odd), *names)
+    return events.withColumns({name: F.col(f"odd_{name}") for name in columns}).drop(*names)
+
+
+# Multiples of 2 * 10^10, thousandths, and half cents.
+_EXTREMES = """CASE event_id % 3 WHEN 0 THEN (event_id % 7) * CAST(20000000000 AS DOUBLE)
+  WHEN 1 THEN value / 1000 ELSE value + 0.005 END"""
+
+
+def _extremes(spark, sf_dir):
+    events = _odd_events(spark, sf_dir, amount=_EXTREMES)
+    return em.window_aggregations(em.clean_events(events), HOURS_6)
+
+
+def _bad_amounts(spark, sf_dir):
+    return em.check_amounts(_odd_events(
+        spark, sf_dir, amount="IF(event_id % 50 = 0, CAST('NaN' AS DOUBLE), value)"))
+
+
+def _no_country(spark, sf_dir):
+    country = "CASE WHEN event_id % 3 > 0 THEN 'C' || (event_id % 3) END"
+    return em.window_aggregations(
+        em.clean_events(_odd_events(spark, sf_dir, country=country)), HOURS_6)
+
+
+def _unparseable_times(spark, sf_dir):
+    time = """IF(event_id % 11 = 0, 'garbage', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))"""
+    events = em.with_event_time(_odd_events(spark, sf_dir, timestamp=time))
+    return events.groupBy("event_time").agg(F.count("*").alias("events"))
+
+
+def _bad_messages(spark, sf_dir):
+    """Clean events from messages of which two thirds are broken in four ways."""
+    kind = _odd_events(spark, sf_dir, kind="event_id % 6")
+    whole = F.to_json(F.struct(*em.EVENT_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
+    mistyped = F.to_json(F.struct(*[c for c in em.EVENT_SCHEMA.fieldNames() if c != "amount"],
+                                  F.lit("x").alias("amount")))
+    message = (F.when(F.col("kind") == 0, F.lit("garbage")).when(F.col("kind") == 1, F.lit(None))
+               .when(F.col("kind") == 2, F.lit('{"user_id":"b"'))
+               .when(F.col("kind") == 3, mistyped)
+               .when(F.col("kind") == 4, F.concat(F.lit('{"extra":1,'), F.substr(whole, F.lit(2))))
+               .otherwise(whole))
+    return em.clean_events(em.decode_events(kind.select(message.alias("value"))))
+
+
+def _empty_report(spark, sf_dir):
+    return em.quality_report(_written(spark, sf_dir).filter("event_type = 'none'"), as_of=AS_OF,
+                             freshness=True)
 
 
 # --- Streams -----------------------------------------------------------------------------
 
-SLICES = 4
-# Longer than the table's time range: files arrive in no particular order of time.
-WATERMARK = "60 days"
+SLICES = 3
 # A message from the far future, after which the watermark has passed every window.
 SENTINEL = (
     '{"user_id":"sentinel","event_type":"page_view","timestamp":"2100-01-01T00:00:00",'
@@ -140,71 +214,113 @@ SENTINEL = (
 )
 
 
-def _message_files(spark: SparkSession, sf_dir: str) -> str:
-    """All events as message files, written by the tasks that read the table."""
+def _in_slices(spark: SparkSession, sf_dir: str, run: Callable[[str], None]) -> None:
+    """Send all events as message files in slices, with a run of the stream after each.
+
+    A micro-batch takes all of a slice, however many files it has, so that all tasks have work.
+    """
     path = scratch_dir(spark)
     messages = _messages(spark, sf_dir)
-    (messages.withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(SLICES)))
-        .write.partitionBy("slice").text(path))
-    return path
+    for number in range(SLICES):
+        (messages.filter(F.pmod(F.xxhash64("value"), F.lit(SLICES)) == number)
+            .write.text(f"{path}/slice={number}"))
+        run(path)
 
 
 def _message_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The message files as a stream; a micro-batch takes as many as the cluster has use for."""
-    files = max(1, spark.sparkContext.defaultParallelism // 8)
-    return em.read_event_stream(spark, "text", {
-        "path": f"{path}/slice=*", "maxFilesPerTrigger": str(files)})
+    return em.read_event_stream(spark, "text", {"path": f"{path}/slice=*"})
 
 
 def _stream_lake(spark, sf_dir):
     out = scratch_dir(spark)
-    events = em.prepare_events(_message_stream(spark, _message_files(spark, sf_dir)))
-    em.write_event_lake(events, f"{out}/events", f"{out}/checkpoint",
-                        {"availableNow": True}).awaitTermination()
+
+    def run(path):
+        events = em.prepare_events(_message_stream(spark, path))
+        em.write_event_lake(events, f"{out}/events", f"{out}/checkpoint",
+                            {"availableNow": True}).awaitTermination()
+
+    _in_slices(spark, sf_dir, run)
     return em.read_event_lake(spark, f"{out}/events")
 
 
 def _stream_log(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
     out = scratch_dir(spark)
-    events = em.prepare_events(_message_stream(spark, _message_files(spark, sf_dir)))
-    em.write_aggregate_log(em.window_aggregations(events, duration), f"{out}/log",
-                           f"{out}/checkpoint", {"availableNow": True}).awaitTermination()
+
+    def run(path):
+        events = em.prepare_events(_message_stream(spark, path))
+        em.write_aggregate_log(em.window_aggregations(events, duration), f"{out}/log",
+                               f"{out}/checkpoint", {"availableNow": True}).awaitTermination()
+
+    _in_slices(spark, sf_dir, run)
     return em.read_aggregate_log(spark, f"{out}/log")
 
 
 def _stream_aggregates(spark, sf_dir):
-    return em.latest_aggregates(_stream_log(spark, sf_dir, HOURS_6)).drop("created_at")
+    return _plain(em.latest_aggregates(_stream_log(spark, sf_dir, HOURS_6)))
+
+
+def _log_metric(metric, time_window: str):
+    def build(spark, sf_dir):
+        log = em.latest_aggregates(_stream_log(spark, sf_dir, "5 minutes"))
+        return metric(log, time_window, as_of=AS_OF)
+
+    return _result(build)
 
 
 def _stream_job(spark, sf_dir):
     """Both outputs of the stream, then the serving table."""
     out = scratch_dir(spark)
-    source = _message_stream(spark, _message_files(spark, sf_dir))
-    em.run_stream(spark, source, out, trigger={"availableNow": True})
-    return em.refresh_aggregates(spark, out).drop("created_at")
+    _in_slices(spark, sf_dir, lambda path: em.run_stream(
+        spark, _message_stream(spark, path), out, trigger={"availableNow": True}))
+    return _plain(em.refresh_aggregates(spark, out))
+
+
+def _serving_incremental(spark, sf_dir):
+    """The serving table after a refresh for each slice: later ones add rows to old dates."""
+    out = scratch_dir(spark)
+
+    def run(path):
+        events = em.prepare_events(_message_stream(spark, path))
+        em.write_aggregate_log(em.window_aggregations(events), f"{out}/aggregate_log",
+                               f"{out}/checkpoint", {"availableNow": True}).awaitTermination()
+        em.refresh_aggregates(spark, out)
+
+    _in_slices(spark, sf_dir, run)
+    return _plain(em.read_aggregates(spark, f"{out}/aggregates"))
 
 
 def _compacted_log(spark, sf_dir):
     path = scratch_dir(spark)
     em.compact_aggregate_log(_stream_log(spark, sf_dir, HOURS_6), path)
-    return em.latest_aggregates(em.read_aggregate_log(spark, path)).drop("created_at")
+    return _plain(em.latest_aggregates(em.read_aggregate_log(spark, path)))
 
 
 def _stream_two_level(spark, sf_dir):
-    out, path = scratch_dir(spark), _message_files(spark, sf_dir)
+    """The slices mix all times, so the watermark stays behind by as much as the times span."""
+    out = scratch_dir(spark)
+    times = spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet").agg(
+        F.min("ts"), F.max("ts")).first()
+    days = (times[1] - times[0]).days + 2 if times[0] else 1
+    paths = []
 
-    def run():
+    def run(path):
+        paths.append(path)
         events = em.prepare_events(_message_stream(spark, path))
-        aggregates = em.window_aggregations(events, HOURS_6, "two_level", WATERMARK)
-        em.write_aggregate_log(aggregates, f"{out}/log", f"{out}/checkpoint",
-                               {"availableNow": True}, "append").awaitTermination()
-
-    run()
-    (spark.range(1).select(F.lit(SENTINEL).alias("value"), F.lit(SLICES).alias("slice"))
-        .write.mode("append").partitionBy("slice").text(path))
-    run()
+        aggregates = em.window_aggregations(events, HOURS_6, "two_level", f"{days} days")
+        query = em.write_aggregate_log(aggregates, f"{out}/log", f"{out}/checkpoint",
+                                       {"availableNow": True}, "append")
+        query.awaitTermination()
+        late = sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress
+                   for state in progress["stateOperators"])
+        if late:
+            raise ValueError(f"{late} rows came later than the watermark")
+
+    _in_slices(spark, sf_dir, run)
+    (spark.range(1).select(F.lit(SENTINEL).alias("value"))
+        .write.text(f"{paths[0]}/slice={SLICES}"))
+    run(paths[0])
     log = em.read_aggregate_log(spark, f"{out}/log")
-    return em.latest_aggregates(log).drop("created_at")
+    return _plain(em.latest_aggregates(log))
 
 
 # --- Metrics and quality -----------------------------------------------------------------
@@ -279,12 +395,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Sinks and jobs
         "event_lake": _result(_lake),
         "serving_table": _result(_serving_table),
+        "serving_table_incremental": _result(_serving_incremental),
         "batch_job": _result(_batch_job),
         "stream_event_lake": _result(_stream_lake),
         "stream_aggregates": _result(_stream_job),
         "stream_aggregates_6h": _result(_stream_aggregates),
         "stream_aggregates_two_level": _result(_stream_two_level),
         "compacted_log": _result(_compacted_log),
+        # Events with faults
+        "revenue_extremes": _result(_extremes),
+        "check_amounts_bad": _bad_amounts,
+        "check_amounts": lambda spark, sf: em.check_amounts(
+            read_std_events(pin_time_zone(spark), sf)),
+        "decode_bad_messages": _result(_bad_messages),
+        "event_times_unparseable": _result(_unparseable_times),
+        "windowed_aggregates_null_country": _result(_no_country),
+        "filter_countries_null": _result(
+            lambda spark, sf: metrics.filter_countries(_no_country(spark, sf))),
+        # Metrics on the stored serving table and on the stream's log
+        "serving_kpi_summary": _serving_metric(metrics.kpi_summary, DAY),
+        "serving_events_over_time": _serving_metric(metrics.events_over_time, "Last 7 Days"),
+        "serving_live_feed": _serving_metric(metrics.live_feed),
+        "log_kpi_summary": _log_metric(metrics.kpi_summary, DAY),
         # Metrics
         "filter_event_types": _options(metrics.filter_event_types),
         "filter_countries": _options(metrics.filter_countries),
@@ -317,6 +449,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_freshness": lambda spark, sf: em.check_freshness(_written(spark, sf), AS_OF),
         "quality_report": _report(AS_OF),
         "quality_report_stale": _report(LATER),
+        "quality_report_empty": _empty_report,
+        "events_over_time_filtered": _metric(
+            metrics.events_over_time, "Last 7 Days", event_type="search", country="US"),
     }
     for name, (label, _, _) in SERIES.items():
         found[name] = _metric(metrics.events_over_time, label)
@@ -369,20 +504,32 @@ enriched AS (
 )"""
 
 
-def _agg_cte(duration: str = "5 minutes") -> str:
+def _agg_cte(duration: str = "5 minutes", clean: str = _CLEAN,
+             revenue: str = "SUM(CAST(amount AS DECIMAL(12,2)))") -> str:
     start = f"""time_bucket(INTERVAL '{duration}', CAST("timestamp" AS TIMESTAMP))"""
-    return f"""{_CLEAN},
+    return f"""{clean},
 agg AS (
   SELECT {start} AS window_start, {start} + INTERVAL '{duration}' AS window_end,
          event_type, country, COUNT(*) AS event_count,
          COUNT(DISTINCT user_id) AS unique_users,
-         SUM(CAST(amount AS DECIMAL(12,2))) AS total_revenue
+         {revenue} AS total_revenue
   FROM clean GROUP BY ALL
 )"""
 
 
-def _aggregates_sql(duration: str = "5 minutes") -> str:
-    return f"""WITH {_agg_cte(duration)}
+def _odd_clean(**columns: str) -> str:
+    """The common tables with some columns of `std` replaced, as `_odd_events` does."""
+    odd = _CLEAN
+    given = {"amount": "CASE WHEN event_id % 10 >= 7 THEN value END AS amount",
+             "timestamp": """strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "timestamp\"""",
+             "country": _STD[_STD.index("         (['US'"):_STD.index(",\n         CASE WHEN event_id % 10")].strip()}
+    for name, expression in columns.items():
+        odd = odd.replace(given[name], f'{expression} AS "{name}"')
+    return odd
+
+
+def _aggregates_sql(duration: str = "5 minutes", **how: str) -> str:
+    return f"""WITH {_agg_cte(duration, **how)}
 SELECT window_start, window_end, event_type, country, event_count, unique_users,
        CAST(total_revenue AS DOUBLE) AS total_revenue
 FROM agg"""
@@ -392,6 +539,8 @@ def _since(length: str, where: str = "TRUE") -> str:
     return f"window_start >= TIMESTAMP '{AS_OF}' - INTERVAL '{length}' AND {where}"
 
 
+_NO_COUNTRY = _odd_clean(country="CASE WHEN event_id % 3 > 0 THEN 'C' || (event_id % 3) END")
+_CLEAN_WITH_ID = _CLEAN.replace("  FROM events", "         , event_id\n  FROM events")
 _EVENT_COUNT = "CAST(SUM(event_count) AS BIGINT)"
 _USERS = "CAST(SUM(unique_users) AS BIGINT) AS unique_users"
 _REVENUE = "CAST(COALESCE(SUM(total_revenue), 0) AS DOUBLE)"
@@ -438,11 +587,11 @@ FROM agg WHERE {_since(length, where)} GROUP BY country
 ORDER BY event_count DESC, country ASC NULLS LAST LIMIT {n}"""
 
 
-def _series_sql(length: str, bucket: str) -> str:
+def _series_sql(length: str, bucket: str, where: str = "TRUE") -> str:
     return f"""WITH {_agg_cte()}
 SELECT time_bucket(INTERVAL '{bucket}', window_start) AS bucket,
        {_EVENT_COUNT} AS event_count, {_USERS}, {_REVENUE} AS revenue
-FROM agg WHERE {_since(length)} GROUP BY 1 ORDER BY 1"""
+FROM agg WHERE {_since(length, where)} GROUP BY 1 ORDER BY 1"""
 
 
 def _trend_sql(length: str, where: str = "TRUE") -> str:
@@ -499,8 +648,13 @@ def _freshness_check(as_of: str):
             "= 0", "nothing was written within 1 day")
 
 
-def _full_checks_sql(as_of: str) -> str:
-    return _checks_sql(_agg_cte(), "agg", _row_count_check(), _freshness_check(as_of),
+def _amount_check(bad: str):
+    return ("amounts", f"COUNT(*) FILTER (WHERE {bad})", "> 0",
+            "amounts are not numbers that can be added up")
+
+
+def _full_checks_sql(as_of: str, table: str = "agg") -> str:
+    return _checks_sql(_agg_cte(), table, _row_count_check(), _freshness_check(as_of),
                        _null_check("event_type", "window_start"))
 
 
@@ -530,6 +684,28 @@ SELECT CAST("timestamp" AS TIMESTAMP) AS event_time, COUNT(*) AS events FROM std
         "purchase_events": f"{enriched} WHERE is_purchase",
         "windowed_aggregates": five_minutes,
         "serving_table": five_minutes,
+        "serving_table_incremental": five_minutes,
+        "revenue_extremes": _aggregates_sql(
+            HOURS_6, clean=_odd_clean(amount=_EXTREMES),
+            revenue="ROUND(SUM(CAST(amount AS DECIMAL(38,6))), 2)"),
+        "check_amounts": _checks_sql(_STD, "std", _amount_check("FALSE")),
+        "check_amounts_bad": _checks_sql(
+            "std AS (SELECT * FROM events)", "std", _amount_check("event_id % 50 = 0")),
+        "decode_bad_messages": f"""WITH {_CLEAN_WITH_ID}
+SELECT * EXCLUDE (event_id, amount), CASE WHEN event_id % 6 > 3 THEN amount END AS amount
+FROM clean WHERE event_id % 6 > 2""",
+        "event_times_unparseable": """SELECT CASE WHEN event_id % 11 > 0 THEN date_trunc('second', ts)
+       END AS event_time, COUNT(*) AS events FROM events GROUP BY 1""",
+        "windowed_aggregates_null_country": _aggregates_sql(HOURS_6, clean=_NO_COUNTRY),
+        "filter_countries_null": f"""WITH {_agg_cte(HOURS_6, clean=_NO_COUNTRY)}
+SELECT 'All' AS country UNION ALL (SELECT DISTINCT country FROM agg)""",
+        "serving_kpi_summary": f"WITH {_agg_cte()} {_kpi_sql()}",
+        "log_kpi_summary": f"WITH {_agg_cte()} {_kpi_sql()}",
+        "serving_events_over_time": _series_sql("7 days", "1 hour"),
+        "serving_live_feed": _feed_sql(20),
+        "events_over_time_filtered": _series_sql(
+            "7 days", "1 hour", "event_type = 'search' AND country = 'US'"),
+        "quality_report_empty": _full_checks_sql(AS_OF, "agg WHERE event_type = 'none'"),
         "batch_job": five_minutes,
         "stream_aggregates": five_minutes,
         "windowed_aggregates_6h": six_hours,

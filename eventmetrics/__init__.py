@@ -9,6 +9,7 @@ from eventmetrics.operators import (
 )
 from eventmetrics.plans import (
     assert_quality,
+    check_amounts,
     check_freshness,
     check_nulls,
     check_row_count,
@@ -24,6 +25,7 @@ from eventmetrics.schema import (
     AGGREGATE_SCHEMA,
     EVENT_SCHEMA,
     EVENT_TYPES,
+    SERVING_SCHEMA,
 )
 from eventmetrics.session import build_session
 from eventmetrics.sources import (
@@ -51,8 +53,10 @@ __all__ = [
     "AGGREGATE_SCHEMA",
     "EVENT_SCHEMA",
     "EVENT_TYPES",
+    "SERVING_SCHEMA",
     "assert_quality",
     "build_session",
+    "check_amounts",
     "check_freshness",
     "check_nulls",
     "check_row_count",

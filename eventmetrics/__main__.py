@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 
 import eventmetrics as em
-from eventmetrics.operators.windows import USER_BUCKETS
 from eventmetrics.schema import WINDOW_DURATION
 from eventmetrics.streaming.sinks import AVAILABLE_NOW
 
@@ -18,30 +17,29 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="eventmetrics", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
 
-    def command(name: str, text: str, source: bool = False, out: bool = True):
+    def command(name: str, text: str, source: bool = False, out: bool | None = True):
         sub = commands.add_parser(name, help=text)
         if source:
             sub.add_argument("--format", default="kafka",
                              choices=["kafka", "text", "json", "parquet"])
             sub.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                              help="source option, such as path=/data/events")
-        if out:
-            sub.add_argument("--out", required=True, help="folder of the pipeline's output")
+        if out is not False:
+            sub.add_argument("--out", required=bool(out), help="folder of the pipeline's output")
         return sub
 
     batch = command("batch", "rebuild lake and aggregates from a bounded source", source=True)
     stream = command("stream", "stream into lake and aggregate log", source=True)
     for sub in (batch, stream):
         sub.add_argument("--duration", default=WINDOW_DURATION)
-    stream.add_argument("--distinct", default="set", choices=["set", "two_level", "approx"])
+    stream.add_argument("--distinct", default="users", choices=["users", "two_level", "approx"])
     stream.add_argument("--watermark", help="accept events this late, such as '1 hour'")
-    stream.add_argument("--user-buckets", type=int, default=USER_BUCKETS)
     stream.add_argument("--every", default="30 seconds", help="time between micro-batches")
     stream.add_argument("--available-now", action="store_true",
                         help="process what there is, then stop")
 
     refresh = command("refresh", "load the serving table from the aggregate log")
-    check = command("check", "fail unless the serving table passes the quality checks")
+    check = command("check", "fail unless the serving table passes the quality checks", out=None)
     check.add_argument("--freshness", action="store_true", help="also require recent rows")
     for sub in (refresh, check):
         sub.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE",
@@ -55,7 +53,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.command == "check" and not (args.out or args.jdbc):
+        parser.error("check needs --out or --jdbc")
     spark = em.build_session()
     if args.command == "batch":
         source = em.read_events(spark, args.format, _options(args.option))
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> None:
         source = em.read_event_stream(spark, args.format, _options(args.option))
         trigger = AVAILABLE_NOW if args.available_now else {"processingTime": args.every}
         em.run_stream(spark, source, args.out, args.duration, args.distinct, args.watermark,
-                      args.user_buckets, trigger)
+                      trigger)
     elif args.command == "refresh":
         em.refresh_aggregates(spark, args.out, _options(args.jdbc) or None)
     elif args.command == "check":

@@ -27,8 +27,8 @@ TABLE_SCHEMA = (
 AS_OF = "2024-01-31 00:00:00"
 
 
-def std_events(events: DataFrame) -> DataFrame:
-    """Rows of `events` in the event schema."""
+def std_events(events: DataFrame, *more: str) -> DataFrame:
+    """Rows of `events` in the event schema, and more columns of theirs as they are."""
     devices = ", ".join(f"'{d}'" for d in DEVICES)
     countries = ", ".join(f"'{c}'" for c in COUNTRIES)
     return events.selectExpr(
@@ -41,6 +41,7 @@ def std_events(events: DataFrame) -> DataFrame:
         "'/p/' || get_json_object(props, '$.k') AS page",
         f"get(array({countries}), CAST(user_id % 20 AS INT)) AS country",
         "CASE WHEN event_id % 10 >= 7 THEN value END AS amount",
+        *more,
     )
 
 

@@ -20,7 +20,7 @@ def or_zero(total: Column) -> Column:
 
 
 def compact_number(col: Column | str, prefix: str = "", suffix: str = "") -> Column:
-    """A short text: 1.5M, 2.3K, 999; a dash for NULL.
+    """A short text: 1.5M, 2.3K, 999; a dash for NULL and for NaN.
 
     `format_number` rounds half to even. It also groups digits, which the M and K forms
     do not show.
@@ -32,7 +32,7 @@ def compact_number(col: Column | str, prefix: str = "", suffix: str = "") -> Col
         return F.concat(F.lit(prefix), digits, F.lit(unit + suffix))
 
     return (
-        F.when(n.isNull(), F.lit(MISSING))
+        F.when(n.isNull() | F.isnan(n), F.lit(MISSING))
         .when(n >= 1e6, scaled(1e6, "M"))
         .when(n >= 1e3, scaled(1e3, "K"))
         .otherwise(F.concat(F.lit(prefix), F.format_number(n, 0), F.lit(suffix)))

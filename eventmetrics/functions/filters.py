@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventmetrics.schema import WINDOW_DATE
+
 # The labels users choose from, how far each looks back, and the bucket that
 # keeps its time series readable. Any other label looks back 24 hours in 6-hour buckets.
 LOOKBACKS = {
@@ -47,11 +49,14 @@ def lookback(df: DataFrame, time_window: str = DEFAULT_TIME_WINDOW, as_of: AsOf
     """Rows whose `column` is at most the labelled time before `as_of` (inclusive).
 
     The bound takes the column's own type. It then folds to a constant, and the column is
-    compared uncast, which is what lets Parquet and databases skip data.
+    compared uncast, which is what lets Parquet and databases skip data. A frame with the dates of
+    its windows is filtered by them too, which skips folders.
     """
     length = LOOKBACKS.get(time_window, DEFAULT_LOOKBACK)
-    bound = (instant(as_of) - F.expr(f"INTERVAL {length}")).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) >= bound)
+    earliest = instant(as_of) - F.expr(f"INTERVAL {length}")
+    if column == "window_start" and WINDOW_DATE in df.columns:
+        df = df.filter(F.col(WINDOW_DATE) >= earliest.cast("date"))
+    return df.filter(F.col(column) >= earliest.cast(df.schema[column].dataType))
 
 
 def match_or_all(df: DataFrame, column: str, value: str) -> DataFrame:

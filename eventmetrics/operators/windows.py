@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmetrics.operators.events import with_event_time
-from eventmetrics.schema import AMOUNT_LIMIT, MONEY_SUM, WINDOW_DURATION
+from eventmetrics.schema import AMOUNT, MONEY_SUM, WINDOW_DURATION
 
-METHODS = ("exact", "set", "two_level", "approx")
+METHODS = ("exact", "set", "users", "two_level", "approx")
 
-# Into how many parts the users of one group are split by the `set` method. A user falls
-# into exactly one part, so the parts' distinct counts add up to the group's.
+# Into how many parts the users of one group are split by the `set` method, in batch. A user
+# falls into exactly one part, so the parts' distinct counts add up to the group's.
 USER_BUCKETS = 32
 
 
@@ -23,26 +21,29 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     """Events, distinct users and revenue per window, event type and country.
 
     Windows are epoch-aligned and half-open. A NULL country is a group of its own; events
-    without a parsable time are in no window. Revenue is NULL if every amount is NULL.
+    without a parsable time are in no window. Revenue is NULL if every amount is NULL; amounts are
+    added up exactly, to the millionth, and the sum is rounded to cents.
 
     `distinct` is how users are counted:
 
     ``exact``      batch default. Spark's distinct aggregate: it first shuffles on the group
                    and the user, so that a hot group is spread over all tasks.
-    ``set``        stream default, update mode, watermark optional. State keeps the users of
-                   each group in `user_buckets` separate sets, so no state row holds a whole
-                   hot group. A stream emits one row per group and `user_bucket`;
-                   `latest_aggregates` adds them up. In batch they are added up here.
+    ``users``      stream default. The stream keeps no state: its rows are the events with
+                   their windows, `write_aggregate_log` adds up each micro-batch by group and
+                   user, and `latest_aggregates` all of them. Late events always count. In
+                   batch the same two steps are done here.
+    ``set``        batch only. The users of each group in `user_buckets` separate sets.
     ``two_level``  streams in append mode with a watermark. One small state row per group
-                   and user, however hot the group is.
+                   and user, however hot the group is. Events later than the watermark are
+                   dropped, as the progress of the query reports.
     ``approx``     HyperLogLog++ sketch. Constant state, inexact, opt-in.
     """
     if distinct is None:
-        distinct = "set" if df.isStreaming else "exact"
+        distinct = "users" if df.isStreaming else "exact"
     if distinct not in METHODS:
         raise ValueError(f"distinct must be one of {METHODS}, not {distinct!r}")
-    if df.isStreaming and distinct == "exact":
-        raise ValueError("a stream cannot use distinct='exact'; use 'set' or 'two_level'")
+    if df.isStreaming and distinct in ("exact", "set"):
+        raise ValueError(f"a stream cannot use distinct={distinct!r}; use 'users' or 'two_level'")
     if df.isStreaming and distinct == "two_level" and not watermark:
         raise ValueError("distinct='two_level' on a stream needs a watermark")
     if user_buckets < 1:
@@ -52,9 +53,13 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
         df = with_event_time(df)
     if watermark and df.isStreaming:
         df = df.withWatermark("event_time", watermark)
-    df = df.withColumn("cents", _cents(F.col("amount").cast("double")))
+    df = df.withColumn("amount", F.col("amount").cast("double").try_cast(AMOUNT))
 
     window = F.window("event_time", duration)
+    if df.isStreaming and distinct == "users":
+        return df.withColumn("window", window).select(
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+            "event_type", "country", "user_id", "amount")
     if df.isStreaming:
         # The watermark travels with the struct column, so it stays whole until the end.
         by = [window.alias("window"), F.col("event_type"), F.col("country")]
@@ -63,7 +68,7 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
         df = df.withColumn("window_start", window.getField("start"))
         by = [F.col("window_start"), F.col("event_type"), F.col("country")]
 
-    if distinct == "two_level":
+    if distinct in ("users", "two_level"):
         grouped = _two_level(df, by)
     elif distinct == "set":
         grouped = _bucketed_sets(df, by, user_buckets)
@@ -73,17 +78,16 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     return _flatten(grouped, duration)
 
 
-def _cents(amount: Column) -> Column:
-    # A sum of longs takes a quarter of the room that a sum of decimals does in shuffled rows
-    # and in state. NaN compares as larger than any number.
-    return F.when(F.abs(amount) < AMOUNT_LIMIT, F.rint(amount * 100).cast("long"))
+def to_cents(amount: Column) -> Column:
+    """An exact sum, rounded (half up) to cents."""
+    return F.round(amount, 2).cast(MONEY_SUM)
 
 
 def _measures(unique_users: Column) -> list[Column]:
     return [
         F.count("*").alias("event_count"),
         unique_users.alias("unique_users"),
-        F.sum("cents").alias("cents"),
+        F.sum("amount").alias("amount"),
     ]
 
 
@@ -93,11 +97,11 @@ def _names(by: list[Column], df: DataFrame) -> list[str]:
 
 def _two_level(df: DataFrame, by: list[Column]) -> DataFrame:
     per_user = df.groupBy(*by, "user_id").agg(
-        F.count("*").alias("n"), F.sum("cents").alias("cents"))
+        F.count("*").alias("n"), F.sum("amount").alias("amount"))
     return per_user.groupBy(*_names(by, per_user)).agg(
         F.sum("n").alias("event_count"),
         F.count("user_id").alias("unique_users"),
-        F.sum("cents").alias("cents"),
+        F.sum("amount").alias("amount"),
     )
 
 
@@ -105,21 +109,18 @@ def _bucketed_sets(df: DataFrame, by: list[Column], buckets: int) -> DataFrame:
     # A hash of the row, never a random number: a retried task has to rebuild the same rows.
     bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("user_bucket")
     parts = df.groupBy(*by, bucket).agg(*_measures(F.size(F.collect_set("user_id")).cast("long")))
-    if df.isStreaming:
-        return parts
     return parts.groupBy(*_names(by, parts)).agg(*[
-        F.sum(name).alias(name) for name in ("event_count", "unique_users", "cents")])
+        F.sum(name).alias(name) for name in ("event_count", "unique_users", "amount")])
 
 
 def _flatten(grouped: DataFrame, duration: str) -> DataFrame:
     if "window" in grouped.columns:
         start, end = F.col("window.start"), F.col("window.end")
     else:
+        # The window that begins there, so that a day with a change of clocks ends as in a stream.
         start = F.col("window_start")
-        end = start + F.expr(f"INTERVAL {duration}")
-    revenue = (F.col("cents").cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
-    part = ["user_bucket"] if "user_bucket" in grouped.columns else []
-    return grouped.select(
-        start.alias("window_start"), end.alias("window_end"), "event_type", "country", *part,
-        "event_count", "unique_users", revenue.alias("total_revenue"),
+        end = F.window(start, duration).getField("end")
+    return grouped.withColumn("window_end", end).select(
+        start.alias("window_start"), "window_end", "event_type", "country",
+        "event_count", "unique_users", to_cents(F.col("amount")).alias("total_revenue"),
     )

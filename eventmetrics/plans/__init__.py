@@ -2,6 +2,7 @@ from eventmetrics.plans import metrics
 from eventmetrics.plans.jobs import prepare_events, refresh_aggregates, run_batch, run_stream
 from eventmetrics.plans.quality import (
     assert_quality,
+    check_amounts,
     check_freshness,
     check_nulls,
     check_row_count,
@@ -10,6 +11,7 @@ from eventmetrics.plans.quality import (
 
 __all__ = [
     "assert_quality",
+    "check_amounts",
     "check_freshness",
     "check_nulls",
     "check_row_count",

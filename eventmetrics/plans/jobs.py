@@ -5,20 +5,28 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmetrics.operators import clean_events, enrich_events, window_aggregations
-from eventmetrics.operators.windows import USER_BUCKETS
-from eventmetrics.schema import WINDOW_DURATION
-from eventmetrics.sources import decode_events, read_aggregate_log, read_event_lake
+from eventmetrics.schema import WINDOW_DATE, WINDOW_DURATION
+from eventmetrics.session import file_system
+from eventmetrics.sources import (
+    decode_events,
+    read_aggregate_log,
+    read_aggregates,
+    read_event_lake,
+)
 from eventmetrics.sources.aggregates import Target
 from eventmetrics.streaming import (
     latest_aggregates,
     replace_aggregates,
+    replace_dates,
     write_aggregate_log,
     write_event_lake,
 )
 from eventmetrics.streaming.sinks import EVERY_30_SECONDS
+
 POLL_SECONDS = 5
 
 
@@ -34,16 +42,19 @@ def run_batch(spark: SparkSession, source: DataFrame, out: str,
 
     The source is decoded once. The aggregates read the five columns they need back from the
     lake. To add only what is new, use `run_stream` with the trigger `availableNow`, and a folder
-    of its own: a stream keeps a list of the lake's files, which a rebuild would not.
+    of its own: a stream keeps a list of the lake's files, which a rebuild would not, so its
+    folder is refused here.
     """
+    if _exists(spark, f"{out}/events/_spark_metadata"):
+        raise ValueError(f"{out}/events belongs to a stream; rebuild into another folder")
     write_event_lake(prepare_events(source), f"{out}/events", mode="overwrite")
     aggregates = window_aggregations(read_event_lake(spark, f"{out}/events"), duration)
     return replace_aggregates(aggregates, f"{out}/aggregates")
 
 
 def run_stream(spark: SparkSession, source: DataFrame, out: str,
-               duration: str = WINDOW_DURATION, distinct: str = "set",
-               watermark: str | None = None, user_buckets: int = USER_BUCKETS,
+               duration: str = WINDOW_DURATION, distinct: str = "users",
+               watermark: str | None = None,
                trigger: Mapping | None = None, wait: bool = True) -> list[StreamingQuery]:
     """Stream a source into `out`/events and `out`/aggregate_log.
 
@@ -51,12 +62,12 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     With `wait`, a bounded trigger (availableNow, once) returns when both are done, and a
     continuous one when either stops. If one fails, the other is stopped and the error raised.
 
-    `spark.sql.shuffle.partitions` of the first start is kept in the checkpoint: set it to the
-    size the state will need before then.
+    With `two_level` or `approx`, `spark.sql.shuffle.partitions` of the first start is kept in the
+    checkpoint: set it to the size the state will need before then.
     """
     trigger = trigger or EVERY_30_SECONDS
     events = prepare_events(source)
-    aggregates = window_aggregations(events, duration, distinct, watermark, user_buckets)
+    aggregates = window_aggregations(events, duration, distinct, watermark)
     output_mode = "append" if distinct == "two_level" else "update"
     queries = []
     try:
@@ -76,14 +87,41 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
 
 
 def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = None) -> DataFrame:
-    """Load the newest state of `out`/aggregate_log into a serving table and return it.
+    """Bring a serving table up to date with `out`/aggregate_log and return it.
 
-    The table is `out`/aggregates or a database table. Between refreshes,
+    The table is `out`/aggregates, of which only the dates that micro-batches have touched since
+    the last refresh are computed and replaced; or a database table, which is loaded anew. A
+    refresh that fails half-way is simply run again. Between refreshes,
     `latest_aggregates(read_aggregate_log(...))` answers the same queries from the log itself;
     look-backs reach its scan too.
     """
     log = read_aggregate_log(spark, f"{out}/aggregate_log")
-    return replace_aggregates(latest_aggregates(log), target or f"{out}/aggregates")
+    if target:
+        return replace_aggregates(latest_aggregates(log), target)
+    table, mark = f"{out}/aggregates", f"{out}/aggregates_refreshed"
+    if not _exists(spark, table) or not _exists(spark, mark):
+        last = log.agg(F.max("batch_id")).first()[0]
+        replace_aggregates(latest_aggregates(log), table)
+    else:
+        done = spark.read.schema(_MARK).parquet(mark).first()["batch_id"]
+        new = log.filter(F.col("batch_id") > F.lit(done))
+        last = new.agg(F.max("batch_id")).first()[0]
+        if last is not None:
+            # One row for each calendar date.
+            dates = [r[0] for r in new.select(WINDOW_DATE).distinct().collect()]
+            replace_dates(latest_aggregates(log.filter(F.col(WINDOW_DATE).isin(dates))), table)
+    if last is not None:
+        spark.range(1).select(F.lit(last).cast("long").alias("batch_id")).write.mode(
+            "overwrite").parquet(mark)
+    return read_aggregates(spark, table)
+
+
+_MARK = "batch_id BIGINT"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, where = file_system(spark, path)
+    return files.exists(where)
 
 
 def _await(queries: list[StreamingQuery], bounded: bool) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmetrics.functions.filters import AsOf, instant
+from eventmetrics.schema import AMOUNT
 
 REQUIRED = ("event_type", "window_start")
 MAX_AGE = "1 day"
@@ -38,6 +39,7 @@ _FAILS = {
     "row_count": (lambda n: n == 0, "the table is empty"),
     "freshness": (lambda n: n == 0, f"nothing was written within {MAX_AGE}"),
     "nulls": (lambda n: n > 0, "rows lack a required value"),
+    "amounts": (lambda n: n > 0, "amounts are not numbers that can be added up"),
 }
 
 
@@ -70,6 +72,13 @@ def check_nulls(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
     return _report(df, {"nulls": _null_count(columns)})
 
 
+def check_amounts(events: DataFrame, column: str = "amount") -> DataFrame:
+    """Fails if an event's amount is no finite number of money: those count as missing in revenue."""
+    amount = F.col(column).cast("double")
+    return _report(events, {"amounts": F.count_if(
+        amount.isNotNull() & amount.try_cast(AMOUNT).isNull())})
+
+
 def check_freshness(df: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Fails if no row was created less than a day before `as_of`."""
     return _report(df, {"freshness": _fresh_count(df, as_of)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    DateType,
     DecimalType,
     DoubleType,
     LongType,
@@ -26,11 +27,11 @@ EVENT_SCHEMA = StructType(
     + [StructField("amount", DoubleType())]
 )
 
-# Money is summed in whole cents, so that the total does not depend on the order in which
-# partitions are merged. An amount that does not fit NUMERIC(12,2) counts as missing; a sum of
-# cents in a long then has room for nine million amounts of the largest size.
-AMOUNT_LIMIT = 1e10
-MONEY_SUM = DecimalType(28, 2)
+# Amounts are summed as decimals, so that the total does not depend on the order in which
+# partitions are merged, and a sum is rounded to cents once, at the end. NaN and infinity have no
+# decimal; the check `amounts` counts them.
+AMOUNT = DecimalType(38, 6)
+MONEY_SUM = DecimalType(38, 2)
 
 # What identifies one aggregate.
 AGGREGATE_KEY = ("window_start", "window_end", "event_type", "country")
@@ -52,11 +53,17 @@ _CREATED_AT = StructField("created_at", TimestampType())
 # Serving table: one row per key.
 AGGREGATE_SCHEMA = StructType(_KEY_FIELDS + _MEASURE_FIELDS + [_CREATED_AT])
 
-# Aggregate log: one row per key, user bucket and micro-batch that changed it.
-# `batch_id` is the name of the directory, hence last.
+# As it is stored: by date, which is the name of a directory and hence last.
+WINDOW_DATE = "window_date"
+SERVING_SCHEMA = StructType(AGGREGATE_SCHEMA.fields + [StructField(WINDOW_DATE, DateType())])
+
+# Aggregate log, by date and micro-batch. A row has either one user's share of a key in that
+# micro-batch (no unique_users; such rows add up), or the key's state after it (no user_id; the
+# newest counts). Revenue is not rounded yet.
 AGGREGATE_LOG_SCHEMA = StructType(
     _KEY_FIELDS
-    + [StructField("user_bucket", LongType())]
-    + _MEASURE_FIELDS
-    + [_CREATED_AT, StructField("batch_id", LongType())]
+    + [StructField("user_id", StringType())]
+    + _MEASURE_FIELDS[:2]
+    + [StructField("total_revenue", AMOUNT), _CREATED_AT, StructField(WINDOW_DATE, DateType()),
+       StructField("batch_id", LongType())]
 )

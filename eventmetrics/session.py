@@ -38,16 +38,42 @@ def pin_time_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new, uniquely named path in the folder that all executors share.
+_ROOTS: dict[str, str] = {}
 
-    The folder is the session's `spark.checkpoint.dir`. Where that is unset a local master
-    gets a temporary folder; on a cluster a machine-local folder would not be seen by the
-    other machines, so it is an error.
-    """
+
+def file_system(spark: SparkSession, path: str):
+    """Spark's own file system object and path object for a path, whatever its scheme."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _shared_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = getattr(spark.sparkContext, "_jsc", None)
+    if not shared and context is not None and context.sc().getCheckpointDir().isDefined():
+        shared = context.sc().getCheckpointDir().get()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="eventmetrics-")
-    return f"{shared.rstrip('/')}/eventmetrics-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new, uniquely named path in the folder that all executors share.
+
+    The folder is the session's `spark.checkpoint.dir`, or else what `setCheckpointDir` was given.
+    Where neither is set a local master gets a temporary folder; on a cluster a machine-local
+    folder would not be seen by the other machines, so it is an error. What is left there is
+    deleted when the driver's JVM ends.
+    """
+    application = getattr(spark.sparkContext, "applicationId", None)
+    if application is None:
+        return f"{_shared_dir(spark)}/eventmetrics-{uuid.uuid4().hex}"
+    if application not in _ROOTS:
+        root = f"{_shared_dir(spark)}/eventmetrics-{uuid.uuid4().hex}"
+        files, where = file_system(spark, root)
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _ROOTS[application] = root
+    return f"{_ROOTS[application]}/{uuid.uuid4().hex}"

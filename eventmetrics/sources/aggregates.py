@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmetrics.schema import AGGREGATE_LOG_SCHEMA, AGGREGATE_SCHEMA
+from eventmetrics.schema import AGGREGATE_LOG_SCHEMA, SERVING_SCHEMA
 
 Target = str | Mapping[str, str]
 
@@ -18,7 +18,7 @@ Target = str | Mapping[str, str]
 TABLE = "event_aggregates"
 COLUMN_TYPES = (
     "event_type VARCHAR(50), country VARCHAR(10), "
-    "event_count BIGINT, unique_users BIGINT, total_revenue NUMERIC(12,2)"
+    "event_count BIGINT, unique_users BIGINT, total_revenue NUMERIC(38,2)"
 )
 
 
@@ -29,6 +29,8 @@ def jdbc_options(target: Mapping[str, str]) -> dict[str, str]:
     defaults = {"batchsize": "10000", "fetchsize": "10000"}
     if "query" not in target:
         defaults["dbtable"] = TABLE
+    if {"lowerBound", "upperBound", "numPartitions"} <= set(target):
+        defaults["partitionColumn"] = "window_start"
     return {**defaults, **target}
 
 
@@ -36,14 +38,17 @@ def read_aggregates(spark: SparkSession, target: Target,
                     predicates: Sequence[str] | None = None) -> DataFrame:
     """The serving table. Filters and columns are pushed into Parquet or the database.
 
-    From a database it arrives in one task, unless `predicates` (disjoint SQL conditions,
-    one task each) or Spark's `partitionColumn`, `lowerBound`, `upperBound` and
-    `numPartitions` options split the read.
+    From Parquet it has the date of each window as well. From a database it arrives in one task,
+    unless `predicates` (disjoint SQL conditions, one task each) or the options `lowerBound`,
+    `upperBound` and `numPartitions` split the read, by window_start if no `partitionColumn` is
+    given.
     """
     if isinstance(target, str):
-        return spark.read.schema(AGGREGATE_SCHEMA).parquet(target)
+        return spark.read.schema(SERVING_SCHEMA).parquet(target)
     options = jdbc_options(target)
     if predicates:
+        if "dbtable" not in options:
+            raise ValueError("predicates split a table ('dbtable'), not a 'query'")
         url, table = options.pop("url"), options.pop("dbtable")
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
     return spark.read.format("jdbc").options(**options).load()

@@ -2,6 +2,7 @@ from eventmetrics.streaming.sinks import (
     compact_aggregate_log,
     latest_aggregates,
     replace_aggregates,
+    replace_dates,
     write_aggregate_log,
     write_aggregates_jdbc,
     write_event_lake,
@@ -11,6 +12,7 @@ __all__ = [
     "compact_aggregate_log",
     "latest_aggregates",
     "replace_aggregates",
+    "replace_dates",
     "write_aggregate_log",
     "write_aggregates_jdbc",
     "write_event_lake",

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
+from eventmetrics.operators.windows import to_cents
 from eventmetrics.schema import (
     AGGREGATE_KEY,
     AGGREGATE_LOG_SCHEMA,
-    AGGREGATE_SCHEMA,
     MEASURES,
-    MONEY_SUM,
+    SERVING_SCHEMA,
+    WINDOW_DATE,
 )
 from eventmetrics.sources.aggregates import (
     COLUMN_TYPES,
@@ -27,9 +28,8 @@ LAKE_PARTITIONS = ("event_date", "event_type")
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
 DATABASE_WRITERS = 8
-ROWS_PER_LOG_FILE = 1_000_000
 
-_LOG_KEY = (*AGGREGATE_KEY, "user_bucket")
+_DYNAMIC = ("partitionOverwriteMode", "dynamic")  # replaces the folders that are written, only
 
 
 def write_event_lake(df: DataFrame, path: str, checkpoint: str | None = None,
@@ -58,35 +58,35 @@ def write_event_lake(df: DataFrame, path: str, checkpoint: str | None = None,
 def write_aggregate_log(df: DataFrame, path: str, checkpoint: str,
                         trigger: Mapping | None = None,
                         output_mode: str = "update") -> StreamingQuery:
-    """Append each micro-batch's changed aggregates to a log, in a folder of their own.
+    """Append each micro-batch's rows to a log, by window date and then by micro-batch.
 
-    A micro-batch may run again after a failure. It then replaces its own folder, so nothing
-    is counted twice. An empty micro-batch writes nothing; the log is there from the start, as
-    a folder without rows.
+    Events with their windows (the method `users`) are added up by group and user within the
+    micro-batch; aggregates are written as they are. A micro-batch may run again after a failure.
+    It then replaces its own folders, so nothing is counted twice. An empty micro-batch writes
+    nothing; the log is there from the start, as a folder without rows.
     """
-    empty = df.sparkSession.createDataFrame([], AGGREGATE_LOG_SCHEMA).drop("batch_id")
-    empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
+    empty = df.sparkSession.createDataFrame([], AGGREGATE_LOG_SCHEMA)
+    empty.drop(WINDOW_DATE, "batch_id").write.mode("ignore").parquet(
+        f"{path}/{WINDOW_DATE}=__HIVE_DEFAULT_PARTITION__/batch_id=-1")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Counting fills the cache with the parallelism of the state. The write then merges
-        # cached partitions into few files without moving rows or running the state again.
-        rows = _log_rows(batch).drop("batch_id").persist()
-        try:
-            count = rows.count()
-            if count:
-                files = -(-count // ROWS_PER_LOG_FILE)
-                rows.coalesce(files).write.mode("overwrite").parquet(
-                    f"{path}/batch_id={batch_id}")
-        finally:
-            rows.unpersist()
+        rows = _log_rows(batch, batch_id)
+        # Few files for each date, and several tasks for a date with very many rows.
+        (rows.hint("rebalance", WINDOW_DATE).write.mode("overwrite").option(*_DYNAMIC)
+            .partitionBy(WINDOW_DATE, "batch_id").parquet(path))
 
     return (df.writeStream.foreachBatch(write_batch).outputMode(output_mode)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_30_SECONDS))
             .queryName(f"aggregate-log {path}").start())
 
 
-def _log_rows(df: DataFrame) -> DataFrame:
-    fill = {"user_bucket": F.lit(0), "created_at": F.current_timestamp(), "batch_id": F.lit(None)}
+def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
+    if "unique_users" not in df.columns:
+        df = df.groupBy(*AGGREGATE_KEY, "user_id").agg(
+            F.count("*").alias("event_count"), F.sum("amount").alias("total_revenue"))
+    fill = {"user_id": F.lit(None), "unique_users": F.lit(None),
+            "created_at": F.current_timestamp(), WINDOW_DATE: F.to_date("window_start"),
+            "batch_id": F.lit(batch_id)}
     return _conform(df, AGGREGATE_LOG_SCHEMA, fill)
 
 
@@ -97,25 +97,42 @@ def _conform(df: DataFrame, schema, fill) -> DataFrame:
     ])
 
 
-def _newest(log: DataFrame) -> DataFrame:
+_DATED_KEY = (WINDOW_DATE, *AGGREGATE_KEY)
+
+
+def _shares(log: DataFrame, *more: str) -> DataFrame:
+    """The log's rows of users, added up over micro-batches."""
+    return (log.filter("unique_users IS NULL").groupBy(*_DATED_KEY, "user_id", *more)
+            .agg(F.sum("event_count").alias("event_count"),
+                 F.sum("total_revenue").alias("total_revenue"),
+                 F.max("created_at").alias("created_at")))
+
+
+def _states(log: DataFrame) -> DataFrame:
+    """The newest of the log's rows of states."""
     # One max_by per measure: their buffers have fixed width, so this is a hash aggregate; a
     # struct would force a sort. A batch writes a key once, so all three take the same row.
     newest = [F.max_by(name, "batch_id").alias(name) for name in (*MEASURES, "created_at")]
-    return log.groupBy(*_LOG_KEY).agg(*newest, F.max("batch_id").alias("batch_id"))
+    return (log.filter("unique_users IS NOT NULL").groupBy(*_DATED_KEY)
+            .agg(*newest, F.max("batch_id").alias("batch_id")))
 
 
 def latest_aggregates(log: DataFrame) -> DataFrame:
-    """One row per key from a log: the newest row of each user bucket, added up."""
-    return _newest(log).groupBy(*AGGREGATE_KEY).agg(
-        F.sum("event_count").alias("event_count"),
-        F.sum("unique_users").alias("unique_users"),
-        F.sum("total_revenue").cast(MONEY_SUM).alias("total_revenue"),
-        F.max("created_at").alias("created_at"),
-    )
+    """One row per key from a log, with the window's date: filters on it skip folders of the log.
+
+    Users' rows are added up, and their number is the distinct users. Of rows of states the newest
+    counts.
+    """
+    columns = [*_DATED_KEY, *MEASURES, "created_at"]
+    users = _shares(log).groupBy(*_DATED_KEY).agg(
+        F.sum("event_count").alias("event_count"), F.count("user_id").alias("unique_users"),
+        F.sum("total_revenue").alias("total_revenue"), F.max("created_at").alias("created_at"))
+    both = users.select(*columns).unionByName(_states(log).select(*columns))
+    return both.withColumn("total_revenue", to_cents(F.col("total_revenue")))
 
 
 def compact_aggregate_log(log: DataFrame, path: str) -> None:
-    """Write the log without superseded rows to a new path, while its stream is stopped.
+    """Write the log with its rows merged to a new path, while its stream is stopped.
 
     Everything older than the last batch goes into batch 0. The last batch keeps its number
     because a restart may run it once more. Restart the stream on the new path with the same
@@ -124,30 +141,46 @@ def compact_aggregate_log(log: DataFrame, path: str) -> None:
     last = log.agg(F.max("batch_id")).first()[0]
     if last is None:
         raise ValueError("the log is empty")
-    kept = F.when(F.col("batch_id") == last, F.col("batch_id")).otherwise(F.lit(0))
-    (_newest(log).withColumn("batch_id", kept.cast("long"))
-        .hint("rebalance", "batch_id").sortWithinPartitions("batch_id", "window_start")
-        .write.mode("errorifexists").partitionBy("batch_id").parquet(path))
+    kept = F.when(F.col("batch_id") == last, F.col("batch_id")).otherwise(F.lit(0)).cast("long")
+    users = _shares(log.withColumn("batch_id", kept), "batch_id")
+    states = _states(log).withColumn("batch_id", kept)
+    fill = {"user_id": F.lit(None), "unique_users": F.lit(None)}
+    rows = _conform(users, AGGREGATE_LOG_SCHEMA, fill).unionByName(
+        _conform(states, AGGREGATE_LOG_SCHEMA, fill))
+    (rows.hint("rebalance", WINDOW_DATE).sortWithinPartitions(WINDOW_DATE, "window_start")
+        .write.mode("errorifexists").partitionBy(WINDOW_DATE, "batch_id").parquet(path))
 
 
 def _serving_rows(df: DataFrame) -> DataFrame:
-    return _conform(df, AGGREGATE_SCHEMA, {"created_at": F.current_timestamp()})
+    return _conform(df, SERVING_SCHEMA, {"created_at": F.current_timestamp(),
+                                         WINDOW_DATE: F.to_date("window_start")})
+
+
+def _write_serving_table(df: DataFrame, path: str, dynamic: bool) -> None:
+    # Ranges of time within a date, so that look-backs skip row groups; the other key columns take
+    # part in them because one window may hold very many rows.
+    writer = (_serving_rows(df).repartitionByRange("window_start", "event_type", "country")
+              .sortWithinPartitions(WINDOW_DATE, "window_start", "event_type", "country")
+              .write.mode("overwrite").partitionBy(WINDOW_DATE))
+    (writer.option(*_DYNAMIC) if dynamic else writer.option(_DYNAMIC[0], "static")).parquet(path)
 
 
 def replace_aggregates(df: DataFrame, target: Target) -> DataFrame:
     """Empty the serving table and load all rows; returns the table.
 
-    Parquet is laid out by window_start, so that look-backs skip files and row groups. The
-    other key columns take part in the ranges because one window may hold very many rows.
+    Parquet has a folder for each date, within which it is laid out by window_start.
     """
-    rows = _serving_rows(df)
+    spark = df.sparkSession
     if isinstance(target, str):
-        (rows.repartitionByRange("window_start", "event_type", "country")
-            .sortWithinPartitions("window_start", "event_type", "country")
-            .write.mode("overwrite").parquet(target))
+        _write_serving_table(df, target, dynamic=False)
     else:
-        _to_database(rows, {"truncate": "true", **target}, "overwrite")
-    return read_aggregates(df.sparkSession, target)
+        _to_database(_serving_rows(df), {"truncate": "true", **target}, "overwrite")
+    return read_aggregates(spark, target)
+
+
+def replace_dates(df: DataFrame, path: str) -> None:
+    """Replace the dates that the rows have in a serving table of Parquet; others stay untouched."""
+    _write_serving_table(df, path, dynamic=True)
 
 
 def write_aggregates_jdbc(df: DataFrame, url: str, table: str | None = None,
@@ -177,4 +210,7 @@ def _to_database(rows: DataFrame, target: Mapping[str, str], mode: str) -> None:
         "numPartitions": str(DATABASE_WRITERS),
         **jdbc_options(target),
     }
-    database_rows(rows).write.format("jdbc").options(**options).mode(mode).save()
+    # An exchange of its own: Spark would merge tasks down to the number of connections, and
+    # with them all of the work since the last exchange.
+    (database_rows(rows.drop(WINDOW_DATE)).repartition(int(options["numPartitions"]))
+        .write.format("jdbc").options(**options).mode(mode).save())

@@ -6,9 +6,6 @@ from pathlib import Path
 
 import duckdb
 
-NUMBERS = {"tinyint": "int", "smallint": "int", "integer": "int", "bigint": "int",
-           "int": "int", "hugeint": "hugeint"}
-
 
 def run_sql(sql: str, sf_dir: str):
     """Column names, types and rows."""

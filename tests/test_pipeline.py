@@ -20,7 +20,7 @@ KEY = ["window_start", "window_end", "event_type", "country"]
 
 
 def plain(df):
-    return rows_of(df.drop("created_at"))
+    return rows_of(df.drop("created_at", "window_date"))
 
 
 @pytest.fixture(scope="module")
@@ -55,7 +55,7 @@ def stream_of(spark, folder):
     return em.read_event_stream(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"})
 
 
-def run(spark, folder, out, distinct="set", log="aggregate_log", **how):
+def run(spark, folder, out, distinct="users", log="aggregate_log", **how):
     """Only the aggregates of the pipeline, which most tests here are about."""
     aggregates = em.window_aggregations(
         em.prepare_events(stream_of(spark, folder)), LONG, distinct, **how)
@@ -137,7 +137,7 @@ def test_serving_table_is_replaced_and_pushes_filters_down(spark, std, tmp_path)
     aggregates = em.window_aggregations(em.clean_events(std))
     em.replace_aggregates(aggregates.limit(3), path)
     table = em.replace_aggregates(aggregates, path)
-    assert table.schema == em.AGGREGATE_SCHEMA
+    assert table.schema == em.SERVING_SCHEMA
     assert plain(table) == plain(aggregates)
     assert table.filter("created_at IS NULL").count() == 0
     kpis = metrics.kpi_summary(table, "Last 24 Hours", country="US", as_of="2024-01-31")
@@ -145,13 +145,15 @@ def test_serving_table_is_replaced_and_pushes_filters_down(spark, std, tmp_path)
     pushed = plan.split("PushedFilters:")[1].split("]")[0]
     assert "EqualTo(country,US)" in pushed
     assert "GreaterThanOrEqual(window_start,2024-01-30" in pushed
+    folders = plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "window_date" in folders and ">= 2024-01-30" in folders
 
 
 def test_database_rows_hold_utc_without_a_zone(spark, std):
     rows = database_rows(em.window_aggregations(std))
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     assert types["window_start"] == types["window_end"] == "timestamp_ntz"
-    assert types["total_revenue"] == "decimal(28,2)"
+    assert types["total_revenue"] == "decimal(38,2)"
 
 
 def test_a_database_without_its_driver_says_so(spark, std):
@@ -178,25 +180,28 @@ def test_both_outputs_of_a_stream_equal_batch(spark, topic, tmp_path, expected,
         em.prepare_events(std))
 
 
-@pytest.mark.parametrize("how", [
-    {"user_buckets": 1}, {"user_buckets": 32}, {"distinct": "approx"}])
-def test_rows_of_one_key_are_not_added_up(spark, topic, tmp_path, expected, how):
+def test_states_of_one_key_are_not_added_up(spark, topic, tmp_path, expected):
     folder, send = topic
     send(0, 1, 2, 3)
-    run(spark, folder, tmp_path, **how)
+    run(spark, folder, tmp_path, distinct="approx")
     log, latest = log_of(spark, tmp_path), em.latest_aggregates(log_of(spark, tmp_path))
     assert log.select("batch_id").distinct().count() == 4
-    if "distinct" in how:  # sketched users differ, the rest does not
-        without = [c for c in latest.columns if c not in ("unique_users", "created_at")]
-        order = sorted([*without, "unique_users"]).index("unique_users")
-        assert rows_of(latest.select(without)) == sorted(
-            row[:order] + row[order + 1:] for row in expected)
-    else:
-        assert plain(latest) == expected
+    # Sketched users differ, the rest does not.
+    without = [c for c in latest.columns if c not in ("unique_users", "created_at", "window_date")]
+    order = sorted([*without, "unique_users"]).index("unique_users")
+    assert rows_of(latest.select(without)) == sorted(
+        row[:order] + row[order + 1:] for row in expected)
     once = latest.agg(F.sum("event_count")).first()[0]
     assert log.agg(F.sum("event_count")).first()[0] > once
 
 
+def test_the_stream_keeps_no_state(spark, topic, tmp_path):
+    folder, send = topic
+    send(0, 1)
+    run(spark, folder, tmp_path)
+    assert not list((tmp_path / "checkpoints").glob("**/state/*/*"))
+
+
 def test_events_in_any_order_of_time_are_counted(spark, topic, tmp_path, expected):
     folder, send = topic
     send(7, 5, 4, 6)
@@ -235,7 +240,7 @@ def test_an_empty_batch_writes_nothing(spark, topic, tmp_path):
     send("garbage")
     run(spark, folder, tmp_path)
     assert log_of(spark, tmp_path).count() == 0
-    written = [p.name for p in (tmp_path / "aggregate_log").iterdir() if p.is_dir()]
+    written = [p.name for p in (tmp_path / "aggregate_log").glob("*/*") if p.is_dir()]
     assert written == ["batch_id=-1"]
     send(0)
     run(spark, folder, tmp_path)
@@ -266,28 +271,78 @@ def test_compacting_an_empty_log_is_refused(spark, tmp_path):
         em.compact_aggregate_log(log, str(tmp_path / "no"))
 
 
-def test_look_backs_reach_the_scan_of_the_log(spark):
-    log = spark.createDataFrame([], em.AGGREGATE_LOG_SCHEMA)
+def test_look_backs_reach_the_scan_of_the_log(spark, topic, tmp_path):
+    folder, send = topic
+    send(0)
+    run(spark, folder, tmp_path)
+    log = log_of(spark, tmp_path)
     kpis = metrics.kpi_summary(em.latest_aggregates(log), as_of="2024-01-31")
-    plan = kpis._jdf.queryExecution().optimizedPlan().toString()
-    bottom = plan.splitlines()[-2]
-    assert "Filter" in bottom and "window_start" in bottom
-    assert "SortAggregate" not in kpis._jdf.queryExecution().executedPlan().toString()
+    plan = kpis._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # rows of users and rows of states
+    for scan in plan.split("FileScan")[1:]:
+        assert ">= 2024-01-30" in scan.split("PartitionFilters:")[1].split("]")[0]
+        assert "GreaterThanOrEqual(window_start,2024-01-30" in scan.split("PushedFilters:")[1]
+    assert "SortAggregate" not in plan
 
 
-def test_no_state_row_holds_a_whole_hot_group(spark, topic, tmp_path):
+def test_a_user_in_several_batches_counts_once(spark, topic, tmp_path):
     folder, send = topic
     event = {"event_type": "search", "timestamp": "2024-06-01T00:00:00", "country": "US"}
     for half in (range(0, 1500), range(500, 2000)):  # a third of the users come twice
         send("\n".join(json.dumps({**event, "user_id": f"u{i}"}) for i in half))
-    run(spark, folder, tmp_path, user_buckets=8)
-    newest = log_of(spark, tmp_path).filter("batch_id = 1")
-    assert newest.count() == 8
-    assert newest.agg(F.max("unique_users")).first()[0] < 2000 / 4
+    run(spark, folder, tmp_path)
     whole = em.latest_aggregates(log_of(spark, tmp_path)).first()
     assert (whole["event_count"], whole["unique_users"]) == (3000, 2000)
 
 
+def test_a_refresh_replaces_only_what_changed(spark, topic, tmp_path):
+    folder, send = topic
+    event = {"event_type": "search", "user_id": "u", "country": "US"}
+
+    def at(*days):
+        return "\n".join(json.dumps({**event, "timestamp": f"2024-06-{d:02d}T00:00:00"}) for d in days)
+
+    def files():
+        return {p.parent.name: p.name for p in (tmp_path / "aggregates").glob("*/*.parquet")}
+
+    counts = []
+    for message in (at(1, 8, 15), at(8, 8), "garbage", at(22)):  # late events for the second week
+        send(message)
+        run(spark, folder, tmp_path)
+        em.refresh_aggregates(spark, str(tmp_path))
+        counts.append(files())
+        table = em.read_aggregates(spark, f"{tmp_path}/aggregates")
+        assert plain(table) == plain(em.latest_aggregates(log_of(spark, tmp_path)))
+    first, second, third, fourth = counts
+    assert {day for day in first if first[day] != second[day]} == {"window_date=2024-06-06"}
+    assert second == third and fourth.keys() - third.keys() == {"window_date=2024-06-20"}
+    assert all(fourth[day] == third[day] for day in third)
+
+
+def test_a_rebuild_into_the_folder_of_a_stream_is_refused(spark, topic, tmp_path, std):
+    folder, send = topic
+    send(0)
+    run_both(spark, folder, tmp_path)
+    with pytest.raises(ValueError, match="stream"):
+        em.run_batch(spark, std, str(tmp_path))
+
+
+def test_stream_queries_hold_for_any_span_of_time(spark, tmp_path):
+    import __spark_entry__ as contract
+    from eventmetrics.fixtures import TABLE_SCHEMA
+
+    spread = spark.read.schema(TABLE_SCHEMA).parquet("/root/testdata/sf0.001/events.parquet").withColumn(
+        "ts", F.expr("TIMESTAMP_NTZ '2024-01-01' + (ts - TIMESTAMP_NTZ '2024-01-01') * 8"))
+    spread.write.parquet(f"{tmp_path}/events.parquet")
+    queries = contract.queries()
+    six_hours = rows_of(queries["windowed_aggregates_6h"](spark, str(tmp_path)))
+    for name in ("stream_aggregates_6h", "stream_aggregates_two_level", "compacted_log"):
+        assert rows_of(queries[name](spark, str(tmp_path))) == six_hours
+    five_minutes = rows_of(queries["windowed_aggregates"](spark, str(tmp_path)))
+    for name in ("stream_aggregates", "serving_table_incremental"):
+        assert rows_of(queries[name](spark, str(tmp_path))) == five_minutes
+
+
 def test_two_level_counts_equal_batch_once_windows_have_closed(spark, topic, tmp_path, expected):
     folder, send = topic
     sentinel = {"user_id": "z", "event_type": "search", "timestamp": "2100-01-01T00:00:00"}
@@ -310,7 +365,7 @@ def test_a_watermark_drops_late_events_and_none_keeps_them(spark, topic, tmp_pat
     counts = {}
     for watermark in (None, "1 day"):
         out = tmp_path / str(watermark)
-        run(spark, folder, out, watermark=watermark)
+        run(spark, folder, out, distinct="approx", watermark=watermark)
         latest = em.latest_aggregates(log_of(spark, out))
         counts[watermark] = latest.agg(F.sum("event_count")).first()[0]
     assert counts == {None: 4, "1 day": 3}

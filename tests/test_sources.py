@@ -11,6 +11,7 @@ from eventmetrics import (
     decode_events,
     encode_events,
     peek_events,
+    read_aggregates,
     read_events,
     write_events,
 )
@@ -46,12 +47,6 @@ def test_encoding_writes_nulls_and_round_trips(four_rows):
     assert rows_of(decode_events(encoded)) == rows_of(four_rows)
 
 
-def test_only_some_events_carry_an_amount(std):
-    amounts = [json.loads(r["value"])["amount"] for r in encode_events(std).collect()]
-    assert any(a is None for a in amounts)
-    assert any(a is not None for a in amounts)
-
-
 def test_each_message_is_parsed_once(std):
     plan = clean_events(decode_events(encode_events(std)))._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("from_json") == 1
@@ -118,6 +113,19 @@ def test_jdbc_options_fill_in_the_table():
         jdbc_options({"dbtable": "t"})
 
 
+def test_a_database_read_is_split_by_time_if_its_bounds_are_given():
+    bounds = {"url": "jdbc:x:y", "lowerBound": "2024-01-01", "upperBound": "2024-02-01"}
+    assert "partitionColumn" not in jdbc_options(bounds)
+    assert jdbc_options({**bounds, "numPartitions": "9"})["partitionColumn"] == "window_start"
+    own = {**bounds, "numPartitions": "9", "partitionColumn": "event_count"}
+    assert jdbc_options(own)["partitionColumn"] == "event_count"
+
+
+def test_predicates_need_a_table(spark):
+    with pytest.raises(ValueError, match="query"):
+        read_aggregates(spark, {"url": "jdbc:x:y", "query": "SELECT 1"}, ["1 = 1"])
+
+
 def test_column_sizes_are_a_valid_declaration(spark):
     assert StructType.fromDDL(COLUMN_TYPES).fieldNames() == [
         "event_type", "country", "event_count", "unique_users", "total_revenue"]

@@ -7,10 +7,16 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from eventmetrics import EVENT_TYPES, clean_events, window_aggregations
+from eventmetrics import (
+    EVENT_TYPES,
+    check_amounts,
+    clean_events,
+    window_aggregations,
+    with_event_time,
+)
 from tests.conftest import rows_of
 
-EXACT = ["exact", "set", "two_level"]
+EXACT = ["exact", "set", "users", "two_level"]
 
 
 def by_key(df):
@@ -53,12 +59,41 @@ def test_revenue_of_no_amounts_is_null(events, distinct):
     assert groups["11:00", "page_view", "DE"]["total_revenue"] == Decimal("0.30")
 
 
-def test_amounts_that_are_not_money_do_not_stop_the_job(events):
-    row = window_aggregations(events(
-        {"amount": 1e300}, {"amount": float("nan")}, {"amount": float("-inf")}, {"amount": 1e10},
-        {"amount": 9999999999.99}, {"amount": -0.29})).first()
-    assert row["event_count"] == 6
-    assert row["total_revenue"] == Decimal("9999999999.70")
+@pytest.mark.parametrize("distinct", EXACT)
+def test_amounts_of_any_size_are_added_up_and_rounded_once(events, distinct):
+    def revenue(*amounts):
+        rows = [{"amount": amount} for amount in amounts]
+        return window_aggregations(events(*rows), distinct=distinct).first()["total_revenue"]
+
+    assert revenue(2e10, 1.0) == Decimal("20000000001.00")
+    assert revenue(1e20, 0.01) == Decimal("100000000000000000000.01")
+    assert revenue(1.005) == Decimal("1.01") and revenue(0.125) == Decimal("0.13")
+    assert revenue(0.004, 0.004, 0.004) == Decimal("0.01")
+    assert revenue(0.1, 0.2, -0.3) == Decimal("0.00")
+
+
+def test_amounts_that_are_no_numbers_are_missing_and_a_check_counts_them(events):
+    df = events({"amount": float("nan")}, {"amount": float("-inf")}, {"amount": -0.29},
+                {"amount": None})
+    row = window_aggregations(df).first()
+    assert (row["event_count"], row["total_revenue"]) == (4, Decimal("-0.29"))
+    check = check_amounts(df).first()
+    assert (check["check"], check["observed"], check["status"]) == ("amounts", 2, "failed")
+
+
+def test_a_day_of_23_hours_ends_with_the_day(spark, events):
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "America/New_York")
+    try:
+        df = with_event_time(events({"timestamp": "2024-03-10T12:00:00"}))
+        window = F.window("event_time", "1 day")
+        expected = df.select(window.start.cast("string"), window.end.cast("string")).first()
+        got = window_aggregations(df, "1 day").select(
+            F.col("window_start").cast("string"), F.col("window_end").cast("string")).first()
+        assert tuple(got) == tuple(expected)
+    finally:
+        spark.conf.set(zone, before)
 
 
 def test_every_amount_of_two_decimals_is_exact(spark, events):
