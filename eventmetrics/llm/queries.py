@@ -9,7 +9,14 @@ import corpus_pipeline
 from eventmetrics.llm.decontamination import contamination
 from eventmetrics.llm.exact_dedup import duplicate_groups
 from eventmetrics.llm.language_id import language_id
-from eventmetrics.llm.licenses import NOTICE, scan_licenses
+from eventmetrics.llm.licenses import (
+    LICENCE_FILE,
+    MIN_SIMILARITY,
+    NOTICE,
+    TEMPLATES,
+    TOKEN,
+    scan_licenses,
+)
 from eventmetrics.llm.line_dedup import line_dedup
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
@@ -84,6 +91,68 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 
+
+def _license_sql() -> str:
+    """The same as `scan_licenses` on the files of `op9_license_scan`."""
+    templates = ", ".join(
+        f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+    tokens = f"regexp_extract_all(lower(notice), '{TOKEN}')"
+    best = "min(struct_pack(low := -similarity, license := license))"
+    directory = "regexp_extract(path, '^(.*)/[^/]*$', 1)"
+    return f"""WITH file AS (
+  SELECT doc_id, text, source || '/' || CAST(doc_id // 1000 AS VARCHAR) || '/' ||
+         CASE WHEN regexp_matches(text, '{NOTICE}') AND length(text) <= 500
+              THEN 'LICENSE-' ELSE 'text-' END || CAST(doc_id AS VARCHAR) AS path
+  FROM documents),
+notice_line AS (
+  SELECT doc_id, path, text, list_filter(string_split(text, chr(10)),
+         lambda l: regexp_matches(l, '{NOTICE}')) AS lines FROM file),
+notice AS (
+  SELECT DISTINCT doc_id, path, notice FROM (
+    SELECT doc_id, path, unnest(lines) AS notice FROM notice_line
+    UNION ALL SELECT doc_id, path, array_to_string(lines, chr(10)) FROM notice_line WHERE len(lines) > 1
+    UNION ALL SELECT doc_id, path, text FROM notice_line
+    WHERE regexp_matches(path, '{LICENCE_FILE}') AND text IS NOT NULL)),
+template(template, license, notice) AS (VALUES {templates}),
+distinct_notice AS (SELECT DISTINCT notice FROM notice),
+token AS (SELECT notice, token, count(*) AS tf FROM (
+  SELECT notice, unnest({tokens}) AS token FROM distinct_notice) GROUP BY ALL),
+template_token AS (SELECT template, token, count(*) AS tf FROM (
+  SELECT template, unnest({tokens}) AS token FROM template) GROUP BY ALL),
+texts AS (SELECT (SELECT count(*) FROM distinct_notice) + {len(TEMPLATES)} AS n),
+idf AS (SELECT token, ln((1.0 + (SELECT n FROM texts)) / (1 + count(*))) + 1 AS idf FROM (
+  SELECT token FROM token UNION ALL SELECT token FROM template_token) GROUP BY token),
+weight AS (SELECT notice, token, tf * idf AS w FROM token JOIN idf USING (token)),
+template_weight AS (SELECT template, token, tf * idf AS w FROM template_token JOIN idf USING (token)),
+norm AS (SELECT notice, sqrt(sum(w * w)) AS norm FROM weight GROUP BY notice),
+template_norm AS (SELECT template, sqrt(sum(w * w)) AS template_norm FROM template_weight GROUP BY template),
+scored AS (
+  SELECT d.notice, t.license, round(d.dot / n.norm / m.template_norm, 6) AS similarity
+  FROM (SELECT a.notice, b.template, sum(a.w * b.w) AS dot
+        FROM weight a JOIN template_weight b USING (token) GROUP BY ALL) d
+  JOIN norm n USING (notice) JOIN template_norm m USING (template) JOIN template t USING (template)),
+matched AS (SELECT notice, {best} AS best FROM scored GROUP BY notice
+            HAVING max(similarity) >= {MIN_SIMILARITY}),
+own AS (
+  SELECT doc_id, path, min(m.best) AS best FROM notice JOIN matched m USING (notice) GROUP BY ALL),
+directory AS (SELECT {directory} AS above, min(best) AS best FROM own
+              WHERE regexp_matches(path, '{LICENCE_FILE}') GROUP BY 1),
+place AS (SELECT DISTINCT {directory} AS place FROM file),
+chain AS (
+  SELECT DISTINCT place, array_to_string(string_split(place, '/')[1:k], '/') AS above
+  FROM (SELECT place, unnest(range(0, len(string_split(place, '/')) + 1)) AS k FROM place)),
+inherited AS (
+  SELECT place, arg_max(above, length(above)) AS above, arg_max(best, length(above)) AS best
+  FROM chain JOIN directory USING (above) GROUP BY place)
+SELECT f.doc_id, f.path, coalesce(o.best.license, i.best.license) AS license,
+       CASE WHEN o.best IS NOT NULL THEN 'own' WHEN i.best IS NOT NULL THEN 'inherited'
+            ELSE 'none' END AS license_basis,
+       -coalesce(o.best.low, i.best.low) AS license_similarity,
+       CASE WHEN o.best IS NOT NULL THEN f.path ELSE i.above END AS license_source
+FROM file f LEFT JOIN own o USING (doc_id)
+LEFT JOIN inherited i ON {directory.replace('path', 'f.path')} = i.place"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": r"""WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 split AS (SELECT text, string_split(text, chr(10)) AS lines FROM texts),
@@ -124,4 +193,5 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        count(*) OVER (PARTITION BY text_sha256) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
 FROM keys""",
+    "op9_license_scan": _license_sql(),
 }

@@ -4,8 +4,11 @@ import math
 import re
 from collections import Counter
 
+from eventmetrics.llm import queries
 from eventmetrics.llm.decontamination import benchmark_overlaps, contamination, decontaminate
 from eventmetrics.llm.licenses import TEMPLATES, match_notices, scan_licenses
+from tests.conftest import SF_DIR
+from tests.oracle import differences
 
 
 def changed(text, every, first):
@@ -55,6 +58,11 @@ def test_leaks_in_odd_rows(spark, odd, none, table):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
 
 
+def test_license_query_equals_sql(spark):
+    sql = queries.ORACLE_SQL["op9_license_scan"]
+    assert differences(queries.op9_license_scan(spark, SF_DIR), sql, SF_DIR) == ""
+
+
 def test_cosines_equal_brute_force(spark):
     notices = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0, by me",
                "Copyright 2020 of somebody else", "licence", ""]
