@@ -7,6 +7,7 @@ selects). Look-backs count from the fixed time `AS_OF`, so results are repeatabl
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,10 @@ from eventmetrics.functions import as_results, clock_label, compact_number
 from eventmetrics.session import pin_time_zone, scratch_dir
 
 # The language-model operators are an optional part: without their folder the rest still works.
-try:
+if (find_spec("eventmetrics.llm") and find_spec("eventmetrics.llm.queries")
+        and find_spec("corpus_pipeline")):
     from eventmetrics.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("eventmetrics.llm", "corpus_pipeline"):
-        raise
+else:
     llm_queries = None
 
 TESTDATA = "/root/testdata"
