@@ -15,14 +15,24 @@ from eventmetrics.llm.common import stored
 MAX_STEPS = 60
 
 
-def _to_smallest(links: DataFrame, include_self: bool) -> DataFrame:
-    """Links (u, v) as (v, m) and (u, m), where m is the smallest id of u and its partners."""
-    smallest = links.groupBy("u").agg(F.min("v").alias("m"))
-    smallest = smallest.select("u", F.least("u", "m").alias("m"))
+def _smallest(links: DataFrame) -> DataFrame:
+    """u and m, the smallest id of u and its partners."""
+    return links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+
+
+def _large_star(stars: DataFrame) -> DataFrame:
+    """Every id's larger partners, linked with the smallest id around it instead."""
+    both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return (both.filter("v > u").join(_smallest(both), "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """Every id, and its smaller partners, linked with the smallest of them."""
+    smallest = _smallest(links)
     moved = links.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if include_self:
-        moved = moved.unionByName(smallest.select("u", F.col("m").alias("v")))
-    return moved.filter("u <> v").distinct()
+    return (moved.unionByName(smallest.select("u", F.col("m").alias("v")))
+            .filter("u <> v").distinct())
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -41,14 +51,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Large star: larger partners move to the smallest id around. Small star: so do the
-        # smaller ones, and the id itself.
-        smallest = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        large = (both.filter("v > u").join(smallest, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        stars = stored(_to_smallest(large, include_self=True))
+        stars = stored(_small_star(_large_star(stars)))
     else:
         raise RuntimeError(f"links did not settle in {MAX_STEPS} steps")
     found = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))

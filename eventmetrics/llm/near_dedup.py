@@ -81,9 +81,14 @@ def odd_sketches(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     first[1:] = place[1:] != place[:-1]
     row = row[first]
     bit = (mix(values[first]) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-    flips = np.bincount(row * SKETCH_BITS + bit, minlength=n * SKETCH_BITS)
-    parity = (flips & 1).astype(np.uint8).reshape(n, SKETCH_BITS)
-    return np.packbits(parity, axis=1).view(np.int64), np.bincount(row, minlength=n)
+    parts = []
+    for low in range(0, n, 512):  # a counter for each bit of a few sets at a time
+        a, b = np.searchsorted(row, [low, low + 512])
+        size = min(512, n - low)
+        flips = np.bincount((row[a:b] - low) * SKETCH_BITS + bit[a:b], minlength=size * SKETCH_BITS)
+        parity = (flips & 1).astype(np.uint8).reshape(size, SKETCH_BITS)
+        parts.append(np.packbits(parity, axis=1).view(np.int64))
+    return np.concatenate(parts), np.bincount(row, minlength=n)
 
 
 def _signatures(batch: pa.RecordBatch):
