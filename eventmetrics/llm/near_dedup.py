@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import BROADCAST_BYTES, by_ids, few, lists, map_texts, stored
+from eventmetrics.llm.common import by_ids, few, lists, map_texts, stored
 from eventmetrics.llm.components import connected_components
 from eventmetrics.llm.hashing import blocks, mix, shingles
 
@@ -139,7 +139,9 @@ def _close(percent: int) -> F.Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The stored pairs whose full sets are similar enough. Only sets of the pairs are shuffled."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    sets = by_ids(sets, "id", ids)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -175,19 +177,34 @@ def _relabelled(components: DataFrame, links: DataFrame) -> DataFrame:
     Some components may get several names this way, which only means a few more comparisons.
     """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    name = components.select(F.col("id").alias("b"), "component")
     for _ in range(2):
+        name = few(components.select(F.col("id").alias("b"), "component"), 16)
         named = both.join(name, "b", "left").select(
             "a", F.coalesce("component", "b").alias("component"))
         found = named.groupBy("a").agg(F.min("component").alias("component")).select(
             F.col("a").alias("id"), F.least("a", "component").alias("component"))
         components = stored(components.unionByName(found).groupBy("id").agg(
             F.min("component").alias("component")))
-        name = components.select(F.col("id").alias("b"), "component")
     # The name itself may have got a smaller one.
-    older = components.select(F.col("id").alias("component"), F.col("component").alias("smaller"))
-    return stored(components.join(older, "component", "left").select(
-        "id", F.coalesce("smaller", "component").alias("component")))
+    return stored(_renamed(components, components))
+
+
+def _renamed(components: DataFrame, names: DataFrame) -> DataFrame:
+    """The components under the names that stored `names` (id, component) give to them."""
+    newer = few(names.select(F.col("id").alias("component"), F.col("component").alias("newer")), 16)
+    return components.join(newer, "component", "left").select(
+        "id", F.coalesce("newer", "component").alias("component"))
+
+
+def _settled(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with all names of each made one: links between names are solved exactly."""
+    for end in ("a", "b"):
+        name = few(components.select(F.col("id").alias(end), F.col("component").alias("name")), 16)
+        links = links.join(name, end).drop(end).withColumnRenamed("name", end)
+    between = stored(links.filter("a <> b").distinct())
+    if between.isEmpty():
+        return components
+    return _renamed(components, stored(connected_components(between)))
 
 
 def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -208,23 +225,20 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
         .groupBy(*same).agg(F.min_by(F.struct("bucket", "first"), "lowest").alias("kept"))
         .select("kept.bucket", "kept.first", "members"))
     members = stored(members.join(few(stored(kept), 32), "bucket"))
-    ids = members.select("id").distinct()
+    ids = stored(members.select("id").distinct())
     # For telling the first shared band, 32 bits of each band's hash are enough.
     known = stored(by_ids(classes.select(
         F.col("class_id").alias("id"), F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int")).alias("bands"),
         "sketch", "samples", F.col("n_shingles").alias("n")), "id", ids))
     sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
                             "id bigint, shingles array<bigint>"))
-    shingles_in_all = known.agg(F.sum("n")).first()[0] or 0
     known = few(known, 500)
-    if shingles_in_all * 8 <= BROADCAST_BYTES:
-        sets = F.broadcast(sets)
     components = spark.createDataFrame([], "id bigint, component bigint")
     links = None
     most = members.agg(F.max("members")).first()[0] or 0
     share = 0  # leaders of a bucket so far, 0 at first: only its smallest id
     while most:
-        labelled = members.join(components, "id", "left").withColumn(
+        labelled = members.join(few(components, 16), "id", "left").withColumn(
             "component", F.coalesce("component", "id"))
         if share == 0:
             pending, leaders = labelled, labelled.filter("id = first")
@@ -232,7 +246,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
             open_buckets = labelled.groupBy("bucket").agg(
                 F.min("component").alias("low"), F.max("component").alias("high")
             ).filter("low <> high").select("bucket")
-            pending = stored(labelled.join(open_buckets, "bucket", "left_semi"))
+            pending = stored(labelled.join(few(stored(open_buckets), 16), "bucket", "left_semi"))
             if pending.isEmpty():
                 break
             turn = _place("bucket", "id") * F.col("members")
@@ -242,16 +256,14 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
                 .join(_sided(pending.join(known, "id"), "b").drop("band"), "bucket")
                 .filter((F.col("of_a") != F.col("of_b")) & _first_shared_band() & _close(percent))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = stored(_confirmed(near, sets, percent))
+        found = stored(_confirmed(stored(near), sets, percent))
         links = found if links is None else links.unionByName(found)
-        if share >= most:
-            break
         if not found.isEmpty():
             components = _relabelled(components, links)
+        if share >= most:
+            break
         share = ROUND_FACTOR if share == 0 else share * ROUND_FACTOR
-    if links is None:
-        return components
-    return connected_components(links)
+    return components if links is None else _settled(components, links)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -276,7 +288,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = stored(known.groupBy(*key).agg(
         F.min("doc_id").alias("class_id"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"), F.first("samples").alias("samples")))
-    components = _link_classes(classes, rows, percent)
+    components = few(stored(_link_classes(classes, rows, percent)), 16)
     # A document's class, or classes if its id repeats, and then the component of the class.
     of_class = classes.select(*key, "class_id").join(
         components.withColumnRenamed("id", "class_id"), "class_id", "left").select(
