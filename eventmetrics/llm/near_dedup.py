@@ -227,9 +227,10 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
     members = stored(members.join(few(stored(kept), 32), "bucket"))
     ids = stored(members.select("id").distinct())
     # For telling the first shared band, 32 bits of each band's hash are enough.
+    short = F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int"))
     known = stored(by_ids(classes.select(
-        F.col("class_id").alias("id"), F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int")).alias("bands"),
-        "sketch", "samples", F.col("n_shingles").alias("n")), "id", ids))
+        F.col("class_id").alias("id"), short.alias("bands"), "sketch", "samples",
+        F.col("n_shingles").alias("n")), "id", ids))
     sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
                             "id bigint, shingles array<bigint>"))
     known = few(known, 500)

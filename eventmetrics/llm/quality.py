@@ -1,8 +1,9 @@
 """Quality of texts by supervised subword embeddings.
 
 Words and character n-grams are hashed to rows of an embedding table, and pairs of equal words in a
-row have one more; a text is the mean of its rows, and a softmax layer over it gives the label. Table and layer are trained together by
-stochastic gradient descent in numpy, on a bounded sample of labelled rows. For scoring, the two
+row have one more; a text is the mean of its rows, and a softmax layer over it gives the label. Table
+and layer are trained together by stochastic gradient descent in numpy, on a bounded sample of
+labelled rows. For scoring, the two
 fold into one number per row of the table, so a text costs one look-up for each feature.
 """
 
@@ -26,7 +27,8 @@ THRESHOLD = 0.7
 
 _WORD_BUCKETS = BUCKETS // 4
 _REPEATED = 0  # the bucket of every pair of equal words in a row
-_GRAM_FACTORS = np.random.default_rng(10).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_GRAM_FACTORS = np.random.default_rng(10).integers(
+    1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _feature_runs(block):
