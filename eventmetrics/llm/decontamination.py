@@ -3,7 +3,7 @@
 A seed is a mask over a few consecutive words: the hash covers the words the mask selects and
 ignores the others, so a window still matches when an ignored word was changed. Both sides are
 hashed under each mask and joined on the hash. Around each hit the passage and the text are then
-compared word for word, and the best-matching stretch decides.
+compared word for word; the best-matching stretch that has enough equal words decides.
 
 Before the join, a bitmap of the passages' hashes removes the training hashes that no passage
 has. Its size is fixed, so it may be broadcast whatever the size of the benchmark; with a very
@@ -21,17 +21,15 @@ from pyspark.sql import functions as F
 from eventmetrics.llm.common import by_ids, lists, map_texts, stored
 from eventmetrics.llm.hashing import PUNCTUATION, blocks, mix
 
-#: Any eight words in a row; patterns that fit a change of every fifth and every fourth word; and one
-#: that skips words at uneven distances.
-MASKS = ("11111111", "1101111011", "10111011101", "1101101011")
-#: Only for passages too short for the others, if there are any.
-SHORT_MASK = "11111"
+#: Every stretch that counts (see below), wherever its changed words are, has a seed under one of these:
+#: it holds one of 455 smallest such patterns of at most 20 words, and the masks fit them all.
+MASKS = ("11111", "110111", "1101011", "11100101", "1101000101", "10000100111")
 #: Bits of the bitmap: 16 MB.
 FILTER_BITS = 1 << 27
 _ROW_BITS = 1 << 15  # of one row of bitmap_construct_agg
 #: A stretch counts if it has this many equal words, or all of a shorter passage that has
-#: SHORT_WORDS, and this share of its words is equal.
-MATCHED_WORDS, SHORT_WORDS, MATCHED_SHARE = 8, 5, 0.7
+#: SHORT_WORDS, and this percentage of its words is equal.
+MATCHED_WORDS, SHORT_WORDS, MATCHED_PERCENT = 8, 5, 70
 _MISMATCH = 2.4  # what a changed word costs against equal ones when a stretch is extended
 
 
@@ -90,9 +88,27 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return out
 
 
+def _counts(matched: int, length: int, passage: int) -> bool:
+    """Whether a stretch with so many equal words is an overlap with a passage of so many words."""
+    enough = min(MATCHED_WORDS, max(SHORT_WORDS, passage))
+    return matched >= enough and 100 * matched >= MATCHED_PERCENT * length
+
+
+def _widest(equal: np.ndarray) -> tuple[int, int]:
+    """The stretch with most equal words of those with MATCHED_PERCENT; it begins and ends with one."""
+    words = np.concatenate(([0], np.cumsum(equal)))
+    score = np.concatenate(([0], np.cumsum(np.where(equal, 100, 0) - MATCHED_PERCENT)))
+    # For each end, the first place whose score is not higher is where the widest stretch begins.
+    begin = np.searchsorted(-np.minimum.accumulate(score), -score)
+    end = int(np.argmax(words - words[begin]))
+    there = np.flatnonzero(equal[begin[end]:end]) + begin[end]
+    return (int(there[0]), int(there[-1]) + 1) if len(there) else (0, 0)
+
+
 def best_stretch(text: np.ndarray, passage: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Equal words, first word in the text and length of the best-matching stretch.
+    """Equal words, first word in the text and length of the best-matching stretch that counts.
 
+    If the best-scoring one does not, the one with most equal words is taken; zeros, if none counts.
     `shift` is where in the text the passage's first word would stand.
     """
     low, high = max(0, -shift), min(len(passage), len(text) - shift)
@@ -103,7 +119,15 @@ def best_stretch(text: np.ndarray, passage: np.ndarray, shift: int) -> tuple[int
     floor = np.minimum.accumulate(score)
     end = int(np.argmax(score - floor))
     start = int(np.flatnonzero(score[:end + 1] == floor[end])[-1]) if end else 0
-    return int(equal[start:end].sum()), low + start + shift, end - start
+    matched = int(equal[start:end].sum())
+    if not _counts(matched, end - start, len(passage)):
+        start, end = _widest(equal)
+        wider = int(equal[start:end].sum())
+        if _counts(wider, end - start, len(passage)):
+            matched = wider
+        else:
+            return 0, 0, 0
+    return matched, low + start + shift, end - start
 
 
 def _verify(batch: pa.RecordBatch):
@@ -118,8 +142,7 @@ def _verify(batch: pa.RecordBatch):
             for hit in hits[block.first + k]:
                 passage = np.array(hit["item_words"], np.int64).view(np.uint64)
                 matched, start, length = best_stretch(words, passage, hit["shift"])
-                enough = min(MATCHED_WORDS, max(SHORT_WORDS, len(passage)))
-                if matched >= enough and matched >= MATCHED_SHARE * length:
+                if matched:
                     best[hit["item_id"]] = max(best.get(hit["item_id"], (0, 0, 0)),
                                                (matched, -start, length))
             for item, (matched, start, length) in best.items():
@@ -129,19 +152,6 @@ def _verify(batch: pa.RecordBatch):
         yield out
 
 
-def _item_seeds(items: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
-    """The passages' seeds, and the masks that they need."""
-    columns = "id bigint, seed bigint, place bigint"
-    seeds = stored(map_texts(items, lambda b: _seed_rows(b, MASKS), columns))
-    rest = items.join(seeds.select("id").distinct(), "id", "left_anti")
-    # Their seeds have the number of the short mask, so that they match only seeds under it.
-    masks = ("1" * 99,) * len(MASKS) + (SHORT_MASK,)
-    short = stored(map_texts(rest, lambda b: _seed_rows(b, masks), columns))
-    if short.isEmpty():
-        return seeds, MASKS
-    return seeds.unionByName(short), (*MASKS, SHORT_MASK)
-
-
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                        text: str = "text", item_id: str = "item_id",
                        item_text: str = "text") -> DataFrame:
@@ -156,9 +166,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
                              F.lower(F.col(item_text)).alias("text")).filter("id is not null").distinct()
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"),
                        F.lower(F.col(text)).alias("text")).filter("id is not null")
-    seeds, masks = _item_seeds(items)
+    seeds = stored(map_texts(items, lambda b: _seed_rows(b, MASKS), "id bigint, seed bigint, place bigint"))
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
-    found = map_texts(rows, lambda b: _seed_rows(b, masks, bitmap.value),
+    found = map_texts(rows, lambda b: _seed_rows(b, MASKS, bitmap.value),
                       "id bigint, seed bigint, place bigint")
     passages = map_texts(items, _item_words, "item_id bigint, item_words array<bigint>")
     hits = (found.join(seeds.select(F.col("id").alias("item_id"), "seed",

@@ -1,11 +1,19 @@
 """Planted benchmark passages, and licences of a small tree of files."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from eventmetrics.llm import queries
-from eventmetrics.llm.decontamination import benchmark_overlaps, contamination, decontaminate
+from eventmetrics.llm.decontamination import (
+    benchmark_overlaps,
+    best_stretch,
+    contamination,
+    decontaminate,
+)
 from eventmetrics.llm.licenses import TEMPLATES, match_notices, scan_licenses
 from tests.conftest import SF_DIR
 from tests.oracle import differences
@@ -34,6 +42,31 @@ def test_passages_are_found_however_they_were_changed(spark, table):
     assert kept == {100 + i for i in range(len(items))}
 
 
+def test_passages_with_random_words_changed_are_found(spark):
+    chance = random.Random(5)
+    items, rows = [], []
+    for i, size in enumerate([*range(8, 26)] * 8 + [30, 40, 60] * 8):
+        words = [f"p{i}x{k}" for k in range(size)]
+        items.append((i, " ".join(words)))
+        # As many as the rule allows, and the first and last stay, so the whole passage counts.
+        for k in chance.sample(range(1, size - 1), min(size - 8, size * 3 // 10)):
+            words[k] = f"changed{k}"
+        rows.append((i, " ".join(["before", "it", *words, "after", "it"])))
+    found = benchmark_overlaps(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                               spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(len(items))}
+    assert all(r["matched"] >= 8 and 10 * r["matched"] >= 7 * r["length"] for r in found)
+
+
+def test_any_stretch_that_meets_the_rule_counts():
+    passage = np.arange(10, dtype=np.uint64)
+    text = passage.copy()
+    text[2] = 99
+    assert best_stretch(text, passage, 0) == (9, 0, 10)
+    text[[4, 6]] = 99
+    assert best_stretch(text, passage, 0) == (0, 0, 0)  # seven equal words
+
+
 def test_leaks_of_the_given_table_equal_brute_force(table):
     words = lambda t: re.findall(r"[^\W_]+", t.lower())
     docs, items = table("documents", "sf0.01"), table("benchmark", "sf0.01")
