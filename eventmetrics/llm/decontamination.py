@@ -206,6 +206,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                   text: str = "text", item_id: str = "item_id",
                   item_text: str = "text") -> DataFrame:
-    """The rows of documents that overlap no benchmark passage, with all their columns."""
+    """The rows of documents that overlap no benchmark passage, with all their columns.
+
+    A row without an id is not compared and is kept.
+    """
     found = benchmark_overlaps(docs, benchmark, doc_id, text, item_id, item_text)
     return by_ids(docs, doc_id, found.select("doc_id"), "left_anti")

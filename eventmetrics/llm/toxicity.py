@@ -14,10 +14,10 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmetrics.llm.common import by_ids, crc_fold, labelled_sample, map_texts, stored
+from eventmetrics.llm.common import by_ids, crc_fold, fresh, labelled_sample, map_texts, stored
 from eventmetrics.llm.hashing import (
     FOLDED,
     PUNCTUATION,
@@ -121,7 +121,8 @@ def _features(batch: pa.RecordBatch, learned: np.ndarray):
             _sums(_MARK[block.data], block.offsets) / size,
             _sums(_member(loose[0], hidden) & loose[2], loose[1]) / words,
             _sums(loose[2], loose[1]) / words)
-        yield {"doc_id": batch.column(0).slice(block.first, n), **dict(zip(FEATURES, values))}
+        yield {"doc_id": batch.column(0).slice(block.first, n),
+               "text_key": batch.column(2).slice(block.first, n), **dict(zip(FEATURES, values))}
 
 
 def _loose(block):
@@ -146,7 +147,7 @@ def _loose(block):
 
 def _with_features(rows: DataFrame, learned: np.ndarray) -> DataFrame:
     return map_texts(rows, lambda b: _features(b, learned),
-                     "doc_id bigint, " + ", ".join(f"{f} double" for f in FEATURES))
+                     "doc_id bigint, text_key bigint, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def _learned_words(sample: DataFrame) -> np.ndarray:
@@ -175,20 +176,27 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     id is scored and is not held out. Repeated rows get equal scores. If the sample lacks one of
     the two labels, every score is 1 or 0 accordingly (0 without labels).
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return _predictions(docs, labels, doc_id, text, label, sample_rows).drop("text_key")
+
+
+def _predictions(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
+                 sample_rows: int) -> DataFrame:
+    """The columns of `toxicity`, and text_key, by which rows without an id are known."""
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+                       _text_key(doc_id, text).alias("text_key"))
     sample = stored(labelled_sample(rows, labels, label, FOLDS, HELD_OUT, sample_rows))
     kinds = {r["label"] for r in sample.select("label").distinct().collect()}
     held_out = F.coalesce(crc_fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
     if kinds != {0.0, 1.0}:
         constant = F.lit(1.0 if kinds == {1.0} else 0.0)
-        return rows.select("doc_id", held_out, constant.alias("score"),
+        return rows.select("doc_id", "text_key", held_out, constant.alias("score"),
                            constant.cast("int").alias("predicted"))
     learned = _learned_words(sample)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     # One row for each id: a text that repeats an id does not multiply the sample.
     labels_of = sample.select("doc_id", "label").dropDuplicates(["doc_id"])
     fitted = stored(assembler.transform(
-        _with_features(sample.select("doc_id", "text"), learned)
+        _with_features(sample.select("doc_id", "text", "text_key"), learned)
         .join(F.broadcast(labels_of), "doc_id")).select("doc_id", "label", "features"))
     part = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(3))
     # Calibrated on rows that the trees have not seen, if those have both labels.
@@ -202,17 +210,28 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         trees.transform(calibration).select("label", probability.alias("raw")))
     scored = isotonic.transform(
         trees.transform(assembler.transform(_with_features(rows, learned)))
-        .select("doc_id", probability.alias("raw")))
+        .select("doc_id", "text_key", probability.alias("raw")))
     score = F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0))
-    return scored.select("doc_id", held_out, score.alias("score"),
+    return scored.select("doc_id", "text_key", held_out, score.alias("score"),
                          (score >= 0.5).cast("int").alias("predicted"))
 
 
+def _text_key(doc_id: str, text: str) -> Column:
+    """A hash of the text if the row has no id (as a number), else null."""
+    return F.when(F.col(doc_id).cast("bigint").isNull(), F.xxhash64(text))
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
     """The rows of documents that are not predicted toxic, with all their columns.
 
-    Rows that share an id stay or go together: they go if one of them is toxic.
+    Rows that share an id stay or go together: they go if one of them is toxic. A row without an
+    id goes if its own text is toxic.
     """
-    toxic = toxicity(docs, labels, doc_id, text).filter("predicted = 1")
-    return by_ids(docs, doc_id, toxic.select("doc_id"), "left_anti")
+    toxic = stored(_predictions(docs, labels, doc_id, text, "toxic", SAMPLE_ROWS)
+                   .filter("predicted = 1").select("doc_id", "text_key"))
+    key = fresh(docs, "text_key")
+    named = by_ids(docs, doc_id, toxic.select("doc_id"), "left_anti")
+    without_id = toxic.select("text_key").filter("text_key is not null")
+    return by_ids(named.withColumn(key, _text_key(doc_id, text)), key, without_id,
+                  "left_anti").drop(key)

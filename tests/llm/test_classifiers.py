@@ -111,3 +111,14 @@ def test_insults_are_dropped_and_clean_texts_stay(spark, table):
     ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
     assert kept.columns == docs.columns
     assert 10**7 not in ids and 10**7 + 1 in ids
+
+
+def test_toxic_texts_without_an_id_are_dropped(spark, table):
+    docs, labels = table("documents", "sf0.01"), table("labels", "sf0.01")
+    text = docs.filter("doc_id = 1").first()["text"]
+    bad = " ".join(w + " idiot moron" if i % 6 == 0 else w for i, w in enumerate(text.split()))
+    more = spark.createDataFrame([(None, bad, "en", "s", 1), (None, text, "en", "s", 1),
+                                  (None, None, "en", "s", 1)], docs.schema)
+    kept = drop_toxic(docs.unionByName(more), labels)
+    assert kept.columns == docs.columns
+    assert {r["text"] for r in kept.filter("doc_id is null").collect()} == {text, None}
