@@ -18,9 +18,12 @@ from eventmetrics.llm.licenses import (
     scan_licenses,
 )
 from eventmetrics.llm.line_dedup import line_dedup
+from eventmetrics.llm.merkle import audit
+from eventmetrics.llm.mixing import mixture
 from eventmetrics.llm.near_dedup import near_duplicates
 from eventmetrics.llm.packing import pack
 from eventmetrics.llm.quality import quality
+from eventmetrics.llm.resampling import resample
 from eventmetrics.llm.sharding import shard_documents
 from eventmetrics.llm.toxicity import toxicity
 
@@ -77,6 +80,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mixture takes of each document."""
+    return mixture(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -89,6 +106,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality": op10_quality,
+    "op11_mixing": op11_mixing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 
@@ -153,6 +173,139 @@ FROM file f LEFT JOIN own o USING (doc_id)
 LEFT JOIN inherited i ON {directory.replace('path', 'f.path')} = i.place"""
 
 
+# The checksum, byte by byte; DuckDB has none of its own.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+         CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crcs)"""
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text that is not empty, beside the one row of `crc_table`."""
+    code = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    return f"""xor(4294967295, list_reduce(
+         list_transform(range(octet_length(encode({text}))), lambda i: {code}),
+         lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)))"""
+
+
+_MIXING_SQL = r"""WITH document AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+weighed AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * source_size AS cap,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM document GROUP BY source),
+-- The level at which the rest is shared, if the sources before are full.
+levels AS (
+  SELECT *, row_number() OVER fullest AS turn,
+         CAST((SELECT sum(source_size) FROM weighed) - coalesce(sum(cap) OVER before, 0) AS DOUBLE) /
+         CAST((SELECT sum(weight) FROM weighed) - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM weighed
+  WINDOW fullest AS (ORDER BY cap / weight, source NULLS LAST),
+         before AS (ORDER BY cap / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT arg_min(level, turn) AS level FROM levels WHERE weight * level <= cap),
+target AS (
+  SELECT source, source_size, CASE WHEN weight * level > cap THEN CAST(cap AS DOUBLE)
+                                   ELSE weight * level END AS target,
+         CAST('0x' || substr(md5(coalesce('source:' || source, 'none')), 1, 8) AS BIGINT)
+           / CAST(4294967296 AS DOUBLE) AS start
+  FROM (SELECT w.*, l.level FROM weighed w CROSS JOIN level l)),
+placed AS (
+  SELECT doc_id, size, source_size, target, start,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY size DESC, doc_id NULLS FIRST) - 1 AS place
+  FROM document d JOIN target t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST((floor(rate) + floor((place + 1) * (rate - floor(rate)) + start)
+             - floor(place * (rate - floor(rate)) + start)) * size AS BIGINT) AS taken
+FROM placed"""
+
+_RESAMPLING_SQL = rf"""WITH {_CRC_TABLE},
+document AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+target AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+feature AS (SELECT doc_id, unnest(words) AS word FROM document),
+counted AS (
+  SELECT word, sum(s) AS s, sum(t) AS t
+  FROM (SELECT word, 1 AS s, 0 AS t FROM feature UNION ALL SELECT word, 0, 1 FROM target)
+  GROUP BY word),
+hashed AS (SELECT word, s, t, {_crc32_sql("word")} % 10000 AS bucket FROM counted CROSS JOIN crc_table),
+bucket AS (SELECT bucket, CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM hashed GROUP BY bucket),
+total AS (SELECT sum(s) AS big_s, sum(t) AS big_t FROM bucket),
+gain AS (
+  SELECT word, CAST(floor(1000 * ln((b.t + 1) * (big_s + 10000) / ((b.s + 1) * (big_t + 10000)))) AS BIGINT) AS gain
+  FROM hashed JOIN bucket b USING (bucket) CROSS JOIN total),
+gained AS (SELECT doc_id, sum(gain) AS gain FROM feature JOIN gain USING (word) GROUP BY doc_id),
+weighed AS (
+  SELECT d.doc_id, len(words) AS n_features,
+         CASE WHEN len(words) = 0 THEN 0
+              ELSE CAST(floor(CAST(g.gain AS DOUBLE) / len(words)) AS BIGINT) END AS weight
+  FROM document d LEFT JOIN gained g USING (doc_id)),
+scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)
+         + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM weighed),
+eligible AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored s LEFT JOIN eligible e USING (doc_id)"""
+
+
+def _merkle_sql() -> str:
+    """Trees by recursion over levels; a leaf's path as one text for each level, folded in order."""
+    def leaf(count: str) -> str:
+        values = ("doc_id", "source", "lang", count, "text")
+        return "sha256(" + " || ".join(
+            f"coalesce(octet_length(encode(CAST({v} AS VARCHAR))) || ':' || CAST({v} AS VARCHAR), '-')"
+            for v in values) + ")"
+
+    def tree(name: str, start: str) -> str:
+        return f"""{name}(tree, level, place, digest, n) AS (
+  {start}
+  UNION ALL
+  SELECT tree, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY tree, level, place // 2)"""
+
+    return f"""WITH RECURSIVE {_CRC_TABLE},
+leaf AS (
+  SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {leaf("(n_chars + 1)")}
+              ELSE {leaf("n_chars")} END AS candidate
+  FROM documents CROSS JOIN crc_table),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM leaf),
+{tree("node", "SELECT tree, 0, place, leaf, n FROM placed")},
+subroot AS (SELECT tree, digest AS subroot FROM node WHERE n = 1),
+{tree("top", "SELECT 0, 0, tree, subroot, (SELECT count(*) FROM subroot) FROM subroot")},
+step AS (
+  SELECT p.doc_id, 0 AS part, o.level, o.place, s.place AS beside, s.digest
+  FROM placed p JOIN node o ON o.tree = p.tree AND o.n > 1 AND o.place = p.place >> o.level
+  LEFT JOIN node s ON s.tree = o.tree AND s.level = o.level AND s.place = xor(o.place, 1)
+  UNION ALL
+  SELECT p.doc_id, 1, o.level, o.place, s.place, s.digest
+  FROM placed p JOIN top o ON o.n > 1 AND o.place = p.tree >> o.level
+  LEFT JOIN top s ON s.level = o.level AND s.place = xor(o.place, 1)),
+path AS (
+  SELECT doc_id, string_agg(digest, '' ORDER BY part, level) AS beside,
+         list(CASE WHEN digest IS NULL THEN 'A' WHEN beside < place THEN 'L' || digest
+              ELSE 'R' || digest END ORDER BY part, level) AS steps
+  FROM step GROUP BY doc_id)
+SELECT p.doc_id, leaf, subroot, t.digest AS root, sha256(coalesce(beside, '')) AS proof_sha256,
+       list_reduce(coalesce(steps, []), lambda d, s: CASE s[1] WHEN 'A' THEN sha256(d)
+                   WHEN 'L' THEN sha256(s[2:] || d) ELSE sha256(d || s[2:]) END, candidate) AS folded_root,
+       folded_root = root AS verified
+FROM placed p JOIN subroot USING (tree) JOIN top t ON t.n = 1 LEFT JOIN path USING (doc_id)"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": r"""WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 split AS (SELECT text, string_split(text, chr(10)) AS lines FROM texts),
@@ -194,4 +347,7 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
 FROM keys""",
     "op9_license_scan": _license_sql(),
+    "op11_mixing": _MIXING_SQL,
+    "op12_importance_resampling": _RESAMPLING_SQL,
+    "op13_merkle_manifest": _merkle_sql(),
 }
