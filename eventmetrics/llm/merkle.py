@@ -241,7 +241,7 @@ def proofs(of: Manifest, candidate: str | None = None, paths: bool = True) -> Da
     itself) leads to on that path.
     """
     none = of.groups.sparkSession.range(0, 1, 1, 1).select(
-        F.lit(0).cast("bigint").alias("tree"), F.lit(b"").alias("above"))
+        F.col("id").alias("tree"), F.lit(b"").alias("above"))
     over = _above_blocks(of.group_rounds, none, of.height)
     above = _paths(of.group_rounds[0], over, of.height).select(
         F.col("block").alias("tree"), "above")
