@@ -185,8 +185,8 @@ def _unparseable_times(spark, sf_dir):
     return events.groupBy("event_time").agg(F.count("*").alias("events"))
 
 
-def _bad_messages(spark, sf_dir):
-    """Clean events from messages of which two thirds are broken in four ways."""
+def _broken_messages(spark, sf_dir):
+    """Messages of which two thirds are broken in four ways."""
     kind = _odd_events(spark, sf_dir, kind="event_id % 6")
     whole = F.to_json(F.struct(*em.EVENT_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
     mistyped = F.to_json(F.struct(*[c for c in em.EVENT_SCHEMA.fieldNames() if c != "amount"],
@@ -196,7 +196,15 @@ def _bad_messages(spark, sf_dir):
                .when(F.col("kind") == 3, mistyped)
                .when(F.col("kind") == 4, F.concat(F.lit('{"extra":1,'), F.substr(whole, F.lit(2))))
                .otherwise(whole))
-    return em.clean_events(em.decode_events(kind.select(message.alias("value"))))
+    return kind.select(message.alias("value"))
+
+
+def _bad_messages(spark, sf_dir):
+    return em.clean_events(em.decode_events(_broken_messages(spark, sf_dir)))
+
+
+def _faults(spark, sf_dir):
+    return em.faulty_messages(em.judge_messages(_broken_messages(spark, sf_dir)))
 
 
 def _empty_report(spark, sf_dir):
@@ -289,6 +297,41 @@ def _serving_incremental(spark, sf_dir):
     return _plain(em.read_aggregates(spark, f"{out}/aggregates"))
 
 
+def _refresh_after_compaction(spark, sf_dir):
+    """A refresh after the first slice, and one after the last, before which the log is compacted."""
+    out, log, compacted = scratch_dir(spark), scratch_dir(spark), scratch_dir(spark)
+    runs = []
+
+    def run(path):
+        events = em.prepare_events(_message_stream(spark, path))
+        em.write_aggregate_log(em.window_aggregations(events), log, f"{out}/checkpoint",
+                               {"availableNow": True}).awaitTermination()
+        runs.append(path)
+        if len(runs) == 1:
+            em.refresh_aggregates(spark, out, log_path=log)
+
+    _in_slices(spark, sf_dir, run)
+    em.compact_aggregate_log(em.read_aggregate_log(spark, log), compacted)
+    return _plain(em.refresh_aggregates(spark, out, log_path=compacted))
+
+
+def _stream_faults(spark, sf_dir):
+    """What the stream's one query keeps of messages with a fault."""
+    out, path = scratch_dir(spark), scratch_dir(spark)
+    _broken_messages(spark, sf_dir).write.json(path, ignoreNullFields="false")
+    messages = spark.readStream.schema("value STRING").json(path)
+    em.run_stream(spark, messages, out, trigger={"availableNow": True})
+    return em.read_faults(spark, f"{out}/faults")
+
+
+def _first_snapshot(spark, sf_dir):
+    """A table as it was for a reader that began before it was replaced."""
+    path = scratch_dir(spark)
+    table = em.replace_aggregates(_aggregates(spark, sf_dir), path)
+    em.replace_aggregates(table.filter("event_type = 'search'"), path)
+    return _plain(table)
+
+
 def _compacted_log(spark, sf_dir):
     path = scratch_dir(spark)
     em.compact_aggregate_log(_stream_log(spark, sf_dir, HOURS_6), path)
@@ -402,6 +445,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_aggregates_6h": _result(_stream_aggregates),
         "stream_aggregates_two_level": _result(_stream_two_level),
         "compacted_log": _result(_compacted_log),
+        "refresh_after_compaction": _result(_refresh_after_compaction),
+        "serving_table_before_replace": _result(_first_snapshot),
+        "faulty_messages": _faults,
+        "stream_faults": _stream_faults,
         # Events with faults
         "revenue_extremes": _result(_extremes),
         "check_amounts_bad": _bad_amounts,
@@ -685,6 +732,8 @@ SELECT CAST("timestamp" AS TIMESTAMP) AS event_time, COUNT(*) AS events FROM std
         "windowed_aggregates": five_minutes,
         "serving_table": five_minutes,
         "serving_table_incremental": five_minutes,
+        "refresh_after_compaction": five_minutes,
+        "serving_table_before_replace": five_minutes,
         "revenue_extremes": _aggregates_sql(
             HOURS_6, clean=_odd_clean(amount=_EXTREMES),
             revenue="ROUND(SUM(CAST(amount AS DECIMAL(38,6))), 2)"),
@@ -694,6 +743,8 @@ SELECT CAST("timestamp" AS TIMESTAMP) AS event_time, COUNT(*) AS events FROM std
         "decode_bad_messages": f"""WITH {_CLEAN_WITH_ID}
 SELECT * EXCLUDE (event_id, amount), CASE WHEN event_id % 6 > 3 THEN amount END AS amount
 FROM clean WHERE event_id % 6 > 2""",
+        "faulty_messages": _FAULTS,
+        "stream_faults": _FAULTS,
         "event_times_unparseable": """SELECT CASE WHEN event_id % 11 > 0 THEN date_trunc('second', ts)
        END AS event_time, COUNT(*) AS events FROM events GROUP BY 1""",
         "windowed_aggregates_null_country": _aggregates_sql(HOURS_6, clean=_NO_COUNTRY),
@@ -761,4 +812,27 @@ FROM agg GROUP BY 1""",
     return found
 
 
+_TEXTS = ("user_id", "event_type", "timestamp", "session_id", "device", "page", "country")
+
+
+def _message_sql(nulls: bool, last: str) -> str:
+    """The events' JSON text, with or without the fields that are NULL."""
+    fields = [f"""coalesce('"{c}":"' || "{c}" || '",', '{f'"{c}":null,' if nulls else ''}')""" for c in _TEXTS]
+    return "'{' || " + " || ".join(fields) + f""" || '"amount":' || {last} || '}}'"""
+
+
+_WHOLE_SQL = _message_sql(True, "coalesce(CAST(amount AS VARCHAR), 'null')")
+_FAULTS = f"""WITH {_STD.replace("  FROM events", "         , event_id\n  FROM events")},
+message AS (
+  SELECT *, CASE event_id % 6 WHEN 0 THEN 'garbage' WHEN 1 THEN NULL WHEN 2 THEN '{{"user_id":"b"'
+         WHEN 3 THEN {_message_sql(False, "'\"x\"'")}
+         WHEN 4 THEN '{{"extra":1,' || substr({_WHOLE_SQL}, 2) ELSE {_WHOLE_SQL} END AS value
+  FROM std),
+judged AS (
+  SELECT value, CASE WHEN event_id % 6 = 1 THEN 'no message' WHEN event_id % 6 IN (0, 2) THEN 'malformed'
+         WHEN user_id IS NULL THEN 'missing field'
+         WHEN event_type NOT IN ('page_view', 'search', 'add_to_cart', 'purchase', 'logout')
+         THEN 'unknown type' WHEN event_id % 6 = 3 THEN 'mistyped field' END AS fault
+  FROM message)
+SELECT value, fault, fault <> 'mistyped field' AS dropped FROM judged WHERE fault IS NOT NULL"""
 _FILTERED = "event_type = 'purchase' AND country = 'US'"

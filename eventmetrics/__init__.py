@@ -3,9 +3,12 @@
 from eventmetrics.operators import (
     clean_events,
     enrich_events,
+    faulty_messages,
     purchase_events,
+    user_windows,
     window_aggregations,
     with_event_time,
+    with_fault,
 )
 from eventmetrics.plans import (
     assert_quality,
@@ -13,6 +16,7 @@ from eventmetrics.plans import (
     check_freshness,
     check_nulls,
     check_row_count,
+    judge_messages,
     metrics,
     prepare_events,
     quality_report,
@@ -30,13 +34,16 @@ from eventmetrics.schema import (
 from eventmetrics.session import build_session
 from eventmetrics.sources import (
     decode_events,
+    decode_messages,
     encode_events,
+    expire_snapshots,
     peek_events,
     read_aggregate_log,
     read_aggregates,
     read_event_lake,
     read_event_stream,
     read_events,
+    read_faults,
     write_events,
 )
 from eventmetrics.streaming import (
@@ -46,6 +53,7 @@ from eventmetrics.streaming import (
     write_aggregate_log,
     write_aggregates_jdbc,
     write_event_lake,
+    write_outputs,
 )
 
 __all__ = [
@@ -63,8 +71,12 @@ __all__ = [
     "clean_events",
     "compact_aggregate_log",
     "decode_events",
+    "decode_messages",
     "encode_events",
     "enrich_events",
+    "expire_snapshots",
+    "faulty_messages",
+    "judge_messages",
     "latest_aggregates",
     "metrics",
     "peek_events",
@@ -76,14 +88,18 @@ __all__ = [
     "read_event_lake",
     "read_event_stream",
     "read_events",
+    "read_faults",
     "refresh_aggregates",
     "replace_aggregates",
     "run_batch",
     "run_stream",
+    "user_windows",
     "window_aggregations",
     "with_event_time",
+    "with_fault",
     "write_aggregate_log",
     "write_aggregates_jdbc",
     "write_event_lake",
     "write_events",
+    "write_outputs",
 ]

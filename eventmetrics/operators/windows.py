@@ -49,17 +49,10 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     if user_buckets < 1:
         raise ValueError("user_buckets must be at least 1")
 
-    if "event_time" not in df.columns:
-        df = with_event_time(df)
-    if watermark and df.isStreaming:
-        df = df.withWatermark("event_time", watermark)
-    df = df.withColumn("amount", F.col("amount").cast("double").try_cast(AMOUNT))
-
-    window = F.window("event_time", duration)
     if df.isStreaming and distinct == "users":
-        return df.withColumn("window", window).select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            "event_type", "country", "user_id", "amount")
+        return user_windows(df, duration, watermark)
+    df = _prepared(df, watermark)
+    window = F.window("event_time", duration)
     if df.isStreaming:
         # The watermark travels with the struct column, so it stays whole until the end.
         by = [window.alias("window"), F.col("event_type"), F.col("country")]
@@ -78,6 +71,22 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     return _flatten(grouped, duration)
 
 
+def _prepared(df: DataFrame, watermark: str | None) -> DataFrame:
+    if "event_time" not in df.columns:
+        df = with_event_time(df)
+    if watermark and df.isStreaming:
+        df = df.withWatermark("event_time", watermark)
+    return df.withColumn("amount", F.col("amount").cast("double").try_cast(AMOUNT))
+
+
+def user_windows(df: DataFrame, duration: str = WINDOW_DURATION,
+                 watermark: str | None = None) -> DataFrame:
+    """Each event's window, group, user and amount: the rows that the aggregate log adds up."""
+    return _prepared(df, watermark).withColumn("window", F.window("event_time", duration)).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "event_type", "country", "user_id", "amount")
+
+
 def to_cents(amount: Column) -> Column:
     """An exact sum, rounded (half up) to cents."""
     return F.round(amount, 2).cast(MONEY_SUM)

@@ -1,5 +1,11 @@
 from eventmetrics.plans import metrics
-from eventmetrics.plans.jobs import prepare_events, refresh_aggregates, run_batch, run_stream
+from eventmetrics.plans.jobs import (
+    judge_messages,
+    prepare_events,
+    refresh_aggregates,
+    run_batch,
+    run_stream,
+)
 from eventmetrics.plans.quality import (
     assert_quality,
     check_amounts,
@@ -15,6 +21,7 @@ __all__ = [
     "check_freshness",
     "check_nulls",
     "check_row_count",
+    "judge_messages",
     "metrics",
     "prepare_events",
     "quality_report",

@@ -8,22 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmetrics.operators import clean_events, enrich_events, window_aggregations
-from eventmetrics.schema import WINDOW_DATE, WINDOW_DURATION
+from eventmetrics.operators import (
+    clean_events,
+    enrich_events,
+    window_aggregations,
+    with_fault,
+)
+from eventmetrics.schema import EVENT_SCHEMA, WINDOW_DURATION
 from eventmetrics.session import file_system
 from eventmetrics.sources import (
     decode_events,
+    decode_messages,
     read_aggregate_log,
     read_aggregates,
     read_event_lake,
 )
 from eventmetrics.sources.aggregates import Target
+from eventmetrics.sources.snapshots import current
 from eventmetrics.streaming import (
+    in_folders,
     latest_aggregates,
+    newest_batches,
     replace_aggregates,
     replace_dates,
     write_aggregate_log,
     write_event_lake,
+    write_outputs,
 )
 from eventmetrics.streaming.sinks import EVERY_30_SECONDS
 
@@ -36,6 +46,15 @@ def prepare_events(source: DataFrame) -> DataFrame:
     return enrich_events(clean_events(events))
 
 
+def judge_messages(source: DataFrame) -> DataFrame:
+    """Source rows to `value`, the event columns and `fault`; events without a message get one."""
+    if "value" in source.columns:
+        return with_fault(decode_messages(source))
+    message = F.to_json(F.struct(*EVENT_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
+    return with_fault(source.select(
+        message.alias("value"), *EVENT_SCHEMA.fieldNames(), F.lit(False).alias("corrupt")))
+
+
 def run_batch(spark: SparkSession, source: DataFrame, out: str,
               duration: str = WINDOW_DURATION) -> DataFrame:
     """Rebuild `out`/events and `out`/aggregates from a bounded source; returns the latter.
@@ -45,7 +64,7 @@ def run_batch(spark: SparkSession, source: DataFrame, out: str,
     of its own: a stream keeps a list of the lake's files, which a rebuild would not, so its
     folder is refused here.
     """
-    if _exists(spark, f"{out}/events/_spark_metadata"):
+    if any(_exists(spark, f"{out}/{name}") for name in ("events/_spark_metadata", "checkpoints")):
         raise ValueError(f"{out}/events belongs to a stream; rebuild into another folder")
     write_event_lake(prepare_events(source), f"{out}/events", mode="overwrite")
     aggregates = window_aggregations(read_event_lake(spark, f"{out}/events"), duration)
@@ -58,14 +77,23 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
                trigger: Mapping | None = None, wait: bool = True) -> list[StreamingQuery]:
     """Stream a source into `out`/events and `out`/aggregate_log.
 
-    The two queries progress on their own, each with its checkpoint under `out`/checkpoints.
-    With `wait`, a bounded trigger (availableNow, once) returns when both are done, and a
-    continuous one when either stops. If one fails, the other is stopped and the error raised.
+    With the method `users` one query writes both, and `out`/faults, from messages that are read
+    and decoded once. The other methods keep state, which only a query of its own can: then two
+    queries progress on their own, without `out`/faults. An output that two queries began is
+    continued by two. Checkpoints are under `out`/checkpoints.
+
+    With `wait`, a bounded trigger (availableNow, once) returns when all is done, and a
+    continuous one when a query stops. If one fails, the other is stopped and the error raised.
 
     With `two_level` or `approx`, `spark.sql.shuffle.partitions` of the first start is kept in the
     checkpoint: set it to the size the state will need before then.
     """
     trigger = trigger or EVERY_30_SECONDS
+    if distinct == "users" and not _exists(spark, f"{out}/checkpoints/events"):
+        query = write_outputs(judge_messages(source), out, duration, trigger)
+        if wait:
+            query.awaitTermination()  # raises the error it failed with
+        return [query]
     events = prepare_events(source)
     aggregates = window_aggregations(events, duration, distinct, watermark)
     output_mode = "append" if distinct == "two_level" else "update"
@@ -86,39 +114,33 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     return queries
 
 
-def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = None) -> DataFrame:
-    """Bring a serving table up to date with `out`/aggregate_log and return it.
+def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = None,
+                       log_path: str | None = None) -> DataFrame:
+    """Bring a serving table up to date with `out`/aggregate_log (or `log_path`) and return it.
 
-    The table is `out`/aggregates, of which only the dates that micro-batches have touched since
-    the last refresh are computed and replaced; or a database table, which is loaded anew. A
-    refresh that fails half-way is simply run again. Between refreshes,
+    The table is `out`/aggregates, or a database table, which is loaded anew. The former notes for
+    each date the newest batch that it has taken; only dates of which the log has another one are
+    computed, and all of them are replaced in one step. So it does not matter whether the log was
+    compacted in between, and a refresh that fails half-way is simply run again. Between refreshes,
     `latest_aggregates(read_aggregate_log(...))` answers the same queries from the log itself;
     look-backs reach its scan too.
     """
-    log = read_aggregate_log(spark, f"{out}/aggregate_log")
+    log = read_aggregate_log(spark, log_path or f"{out}/aggregate_log")
     if target:
         return replace_aggregates(latest_aggregates(log), target)
-    table, mark = f"{out}/aggregates", f"{out}/aggregates_refreshed"
-    if not _exists(spark, table) or not _exists(spark, mark):
-        last = log.agg(F.max("batch_id")).first()[0]
-        replace_aggregates(latest_aggregates(log), table)
-    else:
-        done = spark.read.schema(_MARK).parquet(mark).first()["batch_id"]
-        new = log.filter(F.col("batch_id") > F.lit(done))
-        last = new.agg(F.max("batch_id")).first()[0]
-        if last is not None:
-            # One row for each calendar date.
-            dates = [r[0] for r in new.select(WINDOW_DATE).distinct().collect()]
-            replace_dates(latest_aggregates(log.filter(F.col(WINDOW_DATE).isin(dates))), table)
-    if last is not None:
-        spark.range(1).select(F.lit(last).cast("long").alias("batch_id")).write.mode(
-            "overwrite").parquet(mark)
+    table = f"{out}/aggregates"
+    newest, held = newest_batches(log), current(spark, table)
+    if held is None:
+        return replace_aggregates(latest_aggregates(log), table, newest)
+    changed = [folder for folder, batch in newest.items()
+               if folder not in held or held[folder][1] != batch]
+    gone = set(held) - set(newest)
+    if changed or gone:
+        rows = latest_aggregates(in_folders(log, changed))
+        replace_dates(rows, table, newest, gone)
     return read_aggregates(spark, table)
 
 
-_MARK = "batch_id BIGINT"
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     files, where = file_system(spark, path)
     return files.exists(where)

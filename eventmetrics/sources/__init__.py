@@ -1,17 +1,22 @@
 from eventmetrics.sources.aggregates import jdbc_options, read_aggregate_log, read_aggregates
 from eventmetrics.sources.events import (
     decode_events,
+    decode_messages,
     encode_events,
     peek_events,
     read_event_lake,
     read_event_stream,
     read_events,
+    read_faults,
     write_events,
 )
+from eventmetrics.sources.snapshots import expire_snapshots
 
 __all__ = [
     "decode_events",
+    "decode_messages",
     "encode_events",
+    "expire_snapshots",
     "jdbc_options",
     "peek_events",
     "read_aggregate_log",
@@ -19,5 +24,6 @@ __all__ = [
     "read_event_lake",
     "read_event_stream",
     "read_events",
+    "read_faults",
     "write_events",
 ]

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmetrics.schema import AGGREGATE_LOG_SCHEMA, SERVING_SCHEMA
+from eventmetrics.sources.snapshots import read_snapshot
 
 Target = str | Mapping[str, str]
 
@@ -38,13 +39,14 @@ def read_aggregates(spark: SparkSession, target: Target,
                     predicates: Sequence[str] | None = None) -> DataFrame:
     """The serving table. Filters and columns are pushed into Parquet or the database.
 
-    From Parquet it has the date of each window as well. From a database it arrives in one task,
+    From Parquet it has the date of each window as well, and is the newest snapshot: loads that come
+    later do not change what this frame reads. From a database it arrives in one task,
     unless `predicates` (disjoint SQL conditions, one task each) or the options `lowerBound`,
     `upperBound` and `numPartitions` split the read, by window_start if no `partitionColumn` is
     given.
     """
     if isinstance(target, str):
-        return spark.read.schema(SERVING_SCHEMA).parquet(target)
+        return read_snapshot(spark, target, SERVING_SCHEMA)
     options = jdbc_options(target)
     if predicates:
         if "dbtable" not in options:

@@ -27,6 +27,10 @@ from eventmetrics.schema import EVENT_SCHEMA
 TOPIC = "user-events"
 BOOTSTRAP_SERVERS = "localhost:9092"
 
+# Messages with a fault, and whether it kept them out of the lake.
+FAULT_SCHEMA = StructType([StructField("value", StringType()), StructField("fault", StringType()),
+                           StructField("dropped", BooleanType())])
+
 MESSAGE_SCHEMA = StructType([StructField("value", StringType())])
 
 # Enriched events at rest; the two partition columns come last when read back.
@@ -41,6 +45,7 @@ LAKE_SCHEMA = StructType(
     ]
 )
 
+_CORRUPT = "_corrupt_record"
 _FILE_SCHEMAS = {"text": MESSAGE_SCHEMA, "json": EVENT_SCHEMA, "parquet": EVENT_SCHEMA}
 
 
@@ -92,6 +97,19 @@ def decode_events(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(event)))
 
 
+def decode_messages(df: DataFrame) -> DataFrame:
+    """`value` as text, its event columns, and `corrupt`: whether it is no event as declared.
+
+    The event columns are those of `decode_events`. A message that cannot be parsed at all has none
+    of them; one with a mistyped field has the others.
+    """
+    value = F.col("value").cast("string")
+    schema = StructType([*EVENT_SCHEMA.fields, StructField(_CORRUPT, StringType())])
+    event = F.from_json(value, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    return df.select(value.alias("value"), F.inline(F.array(event))).withColumn(
+        "corrupt", F.col(_CORRUPT).isNotNull()).drop(_CORRUPT)
+
+
 def encode_events(df: DataFrame) -> DataFrame:
     """Event columns to one JSON text per event in `value`; NULLs are written out."""
     fields = F.struct(*EVENT_SCHEMA.fieldNames())
@@ -121,4 +139,10 @@ def peek_events(df: DataFrame, n: int = 5,
 
 def read_event_lake(spark: SparkSession, path: str) -> DataFrame:
     """Enriched events at rest, pruned by filters on event_date and event_type."""
-    return spark.read.schema(LAKE_SCHEMA).parquet(path)
+    # A stream's micro-batches have folders of their own below those, which are no concern here.
+    return spark.read.schema(LAKE_SCHEMA).parquet(path).select(LAKE_SCHEMA.fieldNames())
+
+
+def read_faults(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that a stream found fault with: value, fault, dropped."""
+    return spark.read.schema(FAULT_SCHEMA).parquet(path).select(FAULT_SCHEMA.fieldNames())

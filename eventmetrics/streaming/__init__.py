@@ -1,19 +1,25 @@
 from eventmetrics.streaming.sinks import (
     compact_aggregate_log,
+    in_folders,
     latest_aggregates,
+    newest_batches,
     replace_aggregates,
     replace_dates,
     write_aggregate_log,
     write_aggregates_jdbc,
     write_event_lake,
+    write_outputs,
 )
 
 __all__ = [
     "compact_aggregate_log",
+    "in_folders",
     "latest_aggregates",
+    "newest_batches",
     "replace_aggregates",
     "replace_dates",
     "write_aggregate_log",
     "write_aggregates_jdbc",
     "write_event_lake",
+    "write_outputs",
 ]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
+from eventmetrics.operators import clean_events, enrich_events, faulty_messages, user_windows
 from eventmetrics.operators.windows import to_cents
 from eventmetrics.schema import (
     AGGREGATE_KEY,
@@ -16,13 +19,16 @@ from eventmetrics.schema import (
     MEASURES,
     SERVING_SCHEMA,
     WINDOW_DATE,
+    WINDOW_DURATION,
 )
+from eventmetrics.sources import snapshots
 from eventmetrics.sources.aggregates import (
     COLUMN_TYPES,
     Target,
     jdbc_options,
     read_aggregates,
 )
+from eventmetrics.sources.events import FAULT_SCHEMA, LAKE_SCHEMA
 
 LAKE_PARTITIONS = ("event_date", "event_type")
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
@@ -65,21 +71,61 @@ def write_aggregate_log(df: DataFrame, path: str, checkpoint: str,
     It then replaces its own folders, so nothing is counted twice. An empty micro-batch writes
     nothing; the log is there from the start, as a folder without rows.
     """
-    empty = df.sparkSession.createDataFrame([], AGGREGATE_LOG_SCHEMA)
-    empty.drop(WINDOW_DATE, "batch_id").write.mode("ignore").parquet(
-        f"{path}/{WINDOW_DATE}=__HIVE_DEFAULT_PARTITION__/batch_id=-1")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = _log_rows(batch, batch_id)
-        # Few files for each date, and several tasks for a date with very many rows.
-        (rows.hint("rebalance", WINDOW_DATE).write.mode("overwrite").option(*_DYNAMIC)
-            .partitionBy(WINDOW_DATE, "batch_id").parquet(path))
-
-    return (df.writeStream.foreachBatch(write_batch).outputMode(output_mode)
+    _empty_table(df, AGGREGATE_LOG_SCHEMA, path, WINDOW_DATE)
+    return (df.writeStream.foreachBatch(lambda batch, batch_id: _write_log(batch, batch_id, path))
+            .outputMode(output_mode)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_30_SECONDS))
             .queryName(f"aggregate-log {path}").start())
 
 
+def write_outputs(messages: DataFrame, out: str, duration: str = WINDOW_DURATION,
+                  trigger: Mapping | None = None) -> StreamingQuery:
+    """Lake, aggregate log and faulty messages from one query that decodes each message once.
+
+    `messages` are decoded and judged (`with_fault`). A micro-batch is kept on the executors' disks
+    while its three parts are written: `out`/events, `out`/aggregate_log and `out`/faults, each into
+    folders of the micro-batch's own. If it fails anywhere it runs again and replaces all three, so
+    they always hold the same events. An executor that is lost takes its part of the kept rows with
+    it; that part is read from the source again.
+    """
+    lake, log, faults = f"{out}/events", f"{out}/aggregate_log", f"{out}/faults"
+    _empty_table(messages, LAKE_SCHEMA, lake, *LAKE_PARTITIONS)
+    _empty_table(messages, AGGREGATE_LOG_SCHEMA, log, WINDOW_DATE)
+    _empty_table(messages, FAULT_SCHEMA, faults)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            events = enrich_events(clean_events(batch))
+            number = F.lit(batch_id).cast("long").alias("batch_id")
+            (events.select(*LAKE_SCHEMA.fieldNames(), number).hint("rebalance", *LAKE_PARTITIONS)
+                .sortWithinPartitions(*LAKE_PARTITIONS, "event_time")
+                .write.mode("overwrite").option(*_DYNAMIC)
+                .partitionBy(*LAKE_PARTITIONS, "batch_id").parquet(lake))
+            _write_log(user_windows(events, duration), batch_id, log)
+            (faulty_messages(batch).withColumn("batch_id", number).write.mode("overwrite")
+                .option(*_DYNAMIC).partitionBy("batch_id").parquet(faults))
+        finally:
+            batch.unpersist()
+
+    return (messages.writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", f"{out}/checkpoints/outputs")
+            .trigger(**(trigger or EVERY_30_SECONDS)).queryName(f"outputs {out}").start())
+
+
+def _empty_table(df: DataFrame, schema, path: str, *folders: str) -> None:
+    """Make the table be there from the start, as a folder without rows."""
+    empty = df.sparkSession.createDataFrame([], schema).drop(*folders, "batch_id")
+    names = "".join(f"/{name}=__HIVE_DEFAULT_PARTITION__" for name in folders)
+    empty.write.mode("ignore").parquet(f"{path}{names}/batch_id=-1")
+
+
+def _write_log(batch: DataFrame, batch_id: int, path: str) -> None:
+    # Few files for each date, and several tasks for a date with very many rows.
+    (_log_rows(batch, batch_id).hint("rebalance", WINDOW_DATE).write.mode("overwrite")
+        .option(*_DYNAMIC).partitionBy(WINDOW_DATE, "batch_id").parquet(path))
+
+
 def _log_rows(df: DataFrame, batch_id: int) -> DataFrame:
     if "unique_users" not in df.columns:
         df = df.groupBy(*AGGREGATE_KEY, "user_id").agg(
@@ -131,17 +177,45 @@ def latest_aggregates(log: DataFrame) -> DataFrame:
     return both.withColumn("total_revenue", to_cents(F.col("total_revenue")))
 
 
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_of(date):
+    return F.concat(F.lit(f"{WINDOW_DATE}="), F.coalesce(date.cast("string"), F.lit(_NO_DATE)))
+
+
+def newest_batches(log: DataFrame) -> dict[str, int]:
+    """The newest batch that each date's folder of a log holds rows of."""
+    rows = log.groupBy(_folder_of(F.col(WINDOW_DATE)).alias("folder")).agg(
+        F.max("batch_id").alias("newest"))
+    return {r["folder"]: r["newest"] for r in rows.collect()}  # one row per date
+
+
+def in_folders(df: DataFrame, folders: Iterable[str]) -> DataFrame:
+    """The rows of some dates, given as folders' names; the filter selects folders to read."""
+    dates = [folder.split("=", 1)[1] for folder in folders]
+    wanted = F.col(WINDOW_DATE).isin([F.lit(d).cast("date") for d in dates if d != _NO_DATE])
+    return df.filter(wanted | F.col(WINDOW_DATE).isNull() if _NO_DATE in dates else wanted)
+
+
 def compact_aggregate_log(log: DataFrame, path: str) -> None:
     """Write the log with its rows merged to a new path, while its stream is stopped.
 
-    Everything older than the last batch goes into batch 0. The last batch keeps its number
-    because a restart may run it once more. Restart the stream on the new path with the same
-    checkpoint.
+    Everything older than the last batch is merged, date by date, under the number of the newest
+    batch that the date has rows of; so a refresh still knows which dates it has not taken. The
+    last batch keeps its number because a restart may run it once more. Restart the stream on the
+    new path with the same checkpoint.
     """
-    last = log.agg(F.max("batch_id")).first()[0]
-    if last is None:
+    newest = newest_batches(log)
+    if not newest:
         raise ValueError("the log is empty")
-    kept = F.when(F.col("batch_id") == last, F.col("batch_id")).otherwise(F.lit(0)).cast("long")
+    last = max(newest.values())
+    older = newest_batches(log.filter(F.col("batch_id") < last))
+    number = F.lit(None).cast("long")
+    if older:  # one entry for each date
+        number = F.create_map(*[F.lit(x) for entry in older.items() for x in entry])[
+            _folder_of(F.col(WINDOW_DATE))]
+    kept = F.when(F.col("batch_id") == last, F.col("batch_id")).otherwise(number).cast("long")
     users = _shares(log.withColumn("batch_id", kept), "batch_id")
     states = _states(log).withColumn("batch_id", kept)
     fill = {"user_id": F.lit(None), "unique_users": F.lit(None)}
@@ -156,31 +230,43 @@ def _serving_rows(df: DataFrame) -> DataFrame:
                                          WINDOW_DATE: F.to_date("window_start")})
 
 
-def _write_serving_table(df: DataFrame, path: str, dynamic: bool) -> None:
+def _load(df: DataFrame, path: str) -> str:
+    """Write the rows into a new folder of the table, which no reader knows yet; returns its name."""
+    load = uuid.uuid4().hex
     # Ranges of time within a date, so that look-backs skip row groups; the other key columns take
     # part in them because one window may hold very many rows.
-    writer = (_serving_rows(df).repartitionByRange("window_start", "event_type", "country")
-              .sortWithinPartitions(WINDOW_DATE, "window_start", "event_type", "country")
-              .write.mode("overwrite").partitionBy(WINDOW_DATE))
-    (writer.option(*_DYNAMIC) if dynamic else writer.option(_DYNAMIC[0], "static")).parquet(path)
+    (_serving_rows(df).repartitionByRange("window_start", "event_type", "country")
+        .sortWithinPartitions(WINDOW_DATE, "window_start", "event_type", "country")
+        .write.partitionBy(WINDOW_DATE).parquet(f"{path}/load={load}"))
+    return load
 
 
-def replace_aggregates(df: DataFrame, target: Target) -> DataFrame:
-    """Empty the serving table and load all rows; returns the table.
+def replace_aggregates(df: DataFrame, target: Target, newest: Mapping[str, int] | None = None,
+                       keep: int = snapshots.KEEP) -> DataFrame:
+    """Replace all rows of the serving table; returns the table.
 
-    Parquet has a folder for each date, within which it is laid out by window_start.
+    Parquet has a folder for each date, within which it is laid out by window_start. Readers see the
+    old rows or the new ones, never a part, and the last `keep` snapshots stay readable. `newest`
+    is noted for each date's folder: the newest batch of the log that is in it.
     """
     spark = df.sparkSession
     if isinstance(target, str):
-        _write_serving_table(df, target, dynamic=False)
+        snapshots.commit(spark, target, _load(df, target), keep_others=False, newest=newest)
+        snapshots.expire_snapshots(spark, target, keep)
     else:
         _to_database(_serving_rows(df), {"truncate": "true", **target}, "overwrite")
     return read_aggregates(spark, target)
 
 
-def replace_dates(df: DataFrame, path: str) -> None:
-    """Replace the dates that the rows have in a serving table of Parquet; others stay untouched."""
-    _write_serving_table(df, path, dynamic=True)
+def replace_dates(df: DataFrame, path: str, newest: Mapping[str, int] | None = None,
+                  drop: Iterable[str] = (), keep: int = snapshots.KEEP) -> None:
+    """Replace the dates that the rows have in a serving table of Parquet, all in one step.
+
+    Other dates stay untouched, but for the folders in `drop`, which go.
+    """
+    spark = df.sparkSession
+    snapshots.commit(spark, path, _load(df, path), True, newest, drop)
+    snapshots.expire_snapshots(spark, path, keep)
 
 
 def write_aggregates_jdbc(df: DataFrame, url: str, table: str | None = None,

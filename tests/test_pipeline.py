@@ -12,6 +12,9 @@ import eventmetrics as em
 from eventmetrics import metrics
 from eventmetrics.__main__ import main
 from eventmetrics.session import scratch_dir
+from eventmetrics.sources import snapshots
+from eventmetrics.sources.snapshots import read_snapshot
+from eventmetrics.streaming import replace_dates, sinks
 from eventmetrics.streaming.sinks import AVAILABLE_NOW, database_rows
 from tests.conftest import rows_of
 
@@ -256,8 +259,11 @@ def test_compaction_keeps_the_state_and_the_stream_goes_on(spark, topic, tmp_pat
     compacted = em.read_aggregate_log(spark, f"{tmp_path}/compacted")
     assert compacted.count() < old.count()
     assert plain(em.latest_aggregates(compacted)) == plain(em.latest_aggregates(old))
+    # A date's merged rows are under the newest batch that they came from.
     last = old.agg(F.max("batch_id")).first()[0]
-    assert {r[0] for r in compacted.select("batch_id").distinct().collect()} == {0, last}
+    older = old.filter(F.col("batch_id") < last).groupBy("window_date").agg(F.max("batch_id"))
+    assert rows_of(compacted.filter(F.col("batch_id") < last).select(
+        "window_date", "batch_id").distinct().toDF("window_date", "max(batch_id)")) == rows_of(older)
 
     send(3)
     run(spark, folder, tmp_path, log="compacted")
@@ -265,6 +271,123 @@ def test_compaction_keeps_the_state_and_the_stream_goes_on(spark, topic, tmp_pat
         em.read_aggregate_log(spark, f"{tmp_path}/compacted"))) == expected
 
 
+def test_a_refresh_after_compaction_takes_what_it_has_not(spark, topic, tmp_path, expected):
+    folder, send = topic
+    send(0, 1)
+    run(spark, folder, tmp_path)
+    em.refresh_aggregates(spark, str(tmp_path))
+    send(2, 3)
+    run(spark, folder, tmp_path)
+    em.compact_aggregate_log(log_of(spark, tmp_path), f"{tmp_path}/compacted")
+    for _ in range(2):
+        table = em.refresh_aggregates(spark, str(tmp_path), log_path=f"{tmp_path}/compacted")
+        assert plain(table) == expected
+    versions = list((tmp_path / "aggregates" / "_manifests").glob("*.json"))
+    assert len(versions) == 2  # the second refresh had nothing to take
+
+
+def test_a_reader_keeps_its_snapshot_until_it_expires(spark, std, tmp_path):
+    path = str(tmp_path / "table")
+    all_rows = em.window_aggregations(em.clean_events(std), LONG)
+    first = em.replace_aggregates(all_rows, path)
+    before = plain(first)
+    replace_dates(all_rows.filter("country = 'US'").limit(1), path)
+    second = em.read_aggregates(spark, path)
+    assert plain(first) == before and 0 < second.count() < first.count()
+    assert plain(read_snapshot(spark, path, em.SERVING_SCHEMA, version=0)) == before
+    untouched = set(first.inputFiles()) & set(second.inputFiles())
+    assert untouched and set(second.inputFiles()) - set(first.inputFiles())
+    assert em.expire_snapshots(spark, path, keep=1) == [0]
+    assert plain(em.read_aggregates(spark, path)) == plain(second)
+    for file in second.inputFiles():
+        assert Path(file.removeprefix("file://")).exists()
+    with pytest.raises(ValueError, match="version 0"):
+        read_snapshot(spark, path, em.SERVING_SCHEMA, version=0)
+    with pytest.raises(ValueError, match="newest"):
+        em.expire_snapshots(spark, path, keep=0)
+
+
+def test_of_two_loads_at_once_one_fails(spark, std, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    rows = em.window_aggregations(em.clean_events(std), LONG)
+    em.replace_aggregates(rows, path)
+    monkeypatch.setattr(snapshots, "_versions", lambda *_: [])  # as if the other was not there yet
+    with pytest.raises(Exception, match="exist"):
+        em.replace_aggregates(rows.limit(1), path)
+    monkeypatch.undo()
+    assert plain(em.read_aggregates(spark, path)) == plain(rows)
+    assert em.replace_aggregates(rows.limit(0), path).count() == 0
+
+
+def test_a_load_that_fails_before_its_commit_is_not_seen(spark, std, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    rows = em.window_aggregations(em.clean_events(std), LONG)
+    em.replace_aggregates(rows, path)
+
+    def fail(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(snapshots, "commit", fail)
+        with pytest.raises(OSError, match="lost"):
+            replace_dates(rows.limit(1), path)
+    assert plain(em.read_aggregates(spark, path)) == plain(rows)
+
+
+def test_one_query_reads_each_message_once(spark, topic, tmp_path, expected, std):
+    folder, send = topic
+    send(0, 1, "garbage", 2, 3)
+    [query] = run_both(spark, folder, tmp_path)
+    lines = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert lines == [250, 250, 1, 250, 250]
+    assert rows_of(em.read_event_lake(spark, f"{tmp_path}/events")) == rows_of(em.prepare_events(std))
+    assert plain(em.refresh_aggregates(spark, str(tmp_path))) == expected
+    faults = em.read_faults(spark, f"{tmp_path}/faults")
+    judged = em.judge_messages(em.encode_events(std).unionByName(
+        spark.createDataFrame([("garbage",)], "value string")))
+    assert rows_of(faults) == rows_of(em.faulty_messages(judged))
+    dropped = faults.filter("dropped").count()
+    assert dropped + em.read_event_lake(spark, f"{tmp_path}/events").count() == 1001
+
+
+@pytest.mark.parametrize("part", ["_write_log", "faulty_messages"])
+def test_a_batch_that_dies_between_its_writes_is_whole_after_all(
+        spark, topic, tmp_path, expected, std, monkeypatch, part):
+    folder, send = topic
+    send(0, 1)
+    run_both(spark, folder, tmp_path)
+    send(2, 3)
+
+    def die(*_):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, part, die)
+        with pytest.raises(Exception, match="the driver is gone"):
+            run_both(spark, folder, tmp_path)
+    lake = em.read_event_lake(spark, f"{tmp_path}/events")
+    assert lake.count() > em.prepare_events(std).count() / 2  # the lake has the batch already
+    run_both(spark, folder, tmp_path)
+    assert rows_of(em.read_event_lake(spark, f"{tmp_path}/events")) == rows_of(em.prepare_events(std))
+    assert plain(em.latest_aggregates(log_of(spark, tmp_path))) == expected
+    assert rows_of(em.read_faults(spark, f"{tmp_path}/faults")) == rows_of(
+        em.faulty_messages(em.judge_messages(std)))
+
+
+def test_an_output_of_two_queries_is_continued_by_two(spark, topic, tmp_path, expected):
+    folder, send = topic
+    send(0, 1)
+    run_both(spark, folder, tmp_path, distinct="approx")
+    assert len(run_both(spark, folder, tmp_path)) == 2
+
+
+def test_plain_events_stream_in_one_query(spark, std, tmp_path, expected):
+    std.write.json(f"{tmp_path}/in", ignoreNullFields="false")
+    source = em.read_event_stream(spark, "json", {"path": f"{tmp_path}/in"})
+    em.run_stream(spark, source, str(tmp_path), LONG, trigger=AVAILABLE_NOW)
+    assert plain(em.latest_aggregates(log_of(spark, tmp_path))) == expected
+
+
 def test_compacting_an_empty_log_is_refused(spark, tmp_path):
     log = spark.createDataFrame([], em.AGGREGATE_LOG_SCHEMA)
     with pytest.raises(ValueError, match="empty"):
@@ -303,7 +426,8 @@ def test_a_refresh_replaces_only_what_changed(spark, topic, tmp_path):
         return "\n".join(json.dumps({**event, "timestamp": f"2024-06-{d:02d}T00:00:00"}) for d in days)
 
     def files():
-        return {p.parent.name: p.name for p in (tmp_path / "aggregates").glob("*/*.parquet")}
+        table = em.read_aggregates(spark, f"{tmp_path}/aggregates")
+        return {Path(f).parent.name: f for f in table.inputFiles()}
 
     counts = []
     for message in (at(1, 8, 15), at(8, 8), "garbage", at(22)):  # late events for the second week
