@@ -86,7 +86,7 @@ def match_notices(notices: DataFrame, templates=TEMPLATES,
     df = stored(tokens.select("token").unionByName(of_templates.select("token"))
                 .groupBy("token").agg(F.count("*").alias("df")))
     weight = (F.col("tf") * (F.log(F.lit(1.0 + texts) / (1 + F.col("df"))) + 1)).alias("weight")
-    weights = stored(tokens.join(few(df, 64), "token").select("notice", "token", weight))
+    weights = stored(tokens.join(few(df), "token").select("notice", "token", weight))
     template_weights = stored(of_templates.join(df, "token").select("template", "token", weight))
     norms = weights.groupBy("notice").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     template_norms = template_weights.groupBy("template").agg(
@@ -130,7 +130,7 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", temp
         F.explode(_notices(F.coalesce(F.col(path), F.lit("")), F.col(text))).alias("notice")).distinct())
     matched = stored(match_notices(notices, templates, min_similarity))
     best = F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), F.col("license")))
-    own = (notices.join(few(matched, 400), "notice").groupBy("file", "path")
+    own = (notices.join(few(matched), "notice").groupBy("file", "path")
            .agg(best.alias("best")).select("file", "path", "best.license", "best.similarity"))
     own = stored(own)
     directories = (own.filter(F.col("path").rlike(LICENCE_FILE))
@@ -155,8 +155,8 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", temp
                               F.col("similarity").alias("their_similarity"))
     shape = [F.col(f"files.{c}") for c in files.columns]
     has_own, has_theirs = F.col("own_license").isNotNull(), F.col("their_license").isNotNull()
-    joined = (keyed.alias("files").join(few(mine, 64), key, "left")
-              .join(few(theirs, 200), _directory(F.col(f"files.{path}")) == F.col("their_directory"),
+    joined = (keyed.alias("files").join(few(mine), key, "left")
+              .join(few(theirs), _directory(F.col(f"files.{path}")) == F.col("their_directory"),
                     "left"))
     return joined.select(
         *shape, F.coalesce("own_license", "their_license").alias(names[0]),

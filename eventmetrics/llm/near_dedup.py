@@ -178,7 +178,7 @@ def _relabelled(components: DataFrame, links: DataFrame) -> DataFrame:
     """
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     for _ in range(2):
-        name = few(components.select(F.col("id").alias("b"), "component"), 16)
+        name = few(components.select(F.col("id").alias("b"), "component"))
         named = both.join(name, "b", "left").select(
             "a", F.coalesce("component", "b").alias("component"))
         found = named.groupBy("a").agg(F.min("component").alias("component")).select(
@@ -191,7 +191,7 @@ def _relabelled(components: DataFrame, links: DataFrame) -> DataFrame:
 
 def _renamed(components: DataFrame, names: DataFrame) -> DataFrame:
     """The components under the names that stored `names` (id, component) give to them."""
-    newer = few(names.select(F.col("id").alias("component"), F.col("component").alias("newer")), 16)
+    newer = few(names.select(F.col("id").alias("component"), F.col("component").alias("newer")))
     return components.join(newer, "component", "left").select(
         "id", F.coalesce("newer", "component").alias("component"))
 
@@ -199,7 +199,7 @@ def _renamed(components: DataFrame, names: DataFrame) -> DataFrame:
 def _settled(components: DataFrame, links: DataFrame) -> DataFrame:
     """The components with all names of each made one: links between names are solved exactly."""
     for end in ("a", "b"):
-        name = few(components.select(F.col("id").alias(end), F.col("component").alias("name")), 16)
+        name = few(components.select(F.col("id").alias(end), F.col("component").alias("name")))
         links = links.join(name, end).drop(end).withColumnRenamed("name", end)
     between = stored(links.filter("a <> b").distinct())
     if between.isEmpty():
@@ -214,7 +214,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
                             F.posexplode("bands").alias("band", "bucket"))
     several = stored(banded.groupBy("bucket").agg(F.count("*").alias("members"))
                      .filter("members > 1").select("bucket"))
-    members = stored(banded.join(few(several, 16), "bucket"))
+    members = stored(banded.join(few(several), "bucket"))
     # Texts that are alike share many buckets with the same members. The one with the smallest
     # band is enough: it is the first shared band of all its pairs that another of them has.
     same = ["members", "ids_a", "ids_b"]
@@ -224,7 +224,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
         F.bit_xor(F.xxhash64(F.lit("member"), "id")).alias("ids_b"))
         .groupBy(*same).agg(F.min_by(F.struct("bucket", "first"), "lowest").alias("kept"))
         .select("kept.bucket", "kept.first", "members"))
-    members = stored(members.join(few(stored(kept), 32), "bucket"))
+    members = stored(members.join(few(stored(kept)), "bucket"))
     ids = stored(members.select("id").distinct())
     # For telling the first shared band, 32 bits of each band's hash are enough.
     short = F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int"))
@@ -233,13 +233,13 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
         F.col("n_shingles").alias("n")), "id", ids))
     sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
                             "id bigint, shingles array<bigint>"))
-    known = few(known, 500)
+    known = few(known)
     components = spark.createDataFrame([], "id bigint, component bigint")
     links = None
     most = members.agg(F.max("members")).first()[0] or 0
     share = 0  # leaders of a bucket so far, 0 at first: only its smallest id
     while most:
-        labelled = members.join(few(components, 16), "id", "left").withColumn(
+        labelled = members.join(few(components), "id", "left").withColumn(
             "component", F.coalesce("component", "id"))
         if share == 0:
             pending, leaders = labelled, labelled.filter("id = first")
@@ -247,7 +247,7 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
             open_buckets = labelled.groupBy("bucket").agg(
                 F.min("component").alias("low"), F.max("component").alias("high")
             ).filter("low <> high").select("bucket")
-            pending = stored(labelled.join(few(stored(open_buckets), 16), "bucket", "left_semi"))
+            pending = stored(labelled.join(few(stored(open_buckets)), "bucket", "left_semi"))
             if pending.isEmpty():
                 break
             turn = _place("bucket", "id") * F.col("members")
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = stored(known.groupBy(*key).agg(
         F.min("doc_id").alias("class_id"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"), F.first("samples").alias("samples")))
-    components = few(stored(_link_classes(classes, rows, percent)), 16)
+    components = few(stored(_link_classes(classes, rows, percent)))
     # A document's class, or classes if its id repeats, and then the component of the class.
     of_class = classes.select(*key, "class_id").join(
         components.withColumnRenamed("id", "class_id"), "class_id", "left").select(

@@ -310,27 +310,39 @@ ORACLE_SQL = {
     "op1_line_dedup": r"""WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 split AS (SELECT text, string_split(text, chr(10)) AS lines FROM texts),
 content AS (SELECT text, unnest(lines) AS content, unnest(range(1, len(lines) + 1)) AS place FROM split),
-token AS (
-  SELECT text, place, list_transform(
-           string_split(trim(regexp_replace(content, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), ' '),
-           lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+raw AS (
+  SELECT text, place, string_split(trim(regexp_replace(content, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), ' ') AS raw
   FROM content),
-line AS (SELECT text, place, tokens, len(tokens) AS n, tokens[1:3] AS lead FROM token WHERE tokens[1] <> ''),
-leaf AS (SELECT n, lead FROM line GROUP BY n, lead HAVING count(DISTINCT text) >= 3),
-occurrence AS (SELECT DISTINCT text, tokens, n, lead FROM line SEMI JOIN leaf USING (n, lead)),
+token AS (
+  SELECT text, place, CASE WHEN len(list_filter(raw, lambda t: NOT regexp_matches(t, '[0-9]'))) = 0 THEN raw
+         ELSE list_transform(raw, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END)
+         END AS tokens FROM raw),
+line AS (SELECT text, place, tokens, len(tokens) AS n FROM token WHERE tokens[1] <> ''),
+named1 AS (SELECT n, tokens[1] AS t FROM line GROUP BY ALL HAVING count(DISTINCT text) >= 3),
+line1 AS (SELECT l.*, coalesce(t, '<*>') AS t1 FROM line l LEFT JOIN named1 k ON l.n = k.n AND l.tokens[1] = t),
+named2 AS (SELECT n, t1, tokens[2] AS t FROM line1 GROUP BY ALL HAVING count(DISTINCT text) >= 3),
+line2 AS (SELECT l.*, coalesce(t, CASE WHEN l.n > 1 THEN '<*>' END) AS t2 FROM line1 l
+          LEFT JOIN named2 k ON l.n = k.n AND l.t1 = k.t1 AND l.tokens[2] = t),
+named3 AS (SELECT n, t1, t2, tokens[3] AS t FROM line2 GROUP BY ALL HAVING count(DISTINCT text) >= 3),
+line3 AS (SELECT l.*, [l.t1, l.t2, coalesce(t, CASE WHEN l.n > 2 THEN '<*>' END)] AS lead FROM line2 l
+          LEFT JOIN named3 k ON l.n = k.n AND l.t1 = k.t1 AND l.t2 = k.t2 AND l.tokens[3] = t),
+leaf AS (SELECT n, lead FROM line3 GROUP BY n, lead HAVING count(DISTINCT text) >= 3),
+occurrence AS (SELECT DISTINCT text, tokens, n, lead FROM line3 SEMI JOIN leaf USING (n, lead)),
 distinct_line AS (SELECT tokens, n, lead, count(*) AS texts FROM occurrence GROUP BY ALL),
 placed AS (
   SELECT tokens, n, lead, texts, unnest(tokens) AS token, unnest(range(1, n + 1)) AS pos FROM distinct_line),
 constant AS (
-  SELECT n, lead, pos, token FROM placed WHERE token <> '<*>' GROUP BY ALL HAVING sum(texts) >= 3),
+  SELECT n, lead, pos, token, TRUE AS constant FROM placed WHERE token <> '<*>'
+  GROUP BY ALL HAVING sum(texts) >= 3),
 template AS (
-  SELECT tokens, n, lead, list(struct_pack(pos := pos, token := token) ORDER BY pos) AS constants
-  FROM placed JOIN constant USING (n, lead, pos, token) GROUP BY tokens, n, lead
-  HAVING count(*) >= n * 0.6),
+  SELECT tokens, n, lead,
+         list(struct_pack(pos := pos, token := token) ORDER BY pos) FILTER (constant OR token = '<*>') AS parts
+  FROM placed LEFT JOIN constant USING (n, lead, pos, token) GROUP BY tokens, n, lead
+  HAVING count(constant) > 0 AND count(constant) >= count(*) FILTER (token <> '<*>') * 0.6),
 recurring AS (
-  SELECT n, lead, constants FROM occurrence JOIN template USING (tokens, n, lead)
-  GROUP BY n, lead, constants HAVING count(DISTINCT text) >= 3),
-dropped AS (SELECT tokens FROM template JOIN recurring USING (n, lead, constants)),
+  SELECT n, lead, parts FROM occurrence JOIN template USING (tokens, n, lead)
+  GROUP BY n, lead, parts HAVING count(DISTINCT text) >= 3),
+dropped AS (SELECT DISTINCT tokens FROM template JOIN recurring USING (n, lead, parts)),
 kept AS (
   SELECT c.text, list(c.content ORDER BY c.place) FILTER (d.tokens IS NULL) AS lines,
          count(*) AS n_lines, count(d.tokens) AS n_dropped

@@ -16,17 +16,49 @@ def test_line_query_equals_sql(spark):
     assert differences(queries.op1_line_dedup(spark, SF_DIR), sql, SF_DIR) == ""
 
 
+def cut_lines(spark, texts, **how):
+    rows = line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), **how)
+    return {r["doc_id"]: (r["text"], r["n_dropped"]) for r in rows.collect()}
+
+
 def test_templates_generalise_variable_fields(spark):
     users = ["ann", "bob", "cy", "di", "ed"]
-    rows = [(i, f"About {u} only.\nUser {u} has logged in from host {i} at the door\nMore of {u} {u}.")
-            for i, u in enumerate(users)]
-    # The third token varies with it: a leaf is the number of tokens and the first three.
-    rows += [(10 + i, f"Your session with {u} ends in {i} minutes or so\n{u} writes words of {u}")
-             for i, u in enumerate(users)]
-    found = {r["doc_id"]: r for r in line_dedup(
-        spark.createDataFrame(rows, "doc_id int, text string")).collect()}
-    assert found[0]["n_dropped"] == 0  # a variable leading token makes leaves of their own
-    assert found[12]["text"] == "cy writes words of cy" and found[12]["n_dropped"] == 1
+    found = cut_lines(spark, [
+        f"About {u} only.\nUser {u} has logged in from host {i} at the door\nMore of {u} {u}."
+        for i, u in enumerate(users)] + [
+        f"Your session with {u} ends in {i} minutes or so\n{u} is {u}"
+        for i, u in enumerate(users)])
+    # A second token varies, and a fourth; most of the others are constant, but not in all lines.
+    assert found[0] == ("More of ann ann.", 2)
+    assert found[7] == ("cy is cy", 1)
+
+
+def test_lines_of_fields_are_found(spark):
+    words = ["alpha", "beta", "gamma", "delta", "eta"]
+    found = cut_lines(spark, [
+        f"{w} {w}{w} {w}s\nPage {i} of 3\nCopyright 202{i}\n2024-01-15 10:33:2{i} INFO Started\n"
+        f"0{i}/01 12:0{i} INFO dfs.DataNode: Receiving block b{i} src: /10.0.0.{i} dest: /10.0.{i}.1\n12 34 56"
+        for i, w in enumerate(words)] + ["1 2 3\n4 5 6", "7 8 9\n1 1 1", "2 2 2\n3 3 3"])
+    assert found[2] == ("gamma gammagamma gammas", 5)
+    assert found[5] == ("1 2 3\n4 5 6", 0)  # numbers only: not a template, and not equal
+
+
+def test_a_leading_token_with_a_child_of_its_own_keeps_it(spark):
+    names = ["ann", "bob", "cy", "di", "ed", "flo"]
+    found = cut_lines(spark, [f"{'Warning' if i < 3 else n} all the doors close now\n{n} {n}x"
+                              for i, n in enumerate(names)])
+    assert {n for _, n in found.values()} == {1}
+    few = cut_lines(spark, [f"{n} all the doors close now\nx{n} {n}" for n in names[:2]])
+    assert {n for _, n in few.values()} == {0}
+
+
+def test_a_text_of_very_many_lines(spark):
+    lines = 50_000
+    texts = ["\n".join(f"entry {i} of {k} done" if i % 2 else f"own{k}x{chr(97 + i % 26)} alone{k}{chr(97 + i % 7)}"
+                       for i in range(lines)) for k in range(3)]
+    found = cut_lines(spark, texts)
+    assert all(found[k][1] >= lines // 2 for k in range(3))
+    assert "entry" not in found[0][0]
 
 
 def test_copies_of_a_text_do_not_make_lines_recur(spark):
