@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import eventmetrics as em
 from eventmetrics import metrics
 from eventmetrics.fixtures import AS_OF, TABLE_SCHEMA, read_std_events, std_events
-from eventmetrics.functions import as_results, clock_label, compact_number
+from eventmetrics.functions import as_results, clock_label, compact_number, lookback
 from eventmetrics.session import pin_time_zone, scratch_dir
 
 # The language-model operators are an optional part: without their folder the rest still works.
@@ -121,7 +121,7 @@ def _approximate(spark, sf_dir):
 
 def _plain(table):
     """Without what only a stored table has."""
-    return table.drop("created_at", "window_date")
+    return table.drop("created_at", "window_date", "user_sketch")
 
 
 def _stored_aggregates(spark, sf_dir):
@@ -141,6 +141,42 @@ def _serving_metric(metric, *time_window, **choices):
     return _result(build)
 
 
+USERS_BY = ("event_type", "country")
+
+
+def _sketched(spark, sf_dir, stored: Callable[[SparkSession, str], DataFrame]):
+    """Users over look-backs from merged sketches: whether they are close to the exact numbers.
+
+    Close is within five standard errors (of 1.625 percent), or within one user.
+    """
+    table, events = stored(spark, sf_dir), em.with_event_time(_clean(spark, sf_dir))
+    found = None
+    for label in (DAY, "Last 7 Days", ALL_TIME):
+        for by in USERS_BY:
+            sketched = metrics.distinct_users(table, label, as_of=AS_OF, by=by)
+            start = F.window("event_time", "5 minutes").getField("start")
+            exact = (lookback(events.withColumn("window_start", start), label, AS_OF)
+                     .groupBy(by).agg(F.count_distinct("user_id").alias("users")))
+            error = F.abs(F.col("distinct_users") - F.col("users"))
+            rows = exact.withColumnRenamed(by, "value").join(
+                sketched.withColumnRenamed(by, "value"), "value", "full").select(
+                F.lit(label).alias("time_window"), F.lit(by).alias("grouped_by"), "value", "users",
+                (error <= F.greatest(F.lit(1.0), F.col("users") * 5 * 0.01625)).alias("close"))
+            found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _batch_table(spark, sf_dir):
+    return em.run_batch(spark, _messages(spark, sf_dir), scratch_dir(spark))
+
+
+def _refreshed_table(spark, sf_dir):
+    out = scratch_dir(spark)
+    _in_slices(spark, sf_dir, lambda path: em.run_stream(
+        spark, _message_stream(spark, path), out, trigger={"availableNow": True}))
+    return em.refresh_aggregates(spark, out)
+
+
 def _batch_job(spark, sf_dir):
     return _plain(em.run_batch(spark, _messages(spark, sf_dir), scratch_dir(spark)))
 
@@ -445,6 +481,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_aggregates_6h": _result(_stream_aggregates),
         "stream_aggregates_two_level": _result(_stream_two_level),
         "compacted_log": _result(_compacted_log),
+        "distinct_users_batch": lambda spark, sf: _sketched(spark, sf, _batch_table),
+        "distinct_users_stream": lambda spark, sf: _sketched(spark, sf, _refreshed_table),
         "refresh_after_compaction": _result(_refresh_after_compaction),
         "serving_table_before_replace": _result(_first_snapshot),
         "faulty_messages": _faults,
@@ -610,6 +648,17 @@ def _compact_sql(n: str, prefix: str = "", suffix: str = "") -> str:
       ELSE '{prefix}' || format('{{:,.0f}}', {n}) || '{suffix}' END"""
 
 
+def _distinct_users_sql() -> str:
+    parts = [f"""SELECT '{label}' AS time_window, '{by}' AS grouped_by, {by} AS value,
+       COUNT(DISTINCT user_id) AS users, TRUE AS close
+FROM dated WHERE {_since(length)} GROUP BY {by}"""
+             for label, length in ((DAY, "24 hours"), ("Last 7 Days", "7 days"), (ALL_TIME, "30 days"))
+             for by in USERS_BY]
+    start = """time_bucket(INTERVAL '5 minutes', CAST("timestamp" AS TIMESTAMP))"""
+    return (f"WITH {_CLEAN}, dated AS (SELECT *, {start} AS window_start FROM clean)\n"
+            + "\nUNION ALL\n".join(parts))
+
+
 def _cards_sql(where: str = "TRUE") -> str:
     def card(column, prefix=""):
         shown = f"CASE WHEN total_events > 0 THEN {column} END"
@@ -743,6 +792,8 @@ SELECT CAST("timestamp" AS TIMESTAMP) AS event_time, COUNT(*) AS events FROM std
         "decode_bad_messages": f"""WITH {_CLEAN_WITH_ID}
 SELECT * EXCLUDE (event_id, amount), CASE WHEN event_id % 6 > 3 THEN amount END AS amount
 FROM clean WHERE event_id % 6 > 2""",
+        "distinct_users_batch": _distinct_users_sql(),
+        "distinct_users_stream": _distinct_users_sql(),
         "faulty_messages": _FAULTS,
         "stream_faults": _FAULTS,
         "event_times_unparseable": """SELECT CASE WHEN event_id % 11 > 0 THEN date_trunc('second', ts)

@@ -6,18 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmetrics.operators.events import with_event_time
-from eventmetrics.schema import AMOUNT, MONEY_SUM, WINDOW_DURATION
+from eventmetrics.schema import AMOUNT, MONEY_SUM, USER_SKETCH, WINDOW_DURATION
 
 METHODS = ("exact", "set", "users", "two_level", "approx")
 
 # Into how many parts the users of one group are split by the `set` method, in batch. A user
 # falls into exactly one part, so the parts' distinct counts add up to the group's.
 USER_BUCKETS = 32
+# Sketches of users have 2 ** SKETCH_BITS buckets, and a standard error of 1.04 / 2 ** (SKETCH_BITS / 2).
+SKETCH_BITS = 12
 
 
 def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
                         distinct: str | None = None, watermark: str | None = None,
-                        user_buckets: int = USER_BUCKETS) -> DataFrame:
+                        user_buckets: int = USER_BUCKETS, sketch: bool = False) -> DataFrame:
     """Events, distinct users and revenue per window, event type and country.
 
     Windows are epoch-aligned and half-open. A NULL country is a group of its own; events
@@ -37,6 +39,9 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
                    and user, however hot the group is. Events later than the watermark are
                    dropped, as the progress of the query reports.
     ``approx``     HyperLogLog++ sketch. Constant state, inexact, opt-in.
+
+    With `sketch` (methods ``users`` and ``two_level``) there is a column user_sketch as well, which
+    `metrics.distinct_users` merges: the sum of unique_users counts somebody once in each window.
     """
     if distinct is None:
         distinct = "users" if df.isStreaming else "exact"
@@ -49,6 +54,8 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     if user_buckets < 1:
         raise ValueError("user_buckets must be at least 1")
 
+    if sketch and (distinct not in ("users", "two_level") or df.isStreaming):
+        raise ValueError("sketches need distinct='users' or 'two_level' in batch")
     if df.isStreaming and distinct == "users":
         return user_windows(df, duration, watermark)
     df = _prepared(df, watermark)
@@ -62,7 +69,7 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
         by = [F.col("window_start"), F.col("event_type"), F.col("country")]
 
     if distinct in ("users", "two_level"):
-        grouped = _two_level(df, by)
+        grouped = _two_level(df, by, sketch)
     elif distinct == "set":
         grouped = _bucketed_sets(df, by, user_buckets)
     else:
@@ -104,13 +111,19 @@ def _names(by: list[Column], df: DataFrame) -> list[str]:
     return df.columns[:len(by)]
 
 
-def _two_level(df: DataFrame, by: list[Column]) -> DataFrame:
+def sketch_users(user: str = "user_id") -> Column:
+    """A sketch of the distinct users of a group; NULL users are not counted."""
+    return F.hll_sketch_agg(user, F.lit(SKETCH_BITS)).alias(USER_SKETCH)
+
+
+def _two_level(df: DataFrame, by: list[Column], sketch: bool) -> DataFrame:
     per_user = df.groupBy(*by, "user_id").agg(
         F.count("*").alias("n"), F.sum("amount").alias("amount"))
     return per_user.groupBy(*_names(by, per_user)).agg(
         F.sum("n").alias("event_count"),
         F.count("user_id").alias("unique_users"),
         F.sum("amount").alias("amount"),
+        *([sketch_users()] if sketch else []),
     )
 
 
@@ -132,4 +145,5 @@ def _flatten(grouped: DataFrame, duration: str) -> DataFrame:
     return grouped.withColumn("window_end", end).select(
         start.alias("window_start"), "window_end", "event_type", "country",
         "event_count", "unique_users", to_cents(F.col("amount")).alias("total_revenue"),
+        *[c for c in grouped.columns if c == USER_SKETCH],
     )

@@ -67,7 +67,8 @@ def run_batch(spark: SparkSession, source: DataFrame, out: str,
     if any(_exists(spark, f"{out}/{name}") for name in ("events/_spark_metadata", "checkpoints")):
         raise ValueError(f"{out}/events belongs to a stream; rebuild into another folder")
     write_event_lake(prepare_events(source), f"{out}/events", mode="overwrite")
-    aggregates = window_aggregations(read_event_lake(spark, f"{out}/events"), duration)
+    aggregates = window_aggregations(read_event_lake(spark, f"{out}/events"), duration, "users",
+                                     sketch=True)
     return replace_aggregates(aggregates, f"{out}/aggregates")
 
 
@@ -131,12 +132,12 @@ def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = No
     table = f"{out}/aggregates"
     newest, held = newest_batches(log), current(spark, table)
     if held is None:
-        return replace_aggregates(latest_aggregates(log), table, newest)
+        return replace_aggregates(latest_aggregates(log, sketch=True), table, newest)
     changed = [folder for folder, batch in newest.items()
                if folder not in held or held[folder][1] != batch]
     gone = set(held) - set(newest)
     if changed or gone:
-        rows = latest_aggregates(in_folders(log, changed))
+        rows = latest_aggregates(in_folders(log, changed), sketch=True)
         replace_dates(rows, table, newest, gone)
     return read_aggregates(spark, table)
 

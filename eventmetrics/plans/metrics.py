@@ -5,7 +5,8 @@ count from; it defaults to the time the query runs. Where rows tie, the key colu
 ascending order decide, so results are repeatable.
 
 Unique users of a metric are the sum of its groups' distinct users. Somebody active in
-several windows or countries counts once in each: per-window aggregates cannot tell more.
+several windows or countries counts once in each. `distinct_users` counts them once, from the
+sketches of a stored table.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from eventmetrics.functions import (
     time_bucket,
 )
 from eventmetrics.functions.filters import DEFAULT_TIME_WINDOW, AsOf
-from eventmetrics.schema import PURCHASE
+from eventmetrics.schema import PURCHASE, USER_SKETCH
 
 TOP_COUNTRIES = 10
 LIVE_FEED_ROWS = 20
@@ -79,6 +80,20 @@ def kpi_summary(aggregates: DataFrame, time_window: str = DEFAULT_TIME_WINDOW,
     )
 
 
+def distinct_users(aggregates: DataFrame, time_window: str = DEFAULT_TIME_WINDOW,
+                   event_type: str = ALL, country: str = ALL, as_of: AsOf = None,
+                   by: str | None = None) -> DataFrame:
+    """Users over all windows, each counted once, to about 1.6 percent; per value of `by` if given.
+
+    Needs the column user_sketch, which stored tables have. Sketches of all windows are merged,
+    first within each task, so one of fixed size for each group and task is shuffled.
+    """
+    rows = _selected(aggregates, time_window, as_of, event_type, country)
+    users = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(USER_SKETCH)), F.lit(0)).cast("bigint")
+    merged = (rows.groupBy(by) if by else rows).agg(users.alias("distinct_users"))
+    return merged.orderBy(F.desc("distinct_users"), F.asc_nulls_last(by)) if by else merged
+
+
 def kpi_cards(kpis: DataFrame) -> DataFrame:
     """The KPI row as short texts; dashes throughout when there were no events."""
     def card(column: str, prefix: str = "") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DateType,
     DecimalType,
     DoubleType,
@@ -53,9 +54,12 @@ _CREATED_AT = StructField("created_at", TimestampType())
 # Serving table: one row per key.
 AGGREGATE_SCHEMA = StructType(_KEY_FIELDS + _MEASURE_FIELDS + [_CREATED_AT])
 
-# As it is stored: by date, which is the name of a directory and hence last.
+# As it is stored: with a sketch of the users, which can be merged over windows, and by date, which
+# is the name of a directory and hence last.
+USER_SKETCH = "user_sketch"
 WINDOW_DATE = "window_date"
-SERVING_SCHEMA = StructType(AGGREGATE_SCHEMA.fields + [StructField(WINDOW_DATE, DateType())])
+SERVING_SCHEMA = StructType(AGGREGATE_SCHEMA.fields + [
+    StructField(USER_SKETCH, BinaryType()), StructField(WINDOW_DATE, DateType())])
 
 # Aggregate log, by date and micro-batch. A row has either one user's share of a key in that
 # micro-batch (no unique_users; such rows add up), or the key's state after it (no user_id; the

@@ -12,12 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from eventmetrics.operators import clean_events, enrich_events, faulty_messages, user_windows
-from eventmetrics.operators.windows import to_cents
+from eventmetrics.operators.windows import sketch_users, to_cents
 from eventmetrics.schema import (
     AGGREGATE_KEY,
     AGGREGATE_LOG_SCHEMA,
     MEASURES,
     SERVING_SCHEMA,
+    USER_SKETCH,
     WINDOW_DATE,
     WINDOW_DURATION,
 )
@@ -163,17 +164,21 @@ def _states(log: DataFrame) -> DataFrame:
             .agg(*newest, F.max("batch_id").alias("batch_id")))
 
 
-def latest_aggregates(log: DataFrame) -> DataFrame:
+def latest_aggregates(log: DataFrame, sketch: bool = False) -> DataFrame:
     """One row per key from a log, with the window's date: filters on it skip folders of the log.
 
     Users' rows are added up, and their number is the distinct users. Of rows of states the newest
-    counts.
+    counts. With `sketch` there is a sketch of the users as well (NULL for states, which do not know
+    them).
     """
     columns = [*_DATED_KEY, *MEASURES, "created_at"]
     users = _shares(log).groupBy(*_DATED_KEY).agg(
         F.sum("event_count").alias("event_count"), F.count("user_id").alias("unique_users"),
-        F.sum("total_revenue").alias("total_revenue"), F.max("created_at").alias("created_at"))
-    both = users.select(*columns).unionByName(_states(log).select(*columns))
+        F.sum("total_revenue").alias("total_revenue"), F.max("created_at").alias("created_at"),
+        *([sketch_users()] if sketch else []))
+    more = [USER_SKETCH] if sketch else []
+    both = users.select(*columns, *more).unionByName(
+        _states(log).select(*columns), allowMissingColumns=sketch)
     return both.withColumn("total_revenue", to_cents(F.col("total_revenue")))
 
 
@@ -227,6 +232,7 @@ def compact_aggregate_log(log: DataFrame, path: str) -> None:
 
 def _serving_rows(df: DataFrame) -> DataFrame:
     return _conform(df, SERVING_SCHEMA, {"created_at": F.current_timestamp(),
+                                         USER_SKETCH: F.lit(None),
                                          WINDOW_DATE: F.to_date("window_start")})
 
 
@@ -298,5 +304,5 @@ def _to_database(rows: DataFrame, target: Mapping[str, str], mode: str) -> None:
     }
     # An exchange of its own: Spark would merge tasks down to the number of connections, and
     # with them all of the work since the last exchange.
-    (database_rows(rows.drop(WINDOW_DATE)).repartition(int(options["numPartitions"]))
+    (database_rows(rows.drop(WINDOW_DATE, USER_SKETCH)).repartition(int(options["numPartitions"]))
         .write.format("jdbc").options(**options).mode(mode).save())

@@ -25,7 +25,8 @@ def test_query_equals_sql(spark, name):
     assert differences(QUERIES[name](spark, SF_DIR), SQL[name], SF_DIR) == ""
 
 
-RUNS_A_JOB = {"text_round_trip", "event_lake", "batch_job", "compacted_log", "log_kpi_summary"}
+RUNS_A_JOB = {"text_round_trip", "event_lake", "batch_job", "compacted_log", "log_kpi_summary",
+              "distinct_users_batch", "distinct_users_stream"}
 
 
 @pytest.mark.parametrize("name", sorted(

@@ -11,6 +11,7 @@ from eventmetrics import (
     EVENT_TYPES,
     check_amounts,
     clean_events,
+    metrics,
     window_aggregations,
     with_event_time,
 )
@@ -209,3 +210,22 @@ def test_bad_arguments(std):
         window_aggregations(std, distinct="no")
     with pytest.raises(ValueError, match="user_buckets"):
         window_aggregations(std, distinct="set", user_buckets=0)
+
+
+def test_sketches_count_a_user_once_over_all_windows(spark, events):
+    rows = events(*[{"user_id": f"u{i % 700}", "timestamp": f"2026-01-{1 + i % 20:02d}T00:00:00",
+                     "country": ("US", "DE", None)[i % 3]} for i in range(4000)], {"user_id": None})
+    table = window_aggregations(rows, "1 day", "users", sketch=True)
+    assert table.columns[-1] == "user_sketch"
+    plain = window_aggregations(rows, "1 day", "users")
+    assert sorted(map(str, table.drop("user_sketch").collect())) == sorted(map(str, plain.collect()))
+    assert plain.agg(F.sum("unique_users")).first()[0] > 2000
+    whole = metrics.distinct_users(table, "Last 30 Days", as_of="2026-01-21").first()[0]
+    assert abs(whole - 700) <= 5 * 0.01625 * 700
+    by = metrics.distinct_users(table, "Last 30 Days", as_of="2026-01-21", by="country").collect()
+    assert {r["country"] for r in by} == {"US", "DE", None}
+    assert all(abs(r["distinct_users"] - 700) <= 5 * 0.01625 * 700 for r in by)
+    none = metrics.distinct_users(table, "Last 30 Days", country="FR", as_of="2026-01-21")
+    assert none.first()[0] == 0
+    with pytest.raises(ValueError, match="sketches"):
+        window_aggregations(rows, sketch=True)
