@@ -1,9 +1,10 @@
 """Licences of files: notices compared with templates, and inheritance from directories above.
 
-A notice is compared as a sparse TF-IDF vector, by cosine. Notices are the lines of any file that
-speak of a licence, one by one and all together, and the whole text of a licence file. Equal notices
-are compared once. A file without a licence of its own gets that of the nearest directory above it
-that holds a licence file, found by joins on the directories' paths.
+A notice is compared as a sparse TF-IDF vector, by cosine. Notices are the lines and the paragraphs of
+any file that speak of a licence, all of these together, and the whole text of a licence file.
+Equal notices are compared once, known by a hash of theirs. A file without a licence of its own
+gets that of the nearest directory above it that holds a licence file, found by joins on the
+directories' paths.
 """
 
 from __future__ import annotations
@@ -12,55 +13,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmetrics.llm.common import few, fresh, stored
+from eventmetrics.llm.license_texts import TEMPLATES
 
 MIN_SIMILARITY = 0.6
-NOTICE = r"(?i)licen[cs]|copyright|spdx|hereby granted|redistribution"
+#: What a line or paragraph must have to be compared; every template has some of it.
+NOTICE = (r"(?i)licen[cs]|copyright|spdx|hereby granted|redistribut|rights reserved|public domain"
+          r"|free software|neither the name")
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
+#: Between paragraphs: lines without a letter or digit, as comments have them, too.
+PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)*"
-
-#: Notices by licence, as they stand in files.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this "
-                   "file except in compliance with the License. You may obtain a copy of the License at"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, "
-                     "are permitted provided that the following conditions are met"),
-    ("BSD-3-Clause", "Released under the BSD License."),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
-    ("ISC", "SPDX-License-Identifier: ISC"),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-            "software and associated documentation files"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Proprietary", "Copyright. All rights reserved."),
-)
+#: Says who has the rights, and is no licence: any licence beside it counts more.
+PROPRIETARY = "Proprietary"
 
 
 def _notices(path: Column, text: Column) -> Column:
-    """The notices of a file: its notice lines, all of them together, and a licence file's text."""
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NOTICE))
-    together = F.when(F.size(lines) > 1, F.array(F.array_join(lines, "\n")))
-    whole = F.when(path.rlike(LICENCE_FILE), F.array(text))
+    """The notices of a file: lines, paragraphs, all of these together, and a licence file's text."""
     none = F.array().cast("array<string>")
-    found = F.concat(lines, F.coalesce(together, none), F.coalesce(whole, none))
+    speaks = text.rlike(NOTICE)
+    lines = F.filter(F.split(text, "\n"), lambda part: part.rlike(NOTICE))
+    paragraphs = F.filter(F.split(text, PARAGRAPH), lambda part: part.rlike(NOTICE))
+    together = F.array(F.array_join(paragraphs, "\n\n"))
+    found = F.concat(lines, paragraphs, together)
+    whole = F.when(path.rlike(LICENCE_FILE), F.array(text)).otherwise(none)
     # Few texts have any: one pass over the text finds that out.
-    return F.when(text.rlike(NOTICE) | path.rlike(LICENCE_FILE), found).otherwise(none)
+    return F.array_distinct(F.coalesce(F.concat(
+        F.when(speaks, found).otherwise(none), whole), none))
 
 
 def _tokens(notices: DataFrame, key: str) -> DataFrame:
@@ -69,6 +47,11 @@ def _tokens(notices: DataFrame, key: str) -> DataFrame:
         F.count("*").alias("tf"))
 
 
+def _rank(similarity: Column, license: Column) -> Column:
+    """The least is best: a licence before a mere claim, then the most similar, then by name."""
+    return F.struct(license == PROPRIETARY, -similarity, license)
+
+
 def match_notices(notices: DataFrame, templates=TEMPLATES,
                   min_similarity: float = MIN_SIMILARITY) -> DataFrame:
     """notice, license and similarity of the distinct texts `notice` that match a template.
@@ -79,30 +62,32 @@ def match_notices(notices: DataFrame, templates=TEMPLATES,
     spark = notices.sparkSession
     known = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)],
                                   "template int, license string, notice string")
-    distinct = notices.select("notice").filter("notice is not null").distinct()
-    tokens = stored(_tokens(distinct, "notice"))
+    # A token's row has a hash of the notice and not the notice, which may be long.
+    distinct = stored(notices.filter("notice is not null").select(
+        F.sha2("notice", 256).alias("key"), "notice").dropDuplicates(["key"]))
+    tokens = stored(_tokens(distinct, "key"))
     of_templates = stored(_tokens(known, "template"))
     texts = distinct.count() + len(templates)
     df = stored(tokens.select("token").unionByName(of_templates.select("token"))
                 .groupBy("token").agg(F.count("*").alias("df")))
     weight = (F.col("tf") * (F.log(F.lit(1.0 + texts) / (1 + F.col("df"))) + 1)).alias("weight")
-    weights = stored(tokens.join(few(df), "token").select("notice", "token", weight))
+    weights = stored(tokens.join(few(df), "token").select("key", "token", weight))
     template_weights = stored(of_templates.join(df, "token").select("template", "token", weight))
-    norms = weights.groupBy("notice").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    norms = weights.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     template_norms = template_weights.groupBy("template").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("template_norm"))
     # The templates are fixed and few, so they may be sent to every task.
     side = template_weights.withColumnRenamed("weight", "template_weight")
-    dots = (weights.join(F.broadcast(side), "token").groupBy("notice", "template").agg(
+    dots = (weights.join(F.broadcast(side), "token").groupBy("key", "template").agg(
         F.sum(F.col("weight") * F.col("template_weight")).alias("dot")))
-    scored = (dots.join(F.broadcast(template_norms), "template").join(norms, "notice")
+    scored = (dots.join(F.broadcast(template_norms), "template").join(norms, "key")
               .join(F.broadcast(known.select("template", "license")), "template")
-              .select("notice", "license", F.round(
+              .select("key", "license", F.round(
                   F.col("dot") / F.col("norm") / F.col("template_norm"), 6).alias("similarity")))
-    best = F.min_by("license", F.struct(-F.col("similarity"), F.col("license")))
-    return scored.groupBy("notice").agg(
-        best.alias("license"), F.max("similarity").alias("similarity")).filter(
-        F.col("similarity") >= min_similarity)
+    best = F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), F.col("license")))
+    found = stored(scored.groupBy("key").agg(best.alias("best")).filter(
+        F.col("best.similarity") >= min_similarity).select("key", "best.*"))
+    return distinct.join(few(found), "key").select("notice", "license", "similarity")
 
 
 def _directory(path: Column) -> Column:
@@ -117,49 +102,49 @@ def scan_licenses(files: DataFrame, path: str = "path", text: str = "text", temp
     The basis is `own` (from the file's notices; the source is its path), `inherited` (the source is
     the directory whose licence file counts) or `none`, with nulls. Of a file's notices, and of a
     directory's licence files, the most similar decides, and of equal ones the first licence by
-    name. A null or empty text has no notice; a file with a null path inherits nothing. Repeated
+    name; `Proprietary` counts only if nothing else does. A null or empty text has no notice; a file with a null path inherits nothing. Repeated
     rows get the same result. A column that exists already gets a trailing underscore here.
     """
     names = [fresh(files, c) for c in
              ("license", "license_basis", "license_similarity", "license_source")]
-    key = fresh(files, "row_of_file")
+    key, place, own_best, their_best = (fresh(files, c) for c in (
+        "row_of_file", "directory_of_file", "own_best", "their_best"))
     # A file is known by its path and text, so that rows without either, or repeated ones, are fine.
-    keyed = files.withColumn(key, F.xxhash64(path, text))
-    notices = stored(keyed.select(
+    of_file = [F.col(path).isNull(), F.col(path), F.col(text)]
+    keyed = files.withColumn(key, F.concat_ws(
+        "-", F.hex(F.xxhash64(*of_file)), F.hex(F.xxhash64(F.lit(1), *of_file))))
+    read = stored(keyed.select(
         F.col(key).alias("file"), F.col(path).alias("path"),
-        F.explode(_notices(F.coalesce(F.col(path), F.lit("")), F.col(text))).alias("notice")).distinct())
-    matched = stored(match_notices(notices, templates, min_similarity))
-    best = F.min_by(F.struct("license", "similarity"), F.struct(-F.col("similarity"), F.col("license")))
-    own = (notices.join(few(matched), "notice").groupBy("file", "path")
-           .agg(best.alias("best")).select("file", "path", "best.license", "best.similarity"))
-    own = stored(own)
+        _notices(F.coalesce(F.col(path), F.lit("")), F.col(text)).alias("notices")))
+    notices = stored(read.select("file", "path", F.explode("notices").alias("notice"))
+                     .select("file", "path", F.sha2("notice", 256).alias("key"), "notice").distinct())
+    matched = match_notices(notices.select("notice"), templates, min_similarity)
+    matched = stored(matched.select(F.sha2("notice", 256).alias("key"), "license", "similarity"))
+    rank = _rank(F.col("similarity"), F.col("license"))
+    best = F.min_by(F.struct("license", "similarity"), rank).alias("best")
+    own = stored(notices.select("file", "path", "key").join(few(matched), "key")
+                 .groupBy("file", "path").agg(best).select("file", "path", "best.*"))
     directories = (own.filter(F.col("path").rlike(LICENCE_FILE))
-                   .groupBy(_directory(F.col("path")).alias("above")).agg(best.alias("best"))
+                   .groupBy(_directory(F.col("path")).alias("above")).agg(best)
                    .select("above", "best.license", "best.similarity"))
     # Every distinct directory meets the directories above it, itself included.
-    places = keyed.filter(F.col(path).isNotNull()).select(
-        _directory(F.col(path)).alias("directory")).distinct()
+    places = read.filter("path is not null").select(
+        _directory(F.col("path")).alias("directory")).distinct()
     parts = F.split("directory", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)),
                         lambda n: F.array_join(F.slice(parts, 1, n), "/"))
     chains = places.select("directory", F.explode(F.array_distinct(above)).alias("above"))
-    inherited = (chains.join(directories, "above").groupBy("directory").agg(
-        F.max_by(F.struct("above", "license", "similarity"), F.length("above")).alias("near"))
-        .select("directory", "near.*"))
-    inherited = stored(inherited)
-    mine = own.select(F.col("file").alias(key), F.col("license").alias("own_license"),
-                      F.col("similarity").alias("own_similarity")).dropDuplicates([key])
-    mine = stored(mine)
-    theirs = inherited.select(F.col("directory").alias("their_directory"), "above",
-                              F.col("license").alias("their_license"),
-                              F.col("similarity").alias("their_similarity"))
-    shape = [F.col(f"files.{c}") for c in files.columns]
-    has_own, has_theirs = F.col("own_license").isNotNull(), F.col("their_license").isNotNull()
-    joined = (keyed.alias("files").join(few(mine), key, "left")
-              .join(few(theirs), _directory(F.col(f"files.{path}")) == F.col("their_directory"),
-                    "left"))
+    inherited = stored(chains.join(directories, "above").groupBy("directory").agg(
+        F.max_by(F.struct("license", "similarity", F.col("above").alias("source")),
+                 F.length("above")).alias(their_best)).withColumnRenamed("directory", place))
+    mine = stored(own.groupBy("file").agg(F.min_by(F.struct("license", "similarity"), rank).alias(own_best))
+                  .withColumnRenamed("file", key))
+    joined = (keyed.withColumn(place, _directory(F.col(path)))
+              .join(few(mine), key, "left").join(few(inherited), place, "left"))
+    has_own, has_theirs = F.col(own_best).isNotNull(), F.col(their_best).isNotNull()
     return joined.select(
-        *shape, F.coalesce("own_license", "their_license").alias(names[0]),
+        *files.columns,
+        F.coalesce(f"{own_best}.license", f"{their_best}.license").alias(names[0]),
         F.when(has_own, "own").when(has_theirs, "inherited").otherwise("none").alias(names[1]),
-        F.coalesce("own_similarity", "their_similarity").alias(names[2]),
-        F.when(has_own, F.col(f"files.{path}")).when(has_theirs, F.col("above")).alias(names[3]))
+        F.coalesce(f"{own_best}.similarity", f"{their_best}.similarity").alias(names[2]),
+        F.when(has_own, F.col(path)).when(has_theirs, F.col(f"{their_best}.source")).alias(names[3]))

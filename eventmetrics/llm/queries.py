@@ -13,6 +13,8 @@ from eventmetrics.llm.licenses import (
     LICENCE_FILE,
     MIN_SIMILARITY,
     NOTICE,
+    PARAGRAPH,
+    PROPRIETARY,
     TEMPLATES,
     TOKEN,
     scan_licenses,
@@ -115,23 +117,26 @@ QUERIES = {
 def _license_sql() -> str:
     """The same as `scan_licenses` on the files of `op9_license_scan`."""
     templates = ", ".join(
-        f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+        f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(TEMPLATES))
     tokens = f"regexp_extract_all(lower(notice), '{TOKEN}')"
-    best = "min(struct_pack(low := -similarity, license := license))"
     directory = "regexp_extract(path, '^(.*)/[^/]*$', 1)"
     return f"""WITH file AS (
   SELECT doc_id, text, source || '/' || CAST(doc_id // 1000 AS VARCHAR) || '/' ||
          CASE WHEN regexp_matches(text, '{NOTICE}') AND length(text) <= 500
               THEN 'LICENSE-' ELSE 'text-' END || CAST(doc_id AS VARCHAR) AS path
   FROM documents),
-notice_line AS (
+notice_part AS (
   SELECT doc_id, path, text, list_filter(string_split(text, chr(10)),
-         lambda l: regexp_matches(l, '{NOTICE}')) AS lines FROM file),
+         lambda l: regexp_matches(l, '{NOTICE}')) AS lines,
+         list_filter(string_split_regex(text, '{PARAGRAPH}'), lambda l: regexp_matches(l, '{NOTICE}')) AS parts
+  FROM file),
 notice AS (
   SELECT DISTINCT doc_id, path, notice FROM (
-    SELECT doc_id, path, unnest(lines) AS notice FROM notice_line
-    UNION ALL SELECT doc_id, path, array_to_string(lines, chr(10)) FROM notice_line WHERE len(lines) > 1
-    UNION ALL SELECT doc_id, path, text FROM notice_line
+    SELECT doc_id, path, unnest(lines) AS notice FROM notice_part
+    UNION ALL SELECT doc_id, path, unnest(parts) FROM notice_part
+    UNION ALL SELECT doc_id, path, array_to_string(parts, chr(10) || chr(10)) FROM notice_part
+    WHERE regexp_matches(text, '{NOTICE}')
+    UNION ALL SELECT doc_id, path, text FROM notice_part
     WHERE regexp_matches(path, '{LICENCE_FILE}') AND text IS NOT NULL)),
 template(template, license, notice) AS (VALUES {templates}),
 distinct_notice AS (SELECT DISTINCT notice FROM notice),
@@ -151,8 +156,10 @@ scored AS (
   FROM (SELECT a.notice, b.template, sum(a.w * b.w) AS dot
         FROM weight a JOIN template_weight b USING (token) GROUP BY ALL) d
   JOIN norm n USING (notice) JOIN template_norm m USING (template) JOIN template t USING (template)),
-matched AS (SELECT notice, {best} AS best FROM scored GROUP BY notice
-            HAVING max(similarity) >= {MIN_SIMILARITY}),
+matched AS (
+  SELECT notice, struct_pack(claim := s.license = '{PROPRIETARY}', low := s.low, license := s.license) AS best
+  FROM (SELECT notice, min(struct_pack(low := -similarity, license := license)) AS s FROM scored
+        GROUP BY notice HAVING max(similarity) >= {MIN_SIMILARITY})),
 own AS (
   SELECT doc_id, path, min(m.best) AS best FROM notice JOIN matched m USING (notice) GROUP BY ALL),
 directory AS (SELECT {directory} AS above, min(best) AS best FROM own

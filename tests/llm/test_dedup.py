@@ -1,10 +1,13 @@
 """Exact and near duplicates, and components, against SQL and brute force."""
 
 import random
+import re
 
 import pytest
 
-from eventmetrics.llm import queries
+from eventmetrics.llm import common, queries
+from eventmetrics.llm import exact_dedup as exact
+from eventmetrics.llm.common import by_ids
 from eventmetrics.llm.components import connected_components
 from eventmetrics.llm.exact_dedup import duplicate_groups, exact_dedup
 from eventmetrics.llm.near_dedup import near_dedup, near_duplicates
@@ -60,11 +63,64 @@ def test_exact_dedup_keeps_one_row_of_each_group(odd, none):
     assert exact_dedup(none).count() == 0
 
 
-def test_unique_texts_are_not_shuffled(spark, table):
-    plan = exact_dedup(table("documents"))._jdf.queryExecution().executedPlan().toString()
-    first = plan[plan.index("Union"):plan.index(":-", plan.index("Union") + 200) + 2000]
-    assert "hashpartitioning" not in first.split("SortAggregate")[0].split("+- HashAggregate")[0]
+def text_exchanges(df):
+    """Exchanges of the plan that move the text."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    found = []
+    for i, line in enumerate(plan):
+        if "Exchange " in line and "Broadcast" not in line:
+            depth = len(line) - len(line.lstrip(" :+-|"))
+            below = []
+            for other in plan[i + 1:]:
+                if len(other) - len(other.lstrip(" :+-|")) <= depth:
+                    break
+                below.append(other)
+            if any("FileScan" in x and "text:string" in x for x in below):
+                found.append(line)
+    return found
+
+
+@pytest.mark.parametrize("limits", [(32 << 20, 32 << 20), (0, 32 << 20), (0, 4096)])
+def test_unique_texts_are_not_shuffled_whatever_the_limits(spark, table, odd, monkeypatch, limits):
+    monkeypatch.setattr(exact, "BROADCAST_BYTES", limits[0])
+    monkeypatch.setattr(exact, "SLICE_BYTES", limits[1])
+    docs = table("documents", "sf0.01")
+    kept = exact_dedup(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    if limits[0]:
+        assert text_exchanges(kept) == []
+    groups = {}
+    for r in docs.collect():
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r["text"]), []).append(r["doc_id"])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(map(min, groups.values()))
+    again = exact_dedup(odd.unionByName(odd)).select("doc_id").collect()
+    assert sorted((r[0] for r in again), key=str) == sorted([None, 1, 3, 4, 6, 8, 10, 11], key=str)
+    found = duplicate_groups(docs).collect()
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in found} == {
+        i: (min(g), len(g)) for g in groups.values() for i in g}
+
+
+def test_rows_that_look_like_copies_are_few(spark, monkeypatch):
+    """Beyond the limit only rows that the filter lets through are shuffled."""
+    keys = spark.range(20_000).selectExpr("sha2(string(id), 256) AS k")
+    copies = keys.limit(500)
+    slices = exact.Slices.of(500)
+    bitmaps = exact.repeated_bits(copies, "k", slices.blocks, least=1)
+    through = exact._probed(keys, "k", bitmaps, slices.blocks, "f").filter("f")
+    assert 500 <= through.count() < 500 + 20_000 // 12
+    assert through.join(copies, "k").count() == 500
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_rows_by_many_ids(spark, odd, monkeypatch, how):
+    ids = spark.createDataFrame([(1,), (5,), (11,), (99,), (None,)], "i bigint")
+    expected = odd.join(ids, odd.doc_id == ids.i, how).count()
+    assert by_ids(odd, "doc_id", ids, how).count() == expected
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    found = by_ids(odd, "doc_id", ids, how)
+    assert found.columns == odd.columns and found.count() == expected
+    assert by_ids(odd, "doc_id", ids.limit(0), how).count() == (0 if how == "left_semi" else odd.count())
 
 
 # --- Components ------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from eventmetrics.llm.decontamination import (
     contamination,
     decontaminate,
 )
-from eventmetrics.llm.licenses import TEMPLATES, match_notices, scan_licenses
+from eventmetrics.llm.licenses import NOTICE, TEMPLATES, match_notices, scan_licenses
 from tests.conftest import SF_DIR
 from tests.oracle import differences
 
@@ -138,3 +138,86 @@ def test_licences_are_own_inherited_or_none(spark):
         (7, "GPL-3.0", "inherited", "a/b/c"), (7, "GPL-3.0", "inherited", "a/b/c"),
         (8, "MIT", "own", "q/r"), (9, None, "none", None)], key=str)
     assert scan_licenses(files.limit(0)).count() == 0
+
+
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2019 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"""
+GPL = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The GNU General Public License is a free, copyleft license for
+software and other kinds of works."""
+LGPL = GPL.replace("GNU GENERAL", "GNU LESSER GENERAL").split("Preamble")[0] + """
+  This version of the GNU Lesser General Public License incorporates
+the terms and conditions of version 3 of the GNU General Public
+License, supplemented by the additional permissions listed below."""
+APACHE = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions.
+
+      "License" shall mean the terms and conditions for use, reproduction,
+      and distribution as defined by Sections 1 through 9 of this document."""
+HEADER = """/*
+ * frobnicate - part of a larger whole
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main(void) { return 0; }"""
+BSD_2 = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_the_usual_files_are_recognised(spark):
+    rows = [("mit/LICENSE", MIT, "MIT"), ("gpl/COPYING", GPL, "GPL-3.0"), ("lgpl/COPYING", LGPL, "LGPL-3.0"),
+            ("apache/LICENSE", APACHE, "Apache-2.0"), ("gpl/x.c", HEADER, "GPL-3.0"),
+            ("bsd2/LICENSE", BSD_2, "BSD-2-Clause"), ("bsd3/LICENSE", BSD_3, "BSD-3-Clause"),
+            ("bsd2/y.py", "# " + BSD_2.replace("\n", "\n# ") + "\nimport os", "BSD-2-Clause"),
+            ("z/own.txt", "Some words.\nAll rights reserved.\nMore words.", "Proprietary")]
+    files = spark.createDataFrame(rows, "path string, text string, above string")
+    for extra in ("own_license", "their_license", "own_best", "their_best", "key", "file", "directory"):
+        files = files.withColumn(extra, files.above)
+    found = {r["path"]: (r["license"], r["license_basis"]) for r in scan_licenses(files).collect()}
+    assert found == {path: (name, "own") for path, _, name in rows}
+
+
+def test_every_template_is_recognised_in_a_plain_file(spark):
+    assert all(re.search(NOTICE, text) for _, text in TEMPLATES)
+    files = spark.createDataFrame([(f"d{i}/file{i}.txt", f"words before\n\n{text}\n\nwords after", name)
+                                   for i, (name, text) in enumerate(TEMPLATES)],
+                                  "path string, text string, expected string")
+    wrong = scan_licenses(files).filter("license is distinct from expected").collect()
+    assert [(r["expected"], r["license"], r["text"][:80]) for r in wrong] == []
