@@ -3,7 +3,7 @@
 A document longer than a window fills whole windows by itself. What is left of it is cut into
 pieces of a quarter of a window at most, because numbers that are small against the sum of a part
 are what differencing makes even. The pieces of one task are packed in blocks of PACK_WINDOWS
-windows: differencing deals them to as few windows as could hold them, and to one more as long as
+windows or PACK_PIECES pieces: differencing deals them to as few windows as could hold them, and to one more as long as
 a window's capacity is exceeded. Nothing is shuffled, and a task holds the tokens of a few texts
 and the sizes of one block's pieces.
 """
@@ -31,6 +31,8 @@ from eventmetrics.llm.hashing import column_bytes, row_blocks
 WINDOW = 2048
 END = 1  # the id after each document
 PACK_WINDOWS = 256
+#: A block has at most so many pieces, which are a few tokens each in a run of tiny documents.
+PACK_PIECES = 16_384
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -106,7 +108,7 @@ class _Packer:
             else:
                 self.waiting.append((doc_id, start, length, crc, n))
                 self.tokens += length
-        if self.tokens >= PACK_WINDOWS * self.window:
+        if self.tokens >= PACK_WINDOWS * self.window or len(self.waiting) >= PACK_PIECES:
             self.pack()
 
     def pack(self) -> None:
