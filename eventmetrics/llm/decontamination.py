@@ -56,7 +56,7 @@ def _seeds(hashes: np.ndarray, counts: np.ndarray, masks):
 
 
 def _seed_rows(batch: pa.RecordBatch, masks, bitmap: np.ndarray | None = None):
-    for block in blocks(batch.column(1), PUNCTUATION):
+    for block in blocks(batch.column(1), PUNCTUATION, unicode=True):
         ids = batch.column(0).slice(block.first, len(block.counts))
         for hashes, rows, places in _seeds(block.hashes, block.counts, masks):
             if bitmap is not None:
@@ -71,7 +71,7 @@ def _seed_rows(batch: pa.RecordBatch, masks, bitmap: np.ndarray | None = None):
 
 
 def _item_words(batch: pa.RecordBatch):
-    for block in blocks(batch.column(1), PUNCTUATION):
+    for block in blocks(batch.column(1), PUNCTUATION, unicode=True):
         yield {"item_id": batch.column(0).slice(block.first, len(block.counts)),
                "item_words": lists(block.hashes.view(np.int64), block.counts)}
 
@@ -133,7 +133,7 @@ def best_stretch(text: np.ndarray, passage: np.ndarray, shift: int) -> tuple[int
 def _verify(batch: pa.RecordBatch):
     """Columns: doc_id, text, hits (item_id, item_words, shift)."""
     hits = batch.column(2).to_pylist()
-    for block in blocks(batch.column(1), PUNCTUATION):
+    for block in blocks(batch.column(1), PUNCTUATION, unicode=True):
         bounds = block.bounds
         out = {"doc_id": [], "item_id": [], "matched": [], "start": [], "length": []}
         for k in range(len(block.counts)):

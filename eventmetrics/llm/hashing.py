@@ -142,7 +142,7 @@ def row_blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[i
         row = end
 
 
-def _long_row(data: np.ndarray, separators: np.ndarray, codes: np.ndarray):
+def _long_row(data: np.ndarray, separators: np.ndarray, codes: np.ndarray, unicode: bool):
     """Words of one long text, in pieces cut at separators so that memory stays bounded."""
     starts, ends, hashes, at = [], [], [], 0
     while at < len(data):
@@ -155,6 +155,8 @@ def _long_row(data: np.ndarray, separators: np.ndarray, codes: np.ndarray):
             stop = min(stop + BLOCK_BYTES, len(data))  # a word of a megabyte
         piece = data[at:stop]
         s, e = word_spans(piece, np.array([0, len(piece)]), separators)
+        if unicode:
+            s, e = split_ideographs(piece, s, e)
         hashes.append(span_hashes(prefix_sums(piece, codes), s, e))
         starts.append(s + at)
         ends.append(e + at)
@@ -162,17 +164,83 @@ def _long_row(data: np.ndarray, separators: np.ndarray, codes: np.ndarray):
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+# UTF-8 of punctuation beyond ASCII, by lead bytes and the last byte's range. The
+# general and the CJK blocks, Latin-1 signs, and full-width forms.
+_PUNCTUATION_2 = ((0xC2, 0x80, 0xA9), (0xC2, 0xAB, 0xB1), (0xC2, 0xB4, 0xB4), (0xC2, 0xB6, 0xB8),
+                  (0xC2, 0xBB, 0xBB), (0xC2, 0xBF, 0xBF))
+_PUNCTUATION_3 = ((0xE2, 0x80, 0x80, 0xBF), (0xE2, 0x81, 0x80, 0xAF), (0xE3, 0x80, 0x80, 0x84),
+                  (0xE3, 0x80, 0x88, 0xA0), (0xEF, 0xBC, 0x81, 0x8F), (0xEF, 0xBC, 0x9A, 0xA0),
+                  (0xEF, 0xBD, 0x9B, 0xA5), (0xEF, 0xBB, 0xBF, 0xBF))
+
+
+def without_punctuation(data: np.ndarray) -> np.ndarray:
+    """The bytes with Unicode punctuation and spaces beyond ASCII as ASCII spaces, in as many bytes."""
+    lead = np.flatnonzero((data == 0xC2) | (data == 0xE2) | (data == 0xE3) | (data == 0xEF))
+    if not len(lead):
+        return data
+    out = data.copy()
+    padded = np.concatenate((data, np.zeros(2, np.uint8)))
+    first, second, third = padded[lead], padded[lead + 1], padded[lead + 2]
+    for a, low, high in _PUNCTUATION_2:
+        at = lead[(first == a) & (second >= low) & (second <= high)]
+        out[at] = out[at + 1] = 0x20
+    for a, b, low, high in _PUNCTUATION_3:
+        at = lead[(first == a) & (second == b) & (third >= low) & (third <= high)]
+        out[at] = out[at + 1] = out[at + 2] = 0x20
+    return out
+
+
+def split_ideographs(data: np.ndarray, starts: np.ndarray,
+                     ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of words with each character of a script without spaces as a word of its own.
+
+    Those are kana, the ideographs (also those of four bytes), Thai, Lao, Khmer and Burmese; a
+    character is known by its first two bytes.
+    """
+    if not len(data):
+        return starts, ends
+    after = np.concatenate((data[1:], np.zeros(1, np.uint8)))
+    three = (((data == 0xE3) & (after >= 0x81)) | ((data >= 0xE4) & (data <= 0xE9))
+             | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB))
+             | ((data == 0xE1) & ((after == 0x80) | (after == 0x81) | (after == 0x9E) | (after == 0x9F))))
+    four = (data == 0xF0) & (after >= 0xA0) & (after <= 0xAF)
+    lead = np.concatenate((np.flatnonzero(three), np.flatnonzero(four)))
+    if not len(lead):
+        return starts, ends
+    stop = np.minimum(np.concatenate((np.flatnonzero(three) + 3, np.flatnonzero(four) + 4)), len(data))
+    begins, stops = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    begins[starts] = stops[ends] = True
+    inside = np.zeros(len(data) + 2, np.int64)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, ends, -1)
+    inside = np.cumsum(inside) > 0
+    begins[lead] = stops[stop] = True
+    cut = lead[(lead > 0) & inside[lead - 1]]  # another word ends before the character
+    stops[cut] = True
+    cut = stop[inside[stop] & (stop < len(data))]  # and one begins after it
+    begins[cut] = True
+    return np.flatnonzero(begins), np.flatnonzero(stops)
+
+
 def blocks(column: pa.Array, separators: np.ndarray = SPACES,
-           codes: np.ndarray = FOLDED) -> Iterator[Block]:
-    """The rows of a string column as words, block by block. Whole texts, however long."""
+           codes: np.ndarray = FOLDED, unicode: bool = False) -> Iterator[Block]:
+    """The rows of a string column as words, block by block. Whole texts, however long.
+
+    With `unicode`, punctuation beyond ASCII separates words as well, and a character of a script
+    without spaces is a word.
+    """
     data, offsets = column_bytes(column)
+    if unicode:
+        data = without_punctuation(data)
     for first, end in row_blocks(offsets):
         part = data[offsets[first]:offsets[end]]
         bounds = offsets[first:end + 1] - offsets[first]
         if len(part) > BLOCK_BYTES:
-            starts, ends, hashes = _long_row(part, separators, codes)
+            starts, ends, hashes = _long_row(part, separators, codes, unicode)
         else:
             starts, ends = word_spans(part, bounds, separators)
+            if unicode:
+                starts, ends = split_ideographs(part, starts, ends)
             hashes = span_hashes(prefix_sums(part, codes), starts, ends)
         counts = np.diff(np.searchsorted(starts, bounds))
         yield Block(first, part, bounds, starts, ends, counts, hashes)

@@ -58,6 +58,21 @@ def test_passages_with_random_words_changed_are_found(spark):
     assert all(r["matched"] >= 8 and 10 * r["matched"] >= 7 * r["length"] for r in found)
 
 
+def test_words_are_words_in_any_script_and_punctuation(spark):
+    passage = "one of these words is followed by another and so on to the very end"
+    chinese = "春天的时候小河边的柳树都绿了孩子们在草地上放风筝"
+    thai = "ฉันไปตลาดกับแม่ของฉันเมื่อวานนี้"
+    items = spark.createDataFrame([(1, passage), (2, chinese), (3, thai)], "item_id bigint, text string")
+    words = passage.split()
+    texts = [" \u2014 ".join(words), "\u2014".join(words), " ".join(f"\u201c{w}\u201d" for w in words),
+             "\u00a0".join(words), "\u3000".join(words).upper(), f"我说过{chinese}，是不是？", f"x{chinese}y",
+             "，".join(chinese), f"ก็ {thai} ครับ", "\u00e9".join(words), chinese[:4] + "我" + chinese[-3:],
+             "Größe und Maß " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in benchmark_overlaps(docs, items).collect()}
+    assert found == {(i, 1) for i in range(5)} | {(5, 2), (6, 2), (7, 2), (8, 3)}
+
+
 def test_any_stretch_that_meets_the_rule_counts():
     passage = np.arange(10, dtype=np.uint64)
     text = passage.copy()
