@@ -47,16 +47,20 @@ def crc_fold(doc_id: str | Column, folds: int) -> Column:
 
 
 def map_texts(df: DataFrame, convert: Callable[[pa.RecordBatch], Iterator[dict]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """Rows made by `convert`, which gets one Arrow batch and gives dictionaries of columns."""
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
+
+    def column(values, kind):
+        if not isinstance(values, pa.Array):
+            return pa.array(values, kind)
+        return values if values.type == kind else values.cast(kind)
 
     def run(batches):
         for batch in batches:
             for columns in convert(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [columns[f.name] if isinstance(columns[f.name], pa.Array)
-                     else pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+                    [column(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

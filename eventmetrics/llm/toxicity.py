@@ -8,16 +8,19 @@ rows; the features of all texts are computed where the texts lie and nothing is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from eventmetrics.llm.common import by_ids, crc_fold, fresh, labelled_sample, map_texts, stored
+from eventmetrics.llm.common import crc_fold, labelled_sample, map_texts, stored
 from eventmetrics.llm.hashing import (
     FOLDED,
     PUNCTUATION,
@@ -89,10 +92,13 @@ def _sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return (total[bounds[1:]] - total[bounds[:-1]]).astype(float)
 
 
-def _features(batch: pa.RecordBatch, learned: np.ndarray):
+def _features(batch: pa.RecordBatch, learned: np.ndarray, text_at: int | None):
+    """Columns: row, a struct, and, if the text is none of its fields, text."""
+    carried = batch.column(0)
+    texts = batch.column(1) if text_at is None else carried.field(text_at)
     insults, you = np.sort(hash_words(INSULTS)), np.sort(hash_words(SECOND_PERSON))
     hidden = _hidden_hashes(INSULTS)
-    for block in blocks(batch.column(1), PUNCTUATION):
+    for block in blocks(texts, PUNCTUATION):
         n, bounds = len(block.counts), block.bounds
         words = np.maximum(block.counts, 1)
         insult, second = _member(block.hashes, insults), _member(block.hashes, you)
@@ -121,8 +127,7 @@ def _features(batch: pa.RecordBatch, learned: np.ndarray):
             _sums(_MARK[block.data], block.offsets) / size,
             _sums(_member(loose[0], hidden) & loose[2], loose[1]) / words,
             _sums(loose[2], loose[1]) / words)
-        yield {"doc_id": batch.column(0).slice(block.first, n),
-               "text_key": batch.column(2).slice(block.first, n), **dict(zip(FEATURES, values))}
+        yield {"row": carried.slice(block.first, n), **dict(zip(FEATURES, values))}
 
 
 def _loose(block):
@@ -145,9 +150,9 @@ def _loose(block):
     return hashes, np.searchsorted(starts, block.offsets), mixed
 
 
-def _with_features(rows: DataFrame, learned: np.ndarray) -> DataFrame:
-    return map_texts(rows, lambda b: _features(b, learned),
-                     "doc_id bigint, text_key bigint, " + ", ".join(f"{f} double" for f in FEATURES))
+def _with_features(rows: DataFrame, learned: np.ndarray, text_at: int | None = None) -> DataFrame:
+    schema = StructType([rows.schema["row"], *[StructField(f, DoubleType()) for f in FEATURES]])
+    return map_texts(rows, lambda b: _features(b, learned, text_at), schema)
 
 
 def _learned_words(sample: DataFrame) -> np.ndarray:
@@ -167,71 +172,71 @@ def _learned_words(sample: DataFrame) -> np.ndarray:
     return np.sort(hash_words([r["word"] for r in best.collect()]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5 on) of every row.
-
-    Rows whose crc32 of the id, modulo 5, is 0 are held out: their labels are not used. A null
-    text is empty, and empty texts get the score of a text without any feature. A row without an
-    id is scored and is not held out. Repeated rows get equal scores. If the sample lacks one of
-    the two labels, every score is 1 or 0 accordingly (0 without labels).
-    """
-    return _predictions(docs, labels, doc_id, text, label, sample_rows).drop("text_key")
+#: Adds `score` to rows with a struct `row`. The text is the numbered field of it, or a column `text`.
+_Scorer = Callable[[DataFrame, int | None], DataFrame]
 
 
-def _predictions(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
-                 sample_rows: int) -> DataFrame:
-    """The columns of `toxicity`, and text_key, by which rows without an id are known."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
-                       _text_key(doc_id, text).alias("text_key"))
+def _scorer(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
+            sample_rows: int) -> _Scorer:
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sample = stored(labelled_sample(rows, labels, label, FOLDS, HELD_OUT, sample_rows))
     kinds = {r["label"] for r in sample.select("label").distinct().collect()}
-    held_out = F.coalesce(crc_fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
     if kinds != {0.0, 1.0}:
         constant = F.lit(1.0 if kinds == {1.0} else 0.0)
-        return rows.select("doc_id", "text_key", held_out, constant.alias("score"),
-                           constant.cast("int").alias("predicted"))
-    learned = _learned_words(sample)
-    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    # One row for each id: a text that repeats an id does not multiply the sample.
-    labels_of = sample.select("doc_id", "label").dropDuplicates(["doc_id"])
-    fitted = stored(assembler.transform(
-        _with_features(sample.select("doc_id", "text", "text_key"), learned)
-        .join(F.broadcast(labels_of), "doc_id")).select("doc_id", "label", "features"))
+        return lambda df, text_at: df.withColumn("score", constant)
+    # Words and trees are learned from one part, and calibrated on rows that neither has seen, if
+    # both parts have both labels.
     part = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(3))
-    # Calibrated on rows that the trees have not seen, if those have both labels.
-    fitting, calibration = fitted.filter(part != 0), fitted.filter(part == 0)
+    fitting, calibration = sample.filter(part != 0), sample.filter(part == 0)
     if any(half.select("label").distinct().count() < 2 for half in (fitting, calibration)):
-        fitting = calibration = fitted
+        fitting = calibration = sample
+    learned = _learned_words(fitting)
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+
+    def assembled(df: DataFrame, text_at: int | None = None) -> DataFrame:
+        return assembler.transform(_with_features(df, learned, text_at))
+
+    def examples(half: DataFrame) -> DataFrame:
+        return stored(assembled(half.select(F.struct("label").alias("row"), "text"))
+                      .select("row.label", "features"))
+
     trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, minInstancesPerNode=5,
-                          seed=4).fit(fitting)
-    probability = vector_to_array("probability")[1]
+                          seed=4).fit(examples(fitting))
+    probability = vector_to_array("probability")[1].alias("raw")
     isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(
-        trees.transform(calibration).select("label", probability.alias("raw")))
-    scored = isotonic.transform(
-        trees.transform(assembler.transform(_with_features(rows, learned)))
-        .select("doc_id", "text_key", probability.alias("raw")))
-    score = F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0))
-    return scored.select("doc_id", "text_key", held_out, score.alias("score"),
-                         (score >= 0.5).cast("int").alias("predicted"))
+        trees.transform(examples(calibration)).select("label", probability))
+    return lambda df, text_at: (
+        isotonic.transform(trees.transform(assembled(df, text_at)).select("row", probability))
+        .select("row", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score")))
 
 
-def _text_key(doc_id: str, text: str) -> Column:
-    """A hash of the text if the row has no id (as a number), else null."""
-    return F.when(F.col(doc_id).cast("bigint").isNull(), F.xxhash64(text))
+def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5 on) of every row.
+
+    Rows whose crc32 of the id, modulo 5, is 0 are held out: their labels are not used. A null
+    text is empty, and empty texts get the score of a text without any feature. A row without an
+    id is scored and is not held out. Repeated rows get equal scores. If the sample lacks one of
+    the two labels, every score is 1 or 0 accordingly (0 without labels).
+    """
+    number = F.col(doc_id).cast("bigint").alias("doc_id")
+    score = _scorer(docs, labels, doc_id, text, label, sample_rows)
+    scored = score(docs.select(F.struct(number).alias("row"), F.col(text).alias("text")), None)
+    held_out = F.coalesce(crc_fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
+    return scored.select("row.doc_id", "score").select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
     """The rows of documents that are not predicted toxic, with all their columns.
 
-    Rows that share an id stay or go together: they go if one of them is toxic. A row without an
-    id goes if its own text is toxic.
+    Each row is judged by its own text, whatever its id, and is carried through the scoring: nothing
+    is joined or shuffled. The types of the columns have to be those that Arrow knows.
     """
-    toxic = stored(_predictions(docs, labels, doc_id, text, "toxic", SAMPLE_ROWS)
-                   .filter("predicted = 1").select("doc_id", "text_key"))
-    key = fresh(docs, "text_key")
-    named = by_ids(docs, doc_id, toxic.select("doc_id"), "left_anti")
-    without_id = toxic.select("text_key").filter("text_key is not null")
-    return by_ids(named.withColumn(key, _text_key(doc_id, text)), key, without_id,
-                  "left_anti").drop(key)
+    fields = [F.col("`" + c.replace("`", "``") + "`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    scored = _scorer(docs, labels, doc_id, text, "toxic", SAMPLE_ROWS)(
+        docs.select(F.struct(*fields).alias("row")), docs.columns.index(text))
+    return scored.filter("score < 0.5").select(
+        *[F.col(f"row.c{k}").alias(c) for k, c in enumerate(docs.columns)])

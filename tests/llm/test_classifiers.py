@@ -122,3 +122,21 @@ def test_toxic_texts_without_an_id_are_dropped(spark, table):
     kept = drop_toxic(docs.unionByName(more), labels)
     assert kept.columns == docs.columns
     assert {r["text"] for r in kept.filter("doc_id is null").collect()} == {text, None}
+
+
+def test_scores_of_held_out_texts_are_calibrated(table):
+    docs, labels = table("documents", "sf0.1"), table("labels", "sf0.1")
+    results = held_out_results(toxicity(docs, labels), labels, "toxic")
+    assert sum((t - s) ** 2 for t, _, s in results) / len(results) < 0.03
+    found = [t for t, p, _ in results if p == 1]
+    assert sum(found) > 0.9 * len(found) and sum(found) > 0.8 * sum(t for t, _, _ in results)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, table):
+    docs, labels = table("documents", "sf0.01"), table("labels", "sf0.01")
+    text = docs.filter("doc_id = 1").first()["text"]
+    bad = " ".join(w + " idiot moron" if i % 6 == 0 else w for i, w in enumerate(text.split()))
+    more = spark.createDataFrame([(10**7, bad, "en", "s", 1), (10**7, text, "en", "s", 1)], docs.schema)
+    kept = drop_toxic(docs.unionByName(more), labels)
+    assert [r["text"] for r in kept.filter(f"doc_id = {10**7}").collect()] == [text]
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()

@@ -33,5 +33,5 @@ def test_it_runs_on_odd_rows(spark, odd, none):
 
 def test_queries_are_registered():
     assert {name.split("_")[0] for name in queries.QUERIES} == {
-        "pipeline", *(f"op{n}" for n in range(1, 11))}
+        "pipeline", *(f"op{n}" for n in range(1, 14))}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
