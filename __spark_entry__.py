@@ -360,6 +360,33 @@ def _stream_faults(spark, sf_dir):
     return em.read_faults(spark, f"{out}/faults")
 
 
+def _stream_with_late(spark, sf_dir):
+    """A stream that closes windows after a day, then its log together with the late events."""
+    out = scratch_dir(spark)
+    _in_slices(spark, sf_dir, lambda path: em.run_stream(
+        spark, _message_stream(spark, path), out, watermark="1 day", trigger={"availableNow": True}))
+    late = em.read_late_events(spark, f"{out}/late_events")
+    log = em.read_aggregate_log(spark, f"{out}/aggregate_log")
+    return _plain(em.latest_aggregates(em.with_late_events(log, late)))
+
+
+def _stream_progress(spark, sf_dir):
+    """What a stream that was started again for each slice did in all."""
+    out = scratch_dir(spark)
+    _in_slices(spark, sf_dir, lambda path: em.run_stream(
+        spark, _message_stream(spark, path), out, trigger={"availableNow": True}))
+    return em.read_progress(spark, f"{out}/progress").agg(
+        *[F.sum(c).alias(c) for c in ("messages", "events", "dropped", "faulty_events")],
+        F.max("latest_event_time").alias("latest_event_time"))
+
+
+def _stored_report(spark, sf_dir):
+    """The report on a stored table, without a scan of it."""
+    path = scratch_dir(spark)
+    em.replace_aggregates(_written(spark, sf_dir), path)
+    return em.report_of_statistics(em.read_statistics(spark, path), as_of=AS_OF, freshness=True)
+
+
 def _first_snapshot(spark, sf_dir):
     """A table as it was for a reader that began before it was replaced."""
     path = scratch_dir(spark)
@@ -485,6 +512,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "distinct_users_stream": lambda spark, sf: _sketched(spark, sf, _refreshed_table),
         "refresh_after_compaction": _result(_refresh_after_compaction),
         "serving_table_before_replace": _result(_first_snapshot),
+        "stream_late_events": _result(_stream_with_late),
+        "stream_progress": _result(_stream_progress),
         "faulty_messages": _faults,
         "stream_faults": _stream_faults,
         # Events with faults
@@ -535,6 +564,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_report": _report(AS_OF),
         "quality_report_stale": _report(LATER),
         "quality_report_empty": _empty_report,
+        "quality_report_stored": _stored_report,
         "events_over_time_filtered": _metric(
             metrics.events_over_time, "Last 7 Days", event_type="search", country="US"),
     }
@@ -794,6 +824,11 @@ SELECT * EXCLUDE (event_id, amount), CASE WHEN event_id % 6 > 3 THEN amount END
 FROM clean WHERE event_id % 6 > 2""",
         "distinct_users_batch": _distinct_users_sql(),
         "distinct_users_stream": _distinct_users_sql(),
+        "stream_late_events": five_minutes,
+        "stream_progress": f"""WITH {_ENRICHED}, everything AS (SELECT COUNT(*) AS messages FROM std)
+SELECT messages, COUNT(event_type) AS events, messages - COUNT(event_type) AS dropped,
+       CAST(0 AS BIGINT) AS faulty_events, MAX(event_time) AS latest_event_time
+FROM everything LEFT JOIN enriched ON TRUE GROUP BY messages""",
         "faulty_messages": _FAULTS,
         "stream_faults": _FAULTS,
         "event_times_unparseable": """SELECT CASE WHEN event_id % 11 > 0 THEN date_trunc('second', ts)
@@ -855,6 +890,7 @@ FROM agg GROUP BY 1""",
         "check_freshness": _checks_sql(_agg_cte(), "agg", _freshness_check(AS_OF)),
         "quality_report": _full_checks_sql(AS_OF),
         "quality_report_stale": _full_checks_sql(LATER),
+        "quality_report_stored": _full_checks_sql(AS_OF),
     }
     for name, (_, length, bucket) in SERIES.items():
         found[name] = _series_sql(length, bucket)

@@ -20,6 +20,7 @@ from eventmetrics.plans import (
     metrics,
     prepare_events,
     quality_report,
+    report_of_statistics,
     refresh_aggregates,
     run_batch,
     run_stream,
@@ -37,6 +38,7 @@ from eventmetrics.sources import (
     decode_messages,
     encode_events,
     expire_snapshots,
+    gather_statistics,
     peek_events,
     read_aggregate_log,
     read_aggregates,
@@ -44,12 +46,16 @@ from eventmetrics.sources import (
     read_event_stream,
     read_events,
     read_faults,
+    read_late_events,
+    read_progress,
+    read_statistics,
     write_events,
 )
 from eventmetrics.streaming import (
     compact_aggregate_log,
     latest_aggregates,
     replace_aggregates,
+    with_late_events,
     write_aggregate_log,
     write_aggregates_jdbc,
     write_event_lake,
@@ -76,6 +82,7 @@ __all__ = [
     "enrich_events",
     "expire_snapshots",
     "faulty_messages",
+    "gather_statistics",
     "judge_messages",
     "latest_aggregates",
     "metrics",
@@ -89,14 +96,19 @@ __all__ = [
     "read_event_stream",
     "read_events",
     "read_faults",
+    "read_late_events",
+    "read_progress",
+    "read_statistics",
     "refresh_aggregates",
     "replace_aggregates",
+    "report_of_statistics",
     "run_batch",
     "run_stream",
     "user_windows",
     "window_aggregations",
     "with_event_time",
     "with_fault",
+    "with_late_events",
     "write_aggregate_log",
     "write_aggregates_jdbc",
     "write_event_lake",

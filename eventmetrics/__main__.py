@@ -39,6 +39,8 @@ def _parser() -> argparse.ArgumentParser:
                         help="process what there is, then stop")
 
     refresh = command("refresh", "load the serving table from the aggregate log")
+    refresh.add_argument("--late-windows", metavar="DURATION",
+                         help="count late events too, in windows of this duration")
     check = command("check", "fail unless the serving table passes the quality checks", out=None)
     check.add_argument("--freshness", action="store_true", help="also require recent rows")
     for sub in (refresh, check):
@@ -67,9 +69,11 @@ def main(argv: list[str] | None = None) -> None:
         em.run_stream(spark, source, args.out, args.duration, args.distinct, args.watermark,
                       trigger)
     elif args.command == "refresh":
-        em.refresh_aggregates(spark, args.out, _options(args.jdbc) or None)
+        em.refresh_aggregates(spark, args.out, _options(args.jdbc) or None,
+                              late_windows=args.late_windows)
     elif args.command == "check":
-        table = em.read_aggregates(spark, _options(args.jdbc) or f"{args.out}/aggregates")
+        table = (em.read_aggregates(spark, _options(args.jdbc)) if args.jdbc
+                 else em.read_statistics(spark, f"{args.out}/aggregates"))
         em.assert_quality(table, freshness=args.freshness)
         print("all checks passed")
     else:

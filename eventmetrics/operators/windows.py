@@ -87,11 +87,20 @@ def _prepared(df: DataFrame, watermark: str | None) -> DataFrame:
 
 
 def user_windows(df: DataFrame, duration: str = WINDOW_DURATION,
-                 watermark: str | None = None) -> DataFrame:
-    """Each event's window, group, user and amount: the rows that the aggregate log adds up."""
+                 watermark: str | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """Each event's window, group, user and amount: the rows that the aggregate log adds up.
+
+    With `more`, other columns of the events as well.
+    """
     return _prepared(df, watermark).withColumn("window", F.window("event_time", duration)).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "event_type", "country", "user_id", "amount")
+        "event_type", "country", "user_id", "amount", *more)
+
+
+def late_events(df: DataFrame, mark: Column, duration: str = WINDOW_DURATION) -> DataFrame:
+    """The events whose window had ended by `mark`."""
+    window = F.window("event_time", duration)
+    return (df.withColumn("window", window).filter(F.col("window.end") <= mark).drop("window"))
 
 
 def to_cents(amount: Column) -> Column:

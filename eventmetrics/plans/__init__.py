@@ -13,6 +13,7 @@ from eventmetrics.plans.quality import (
     check_nulls,
     check_row_count,
     quality_report,
+    report_of_statistics,
 )
 
 __all__ = [
@@ -26,6 +27,7 @@ __all__ = [
     "prepare_events",
     "quality_report",
     "refresh_aggregates",
+    "report_of_statistics",
     "run_batch",
     "run_stream",
 ]

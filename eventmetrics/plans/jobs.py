@@ -22,6 +22,7 @@ from eventmetrics.sources import (
     read_aggregate_log,
     read_aggregates,
     read_event_lake,
+    read_late_events,
 )
 from eventmetrics.sources.aggregates import Target
 from eventmetrics.sources.snapshots import current
@@ -31,6 +32,7 @@ from eventmetrics.streaming import (
     newest_batches,
     replace_aggregates,
     replace_dates,
+    with_late_events,
     write_aggregate_log,
     write_event_lake,
     write_outputs,
@@ -78,8 +80,9 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
                trigger: Mapping | None = None, wait: bool = True) -> list[StreamingQuery]:
     """Stream a source into `out`/events and `out`/aggregate_log.
 
-    With the method `users` one query writes both, and `out`/faults, from messages that are read
-    and decoded once. The other methods keep state, which only a query of its own can: then two
+    With the method `users` one query writes both, `out`/faults and `out`/progress, from messages that
+    are read and decoded once; with a `watermark` it puts events of closed windows into
+    `out`/late_events (see `write_outputs`). The other methods keep state, which only a query of its own can: then two
     queries progress on their own, without `out`/faults. An output that two queries began is
     continued by two. Checkpoints are under `out`/checkpoints.
 
@@ -91,7 +94,7 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     """
     trigger = trigger or EVERY_30_SECONDS
     if distinct == "users" and not _exists(spark, f"{out}/checkpoints/events"):
-        query = write_outputs(judge_messages(source), out, duration, trigger)
+        query = write_outputs(judge_messages(source), out, duration, trigger, watermark)
         if wait:
             query.awaitTermination()  # raises the error it failed with
         return [query]
@@ -116,7 +119,8 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
 
 
 def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = None,
-                       log_path: str | None = None) -> DataFrame:
+                       log_path: str | None = None,
+                       late_windows: str | None = None) -> DataFrame:
     """Bring a serving table up to date with `out`/aggregate_log (or `log_path`) and return it.
 
     The table is `out`/aggregates, or a database table, which is loaded anew. The former notes for
@@ -125,8 +129,13 @@ def refresh_aggregates(spark: SparkSession, out: str, target: Target | None = No
     compacted in between, and a refresh that fails half-way is simply run again. Between refreshes,
     `latest_aggregates(read_aggregate_log(...))` answers the same queries from the log itself;
     look-backs reach its scan too.
+
+    With `late_windows`, the duration of the log's windows, the events of `out`/late_events count as
+    well. Keep to one choice for a table.
     """
     log = read_aggregate_log(spark, log_path or f"{out}/aggregate_log")
+    if late_windows:
+        log = with_late_events(log, read_late_events(spark, f"{out}/late_events"), late_windows)
     if target:
         return replace_aggregates(latest_aggregates(log), target)
     table = f"{out}/aggregates"

@@ -1,4 +1,4 @@
-"""Quality checks on the serving table: one scan, one report row per check.
+"""Quality checks on the serving table: one report row per check, from one scan or from statistics.
 
 A report has the columns check, observed, status (passed, failed, skipped) and message.
 """
@@ -28,10 +28,12 @@ def _null_count(columns: Sequence[str]) -> Column:
     return F.count_if(missing)
 
 
+def _oldest(df: DataFrame, as_of: AsOf) -> Column:
+    return (instant(as_of) - F.expr(f"INTERVAL {MAX_AGE}")).cast(df.schema["created_at"].dataType)
+
+
 def _fresh_count(df: DataFrame, as_of: AsOf) -> Column:
-    oldest = (instant(as_of) - F.expr(f"INTERVAL {MAX_AGE}")).cast(
-        df.schema["created_at"].dataType)
-    return F.count_if(F.col("created_at") > oldest)
+    return F.count_if(F.col("created_at") > _oldest(df, as_of))
 
 
 # What each check counts, whether that many is bad, and what it says when it is.
@@ -94,10 +96,24 @@ def quality_report(df: DataFrame, columns: Sequence[str] = REQUIRED, as_of: AsOf
     return _report(df, counts)
 
 
+def report_of_statistics(statistics: DataFrame, columns: Sequence[str] = REQUIRED,
+                         as_of: AsOf = None, freshness: bool = False) -> DataFrame:
+    """The `quality_report` of the table that the statistics (`read_statistics`) are of."""
+    def rows(wanted: Column) -> Column:
+        return F.coalesce(F.sum(F.when(wanted, F.col("rows"))), F.lit(0))
+
+    counts = {"row_count": rows(F.lit(True))}
+    if freshness:
+        counts["freshness"] = rows(F.col("created_at") > _oldest(statistics, as_of))
+    counts["nulls"] = rows(F.arrays_overlap("missing", F.array(*[F.lit(c) for c in columns])))
+    return _report(statistics, counts)
+
+
 def assert_quality(df: DataFrame, columns: Sequence[str] = REQUIRED, as_of: AsOf = None,
                    freshness: bool = False) -> None:
-    """Raise ValueError naming the check that failed."""
-    report = quality_report(df, columns, as_of, freshness)
+    """Raise ValueError naming the check that failed. Takes a table, or statistics of one."""
+    make = report_of_statistics if "missing" in df.columns else quality_report
+    report = make(df, columns, as_of, freshness)
     failed = report.filter("status = 'failed'").collect()  # at most one row per check
     if failed:
         raise ValueError("; ".join(

@@ -61,6 +61,15 @@ WINDOW_DATE = "window_date"
 SERVING_SCHEMA = StructType(AGGREGATE_SCHEMA.fields + [
     StructField(USER_SKETCH, BinaryType()), StructField(WINDOW_DATE, DateType())])
 
+# One row per micro-batch of a stream, written when the rest of it is. `latest_event_time` is that of
+# all batches so far; `mark` is the time up to which windows were closed.
+PROGRESS_SCHEMA = StructType(
+    [StructField(name, LongType())
+     for name in ("messages", "events", "late_events", "dropped", "faulty_events")]
+    + [StructField(name, TimestampType()) for name in ("latest_event_time", "mark", "written_at")]
+    + [StructField("batch_id", LongType())]
+)
+
 # Aggregate log, by date and micro-batch. A row has either one user's share of a key in that
 # micro-batch (no unique_users; such rows add up), or the key's state after it (no user_id; the
 # newest counts). Revenue is not rounded yet.

@@ -8,15 +8,19 @@ from eventmetrics.sources.events import (
     read_event_stream,
     read_events,
     read_faults,
+    read_late_events,
+    read_progress,
     write_events,
 )
 from eventmetrics.sources.snapshots import expire_snapshots
+from eventmetrics.sources.statistics import gather_statistics, read_statistics
 
 __all__ = [
     "decode_events",
     "decode_messages",
     "encode_events",
     "expire_snapshots",
+    "gather_statistics",
     "jdbc_options",
     "peek_events",
     "read_aggregate_log",
@@ -25,5 +29,8 @@ __all__ = [
     "read_event_stream",
     "read_events",
     "read_faults",
+    "read_late_events",
+    "read_progress",
+    "read_statistics",
     "write_events",
 ]

@@ -15,13 +15,14 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
     TimestampType,
 )
 
-from eventmetrics.schema import EVENT_SCHEMA
+from eventmetrics.schema import EVENT_SCHEMA, PROGRESS_SCHEMA
 
 # The topic and servers that producers use.
 TOPIC = "user-events"
@@ -44,6 +45,7 @@ LAKE_SCHEMA = StructType(
         StructField("event_type", StringType()),
     ]
 )
+LATE_SCHEMA = StructType([*LAKE_SCHEMA.fields, StructField("batch_id", LongType())])
 
 _CORRUPT = "_corrupt_record"
 _FILE_SCHEMAS = {"text": MESSAGE_SCHEMA, "json": EVENT_SCHEMA, "parquet": EVENT_SCHEMA}
@@ -143,6 +145,16 @@ def read_event_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LAKE_SCHEMA).parquet(path).select(LAKE_SCHEMA.fieldNames())
 
 
+def read_late_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events that came after their window was closed, and the micro-batch that they came in."""
+    return spark.read.schema(LATE_SCHEMA).parquet(path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """What each micro-batch of a stream did: see PROGRESS_SCHEMA."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path)
+
+
 def read_faults(spark: SparkSession, path: str) -> DataFrame:
     """The messages that a stream found fault with: value, fault, dropped."""
     return spark.read.schema(FAULT_SCHEMA).parquet(path).select(FAULT_SCHEMA.fieldNames())

@@ -19,6 +19,13 @@ _MANIFESTS = "_manifests"
 _ENTRY = "folder STRING, load STRING, newest BIGINT"
 #: Snapshots that stay readable after a load.
 KEEP = 8
+#: What the folder of rows without a date is called.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def statistics_folder(path: str, load: str | None = None) -> str:
+    """Where the statistics of a load are, or those of all."""
+    return f"{path}/_statistics" + (f"/load={load}" if load else "")
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -98,15 +105,20 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int = KEEP) -> list[i
     versions = _versions(spark, path)
     old, kept = versions[:-keep], versions[-keep:]
 
-    def used(those: list[int]) -> set[str]:
-        return {f"load={load}/{folder}" for v in those
-                for folder, (load, _) in _entries(spark, path, v).items()}
+    def used(those: list[int]) -> tuple[set[str], set[str]]:
+        held = [(load, folder) for v in those
+                for folder, (load, _) in _entries(spark, path, v).items()]
+        return {f"{path}/load={load}/{folder}" for load, folder in held}, {load for load, _ in held}
 
-    unused = used(old) - used(kept) if old else set()
+    unused: set[str] = set()
+    if old:
+        (old_folders, old_loads), (folders, loads) = used(old), used(kept)
+        unused = (old_folders - folders) | {
+            statistics_folder(path, load) for load in old_loads - loads}
     for version in old:  # first, so that nobody resolves a manifest without its folders
         files, where = file_system(spark, _manifest(path, version))
         files.delete(where, False)
     for folder in sorted(unused):
-        files, where = file_system(spark, f"{path}/{folder}")
+        files, where = file_system(spark, folder)
         files.delete(where, True)
     return old

@@ -5,6 +5,7 @@ from eventmetrics.streaming.sinks import (
     newest_batches,
     replace_aggregates,
     replace_dates,
+    with_late_events,
     write_aggregate_log,
     write_aggregates_jdbc,
     write_event_lake,
@@ -18,6 +19,7 @@ __all__ = [
     "newest_batches",
     "replace_aggregates",
     "replace_dates",
+    "with_late_events",
     "write_aggregate_log",
     "write_aggregates_jdbc",
     "write_event_lake",

@@ -6,22 +6,25 @@ import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from eventmetrics.operators import clean_events, enrich_events, faulty_messages, user_windows
-from eventmetrics.operators.windows import sketch_users, to_cents
+from eventmetrics.operators.events import KEPT_FAULTS
+from eventmetrics.operators.windows import late_events, sketch_users, to_cents
 from eventmetrics.schema import (
     AGGREGATE_KEY,
     AGGREGATE_LOG_SCHEMA,
     MEASURES,
+    PROGRESS_SCHEMA,
     SERVING_SCHEMA,
     USER_SKETCH,
     WINDOW_DATE,
     WINDOW_DURATION,
 )
+from eventmetrics.session import file_system
 from eventmetrics.sources import snapshots
 from eventmetrics.sources.aggregates import (
     COLUMN_TYPES,
@@ -29,7 +32,8 @@ from eventmetrics.sources.aggregates import (
     jdbc_options,
     read_aggregates,
 )
-from eventmetrics.sources.events import FAULT_SCHEMA, LAKE_SCHEMA
+from eventmetrics.sources.events import FAULT_SCHEMA, LAKE_SCHEMA, LATE_SCHEMA
+from eventmetrics.sources.statistics import write_statistics
 
 LAKE_PARTITIONS = ("event_date", "event_type")
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
@@ -80,21 +84,35 @@ def write_aggregate_log(df: DataFrame, path: str, checkpoint: str,
 
 
 def write_outputs(messages: DataFrame, out: str, duration: str = WINDOW_DURATION,
-                  trigger: Mapping | None = None) -> StreamingQuery:
+                  trigger: Mapping | None = None,
+                  watermark: str | None = None) -> StreamingQuery:
     """Lake, aggregate log and faulty messages from one query that decodes each message once.
 
     `messages` are decoded and judged (`with_fault`). A micro-batch is kept on the executors' disks
-    while its three parts are written: `out`/events, `out`/aggregate_log and `out`/faults, each into
-    folders of the micro-batch's own. If it fails anywhere it runs again and replaces all three, so
+    while its parts are written: `out`/events, `out`/aggregate_log and `out`/faults, each into
+    folders of the micro-batch's own. If it fails anywhere it runs again and replaces all of them, so
     they always hold the same events. An executor that is lost takes its part of the kept rows with
     it; that part is read from the source again.
+
+    With a `watermark`, windows close: those that ended that long before the latest event of all
+    earlier micro-batches. Events of closed windows are in the lake as all others, but go to
+    `out`/late_events in place of the log (`with_late_events` puts both together). So a window of the
+    log, once closed, does not change, and nothing is kept in state.
+
+    Last, `out`/progress gets a row with the micro-batch's numbers. They are counted from its rows, not
+    by accumulators, to which a repeated task would add twice.
     """
     lake, log, faults = f"{out}/events", f"{out}/aggregate_log", f"{out}/faults"
+    late_path, progress = f"{out}/late_events", f"{out}/progress"
     _empty_table(messages, LAKE_SCHEMA, lake, *LAKE_PARTITIONS)
     _empty_table(messages, AGGREGATE_LOG_SCHEMA, log, WINDOW_DATE)
     _empty_table(messages, FAULT_SCHEMA, faults)
+    _empty_table(messages, LATE_SCHEMA, late_path)
+    _empty_table(messages, PROGRESS_SCHEMA, progress)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        latest, closed = _latest_before(batch.sparkSession, progress, batch_id, watermark)
+        mark = F.timestamp_micros(F.lit(closed).cast("long"))
         batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
             events = enrich_events(clean_events(batch))
@@ -103,9 +121,20 @@ def write_outputs(messages: DataFrame, out: str, duration: str = WINDOW_DURATION
                 .sortWithinPartitions(*LAKE_PARTITIONS, "event_time")
                 .write.mode("overwrite").option(*_DYNAMIC)
                 .partitionBy(*LAKE_PARTITIONS, "batch_id").parquet(lake))
-            _write_log(user_windows(events, duration), batch_id, log)
+            windows, late = user_windows(events, duration), 0
+            if closed is not None:
+                windows = windows.filter(F.col("window_end") > mark)
+                rows = late_events(events, mark, duration).select(*LAKE_SCHEMA.fieldNames(), number)
+                rows.write.mode("overwrite").option(*_DYNAMIC).partitionBy("batch_id").parquet(late_path)
+                late = rows.count()
+            _write_log(windows, batch_id, log)
             (faulty_messages(batch).withColumn("batch_id", number).write.mode("overwrite")
                 .option(*_DYNAMIC).partitionBy("batch_id").parquet(faults))
+            fill = {"late_events": F.lit(late), "mark": mark, "written_at": F.current_timestamp(),
+                    "batch_id": number, "latest_event_time": F.greatest(
+                        "latest", F.timestamp_micros(F.lit(latest).cast("long")))}
+            (_conform(_numbers(batch), PROGRESS_SCHEMA, fill).write.mode("overwrite")
+                .option(*_DYNAMIC).partitionBy("batch_id").parquet(progress))
         finally:
             batch.unpersist()
 
@@ -114,6 +143,35 @@ def write_outputs(messages: DataFrame, out: str, duration: str = WINDOW_DURATION
             .trigger(**(trigger or EVERY_30_SECONDS)).queryName(f"outputs {out}").start())
 
 
+def _numbers(judged: DataFrame) -> DataFrame:
+    """Numbers of messages, of events and of those dropped, and the latest time of an event."""
+    kept_fault = F.coalesce(F.col("fault").isin(*KEPT_FAULTS), F.lit(False))
+    event = F.col("fault").isNull() | kept_fault
+    return judged.agg(
+        F.count("*").alias("messages"), F.count_if(event).alias("events"),
+        F.count_if(~event).alias("dropped"), F.count_if(kept_fault).alias("faulty_events"),
+        F.max(F.when(event, F.try_to_timestamp(F.col("timestamp")))).alias("latest"))
+
+
+def _latest_before(spark: SparkSession, progress: str, batch_id: int,
+                   watermark: str | None) -> tuple[int | None, int | None]:
+    """The latest event time of earlier micro-batches, and that less the watermark; microseconds.
+
+    Both are the same when a micro-batch runs again. The batch before has noted them; where it has
+    not, which is so after an update of the library, the whole table is asked.
+    """
+    before = f"{progress}/batch_id={batch_id - 1}"
+    files, where = file_system(spark, before)
+    rows = spark.read.schema(PROGRESS_SCHEMA).option("basePath", progress).parquet(
+        before if files.exists(where) else progress)
+    latest = rows.filter(F.col("batch_id") < batch_id).agg(
+        F.max("latest_event_time").alias("latest")).select(
+        F.unix_micros("latest").alias("latest"),
+        (F.unix_micros(F.col("latest") - F.expr(f"INTERVAL {watermark}")) if watermark
+         else F.lit(None)).alias("closed")).first()
+    return latest["latest"], latest["closed"]
+
+
 def _empty_table(df: DataFrame, schema, path: str, *folders: str) -> None:
     """Make the table be there from the start, as a folder without rows."""
     empty = df.sparkSession.createDataFrame([], schema).drop(*folders, "batch_id")
@@ -182,7 +240,20 @@ def latest_aggregates(log: DataFrame, sketch: bool = False) -> DataFrame:
     return both.withColumn("total_revenue", to_cents(F.col("total_revenue")))
 
 
-_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+def with_late_events(log: DataFrame, late: DataFrame, duration: str = WINDOW_DURATION) -> DataFrame:
+    """The log with the rows that late events would have had in it; `duration` is that of its windows.
+
+    It may be read, compacted and refreshed from as the log.
+    """
+    shares = user_windows(late, duration, more=("batch_id",)).groupBy(
+        *AGGREGATE_KEY, "user_id", "batch_id").agg(
+        F.count("*").alias("event_count"), F.sum("amount").alias("total_revenue"))
+    fill = {"unique_users": F.lit(None), "created_at": F.current_timestamp(),
+            WINDOW_DATE: F.to_date("window_start")}
+    return log.unionByName(_conform(shares, AGGREGATE_LOG_SCHEMA, fill))
+
+
+_NO_DATE = snapshots.NO_DATE
 
 
 def _folder_of(date):
@@ -244,6 +315,7 @@ def _load(df: DataFrame, path: str) -> str:
     (_serving_rows(df).repartitionByRange("window_start", "event_type", "country")
         .sortWithinPartitions(WINDOW_DATE, "window_start", "event_type", "country")
         .write.partitionBy(WINDOW_DATE).parquet(f"{path}/load={load}"))
+    write_statistics(df.sparkSession, path, load)
     return load
 
 

@@ -561,3 +561,116 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(fake_session("yarn"))
     assert Path(scratch_dir(fake_session("local[2]"))).parent.is_dir()
+
+
+# --- Late events, progress and statistics ------------------------------------------------
+
+
+def test_late_events_are_kept_apart_and_add_up(spark, topic, tmp_path, expected, std):
+    folder, send = topic
+    send(7, 4, 5)  # the latest first, so that what follows is late
+    run_both(spark, folder, tmp_path, watermark="1 hour")
+    send(6)
+    run_both(spark, folder, tmp_path, watermark="1 hour")  # the mark is the same after a restart
+    late = em.read_late_events(spark, f"{tmp_path}/late_events")
+    progress = em.read_progress(spark, f"{tmp_path}/progress").orderBy("batch_id").collect()
+    log = log_of(spark, tmp_path)
+    assert progress[0]["mark"] is None and progress[0]["late_events"] == 0
+    assert sum(p["late_events"] for p in progress) == late.count() > 0
+    assert plain(em.latest_aggregates(log)) != expected
+    assert plain(em.latest_aggregates(em.with_late_events(log, late, LONG))) == expected
+    assert rows_of(em.read_event_lake(spark, f"{tmp_path}/events")) == rows_of(em.prepare_events(std))
+    assert plain(em.refresh_aggregates(spark, str(tmp_path), late_windows=LONG)) == expected
+    # Late are the events whose window had ended an hour before the latest event so far.
+    marks = {p["batch_id"]: p["mark"] for p in progress}
+    for row in late.select("batch_id", F.window("event_time", LONG)["end"].alias("end")).collect():
+        assert row["end"] <= marks[row["batch_id"]]
+
+
+def test_a_closed_window_of_the_log_does_not_change(spark, topic, tmp_path):
+    folder, send = topic
+    send(0, 7)
+    run_both(spark, folder, tmp_path, watermark="1 hour")
+    mark = em.read_progress(spark, f"{tmp_path}/progress").agg(
+        F.max("latest_event_time") - F.expr("INTERVAL 1 hour")).first()[0]
+    closed = lambda: plain(em.latest_aggregates(log_of(spark, tmp_path)).filter(
+        F.col("window_end") <= F.lit(mark)))
+    before = closed()
+    send(1, 2, 3)
+    run_both(spark, folder, tmp_path, watermark="1 hour")
+    assert before and closed() == before
+
+
+def test_a_batch_that_dies_before_its_progress_is_late_in_the_same_way(
+        spark, topic, tmp_path, expected, monkeypatch):
+    folder, send = topic
+    send(7)
+    run_both(spark, folder, tmp_path, watermark="1 hour")
+    send(4, 5, 6)
+
+    def die(*_):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_numbers", die)
+        with pytest.raises(Exception, match="the driver is gone"):
+            run_both(spark, folder, tmp_path, watermark="1 hour")
+    run_both(spark, folder, tmp_path, watermark="1 hour")
+    late = em.read_late_events(spark, f"{tmp_path}/late_events")
+    assert plain(em.latest_aggregates(em.with_late_events(log_of(spark, tmp_path), late, LONG))) == expected
+    assert em.read_progress(spark, f"{tmp_path}/progress").agg(F.sum("messages")).first()[0] == 1000
+
+
+def test_progress_adds_up_to_the_messages(spark, topic, tmp_path, std):
+    folder, send = topic
+    send(0, "garbage\n{\"user_id\":\"a\"}")
+    run_both(spark, folder, tmp_path)
+    send(1, 2, 3)
+    run_both(spark, folder, tmp_path)
+    progress = em.read_progress(spark, f"{tmp_path}/progress")
+    total = progress.agg(*[F.sum(c).alias(c) for c in ("messages", "events", "dropped", "late_events")],
+                         F.max("latest_event_time").alias("latest")).first()
+    events = em.prepare_events(std)
+    assert (total["messages"], total["late_events"]) == (1002, 0)
+    assert total["events"] == events.count() == 1002 - total["dropped"]
+    assert total["latest"] == events.agg(F.max("event_time")).first()[0]
+    assert progress.filter("written_at IS NULL OR mark IS NOT NULL").count() == 0
+
+
+def test_statistics_give_the_report_of_the_table(spark, std, tmp_path):
+    path = str(tmp_path / "table")
+    rows = em.window_aggregations(std, LONG).withColumn("created_at", F.col("window_end"))
+    bad = rows.withColumn("event_type", F.when(F.col("country") != "US", F.col("event_type")))
+    as_of = rows.agg(F.max("window_end")).first()[0].isoformat()
+    for table in (rows, bad, rows.limit(0)):
+        em.replace_aggregates(table, path)
+        stored, known = em.read_aggregates(spark, path), em.read_statistics(spark, path)
+        for how in ({}, {"freshness": True, "as_of": as_of}, {"columns": ["country", "event_type"]}):
+            assert rows_of(em.report_of_statistics(known, **how)) == rows_of(
+                em.quality_report(stored, **how))
+        files = {f for f in known.inputFiles()}
+        assert not files & set(stored.inputFiles())
+
+
+def test_statistics_follow_replaced_dates_and_expire(spark, std, tmp_path):
+    path = str(tmp_path / "table")
+    rows = em.window_aggregations(std, "1 hour")
+    table = em.replace_aggregates(rows, path)
+    date = table.agg(F.min("window_date")).first()[0]
+    one = table.filter(F.col("window_date") == F.lit(date)).limit(3)
+    replace_dates(one, path, keep=1)
+    stored = em.read_aggregates(spark, path)
+    assert em.read_statistics(spark, path).agg(F.sum("rows")).first()[0] == stored.count() < rows.count()
+    em.replace_aggregates(rows, path, keep=1)
+    assert em.read_statistics(spark, path).agg(F.sum("rows")).first()[0] == rows.count()
+    assert len(list((tmp_path / "table/_statistics").iterdir())) == 1
+    em.assert_quality(em.read_statistics(spark, path))
+
+
+def test_a_table_without_statistics_is_scanned(spark, std, tmp_path):
+    path = str(tmp_path / "table")
+    rows = em.window_aggregations(std, LONG)
+    em.replace_aggregates(rows, path)
+    for folder in (tmp_path / "table/_statistics").iterdir():
+        folder.rename(tmp_path / folder.name)
+    assert em.read_statistics(spark, path).agg(F.sum("rows")).first()[0] == rows.count()
