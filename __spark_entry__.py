@@ -258,15 +258,29 @@ SENTINEL = (
 )
 
 
-def _in_slices(spark: SparkSession, sf_dir: str, run: Callable[[str], None]) -> None:
+def _times(spark: SparkSession, sf_dir: str):
+    return spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet").agg(
+        F.min("ts"), F.max("ts")).first()
+
+
+def _in_slices(spark: SparkSession, sf_dir: str, run: Callable[[str], None],
+               by_time: bool = False) -> None:
     """Send all events as message files in slices, with a run of the stream after each.
 
     A micro-batch takes all of a slice, however many files it has, so that all tasks have work.
+    Slices mix all times or, `by_time`, follow it.
     """
     path = scratch_dir(spark)
     messages = _messages(spark, sf_dir)
+    slice_of = F.pmod(F.xxhash64("value"), F.lit(SLICES))
+    if by_time:
+        first, last = _times(spark, sf_dir)
+        share = (F.unix_seconds(F.try_to_timestamp(F.get_json_object("value", "$.timestamp")))
+                 - F.unix_seconds(F.lit(first).cast("timestamp"))) / (
+            ((last - first).total_seconds() if first else 0) + 1)
+        slice_of = F.coalesce(F.least(F.floor(share * SLICES), F.lit(SLICES - 1)), F.lit(0))
     for number in range(SLICES):
-        (messages.filter(F.pmod(F.xxhash64("value"), F.lit(SLICES)) == number)
+        (messages.filter(slice_of == number)
             .write.text(f"{path}/slice={number}"))
         run(path)
 
@@ -404,8 +418,7 @@ def _compacted_log(spark, sf_dir):
 def _stream_two_level(spark, sf_dir):
     """The slices mix all times, so the watermark stays behind by as much as the times span."""
     out = scratch_dir(spark)
-    times = spark.read.schema(TABLE_SCHEMA).parquet(f"{sf_dir}/events.parquet").agg(
-        F.min("ts"), F.max("ts")).first()
+    times = _times(spark, sf_dir)
     days = (times[1] - times[0]).days + 2 if times[0] else 1
     paths = []
 
@@ -429,6 +442,31 @@ def _stream_two_level(spark, sf_dir):
     return _plain(em.latest_aggregates(log))
 
 
+def _stream_by_time(spark: SparkSession, sf_dir: str, distinct: str, output_mode: str) -> str:
+    """A stream with state whose windows close on the way; returns where its outputs are."""
+    out = scratch_dir(spark)
+
+    def run(path):
+        aggregates = em.window_aggregations(
+            em.prepare_events(_message_stream(spark, path)), HOURS_6, distinct, "1 day")
+        em.write_aggregate_log(aggregates, f"{out}/log", f"{out}/checkpoint",
+                               {"availableNow": True}, output_mode).awaitTermination()
+
+    _in_slices(spark, sf_dir, run, by_time=True)
+    return out
+
+
+def _stream_update(spark, sf_dir):
+    out = _stream_by_time(spark, sf_dir, "update", "update")
+    return _plain(em.latest_aggregates(em.read_aggregate_log(spark, f"{out}/log")))
+
+
+def _stream_open_windows(spark, sf_dir):
+    """Windows that closed, from the log, and those of the last day, from the state."""
+    out = _stream_by_time(spark, sf_dir, "two_level", "append")
+    return _plain(em.windows_so_far(spark, f"{out}/log", f"{out}/checkpoint"))
+
+
 # --- Metrics and quality -----------------------------------------------------------------
 
 
@@ -507,6 +545,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_aggregates": _result(_stream_job),
         "stream_aggregates_6h": _result(_stream_aggregates),
         "stream_aggregates_two_level": _result(_stream_two_level),
+        "stream_aggregates_update": _result(_stream_update),
+        "stream_open_windows": _result(_stream_open_windows),
         "compacted_log": _result(_compacted_log),
         "distinct_users_batch": lambda spark, sf: _sketched(spark, sf, _batch_table),
         "distinct_users_stream": lambda spark, sf: _sketched(spark, sf, _refreshed_table),
@@ -850,6 +890,8 @@ SELECT 'All' AS country UNION ALL (SELECT DISTINCT country FROM agg)""",
         "windowed_aggregates_6h_two_level": six_hours,
         "stream_aggregates_6h": six_hours,
         "stream_aggregates_two_level": six_hours,
+        "stream_aggregates_update": six_hours,
+        "stream_open_windows": six_hours,
         "compacted_log": six_hours,
         "windowed_aggregates_6h_approx": f"""WITH {_agg_cte(HOURS_6)}
 SELECT window_start, event_type, country, event_count, TRUE AS close FROM agg""",

@@ -54,7 +54,9 @@ from eventmetrics.sources import (
 from eventmetrics.streaming import (
     compact_aggregate_log,
     latest_aggregates,
+    open_windows,
     replace_aggregates,
+    windows_so_far,
     with_late_events,
     write_aggregate_log,
     write_aggregates_jdbc,
@@ -86,6 +88,7 @@ __all__ = [
     "judge_messages",
     "latest_aggregates",
     "metrics",
+    "open_windows",
     "peek_events",
     "prepare_events",
     "purchase_events",
@@ -106,6 +109,7 @@ __all__ = [
     "run_stream",
     "user_windows",
     "window_aggregations",
+    "windows_so_far",
     "with_event_time",
     "with_fault",
     "with_late_events",

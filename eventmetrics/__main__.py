@@ -32,7 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     stream = command("stream", "stream into lake and aggregate log", source=True)
     for sub in (batch, stream):
         sub.add_argument("--duration", default=WINDOW_DURATION)
-    stream.add_argument("--distinct", default="users", choices=["users", "two_level", "approx"])
+    stream.add_argument("--distinct", default="users", choices=["users", "two_level", "update", "approx"])
     stream.add_argument("--watermark", help="accept events this late, such as '1 hour'")
     stream.add_argument("--every", default="30 seconds", help="time between micro-batches")
     stream.add_argument("--available-now", action="store_true",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from eventmetrics.operators.events import with_event_time
 from eventmetrics.schema import AMOUNT, MONEY_SUM, USER_SKETCH, WINDOW_DURATION
 
-METHODS = ("exact", "set", "users", "two_level", "approx")
+METHODS = ("exact", "set", "users", "two_level", "update", "approx")
+_STATEFUL = ("two_level", "update")  # these need a watermark, without which their state would grow
 
 # Into how many parts the users of one group are split by the `set` method, in batch. A user
 # falls into exactly one part, so the parts' distinct counts add up to the group's.
@@ -37,10 +38,16 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
     ``set``        batch only. The users of each group in `user_buckets` separate sets.
     ``two_level``  streams in append mode with a watermark. One small state row per group
                    and user, however hot the group is. Events later than the watermark are
-                   dropped, as the progress of the query reports.
+                   dropped, as the progress of the query reports. Rows come when a window has
+                   closed; `open_windows` reads those that have not.
+    ``update``     streams in update mode with a watermark. The same state row per group and
+                   user, which expires with its window; each micro-batch gives the users' rows
+                   that it changed, and `latest_aggregates` adds up the newest ones. So windows
+                   are there before they close, and rows are states: a repeated one adds nothing.
+                   In batch as ``two_level``.
     ``approx``     HyperLogLog++ sketch. Constant state, inexact, opt-in.
 
-    With `sketch` (methods ``users`` and ``two_level``) there is a column user_sketch as well, which
+    With `sketch` (``users``, ``two_level`` and ``update``, in batch) there is a column user_sketch as well, which
     `metrics.distinct_users` merges: the sum of unique_users counts somebody once in each window.
     """
     if distinct is None:
@@ -49,13 +56,13 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
         raise ValueError(f"distinct must be one of {METHODS}, not {distinct!r}")
     if df.isStreaming and distinct in ("exact", "set"):
         raise ValueError(f"a stream cannot use distinct={distinct!r}; use 'users' or 'two_level'")
-    if df.isStreaming and distinct == "two_level" and not watermark:
-        raise ValueError("distinct='two_level' on a stream needs a watermark")
+    if df.isStreaming and distinct in _STATEFUL and not watermark:
+        raise ValueError(f"distinct={distinct!r} on a stream needs a watermark")
     if user_buckets < 1:
         raise ValueError("user_buckets must be at least 1")
 
-    if sketch and (distinct not in ("users", "two_level") or df.isStreaming):
-        raise ValueError("sketches need distinct='users' or 'two_level' in batch")
+    if sketch and (distinct not in ("users", *_STATEFUL) or df.isStreaming):
+        raise ValueError("sketches need distinct='users', 'two_level' or 'update' in batch")
     if df.isStreaming and distinct == "users":
         return user_windows(df, duration, watermark)
     df = _prepared(df, watermark)
@@ -68,7 +75,9 @@ def window_aggregations(df: DataFrame, duration: str = WINDOW_DURATION,
         df = df.withColumn("window_start", window.getField("start"))
         by = [F.col("window_start"), F.col("event_type"), F.col("country")]
 
-    if distinct in ("users", "two_level"):
+    if df.isStreaming and distinct == "update":
+        return _user_states(df, by)
+    if distinct in ("users", "two_level", "update"):
         grouped = _two_level(df, by, sketch)
     elif distinct == "set":
         grouped = _bucketed_sets(df, by, user_buckets)
@@ -125,9 +134,21 @@ def sketch_users(user: str = "user_id") -> Column:
     return F.hll_sketch_agg(user, F.lit(SKETCH_BITS)).alias(USER_SKETCH)
 
 
+def _per_user(df: DataFrame, by: list[Column]) -> DataFrame:
+    return df.groupBy(*by, "user_id").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
+
+
+def _user_states(df: DataFrame, by: list[Column]) -> DataFrame:
+    """Each user's part of a group so far, in the columns of the log; not rounded."""
+    return _per_user(df, by).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "event_type", "country", "user_id", F.col("n").alias("event_count"),
+        F.col("user_id").isNotNull().cast("long").alias("unique_users"),
+        F.col("amount").alias("total_revenue"))
+
+
 def _two_level(df: DataFrame, by: list[Column], sketch: bool) -> DataFrame:
-    per_user = df.groupBy(*by, "user_id").agg(
-        F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    per_user = _per_user(df, by)
     return per_user.groupBy(*_names(by, per_user)).agg(
         F.sum("n").alias("event_count"),
         F.count("user_id").alias("unique_users"),

@@ -89,7 +89,7 @@ def run_stream(spark: SparkSession, source: DataFrame, out: str,
     With `wait`, a bounded trigger (availableNow, once) returns when all is done, and a
     continuous one when a query stops. If one fails, the other is stopped and the error raised.
 
-    With `two_level` or `approx`, `spark.sql.shuffle.partitions` of the first start is kept in the
+    With `two_level`, `update` or `approx`, `spark.sql.shuffle.partitions` of the first start is kept in the
     checkpoint: set it to the size the state will need before then.
     """
     trigger = trigger or EVERY_30_SECONDS

@@ -71,8 +71,9 @@ PROGRESS_SCHEMA = StructType(
 )
 
 # Aggregate log, by date and micro-batch. A row has either one user's share of a key in that
-# micro-batch (no unique_users; such rows add up), or the key's state after it (no user_id; the
-# newest counts). Revenue is not rounded yet.
+# micro-batch (no unique_users; such rows add up), or a state after it, of which the newest counts:
+# the key's, or one user's (unique_users is 1, or 0 without user_id; users add up). Revenue is not
+# rounded yet.
 AGGREGATE_LOG_SCHEMA = StructType(
     _KEY_FIELDS
     + [StructField("user_id", StringType())]

@@ -214,11 +214,11 @@ def _shares(log: DataFrame, *more: str) -> DataFrame:
 
 
 def _states(log: DataFrame) -> DataFrame:
-    """The newest of the log's rows of states."""
+    """The newest of the log's rows of states, by key and user (none, if the state is the key's)."""
     # One max_by per measure: their buffers have fixed width, so this is a hash aggregate; a
     # struct would force a sort. A batch writes a key once, so all three take the same row.
     newest = [F.max_by(name, "batch_id").alias(name) for name in (*MEASURES, "created_at")]
-    return (log.filter("unique_users IS NOT NULL").groupBy(*_DATED_KEY)
+    return (log.filter("unique_users IS NOT NULL").groupBy(*_DATED_KEY, "user_id")
             .agg(*newest, F.max("batch_id").alias("batch_id")))
 
 
@@ -226,8 +226,8 @@ def latest_aggregates(log: DataFrame, sketch: bool = False) -> DataFrame:
     """One row per key from a log, with the window's date: filters on it skip folders of the log.
 
     Users' rows are added up, and their number is the distinct users. Of rows of states the newest
-    counts. With `sketch` there is a sketch of the users as well (NULL for states, which do not know
-    them).
+    counts; states of users are added up after that. With `sketch` there is a sketch of the users as
+    well (NULL for states of keys, which do not know them).
     """
     columns = [*_DATED_KEY, *MEASURES, "created_at"]
     users = _shares(log).groupBy(*_DATED_KEY).agg(
@@ -235,8 +235,11 @@ def latest_aggregates(log: DataFrame, sketch: bool = False) -> DataFrame:
         F.sum("total_revenue").alias("total_revenue"), F.max("created_at").alias("created_at"),
         *([sketch_users()] if sketch else []))
     more = [USER_SKETCH] if sketch else []
-    both = users.select(*columns, *more).unionByName(
-        _states(log).select(*columns), allowMissingColumns=sketch)
+    known = F.count("user_id") == F.sum("unique_users")
+    states = _states(log).groupBy(*_DATED_KEY).agg(
+        *[F.sum(name).alias(name) for name in MEASURES], F.max("created_at").alias("created_at"),
+        *([F.when(known, sketch_users()).alias(USER_SKETCH)] if sketch else []))
+    both = users.select(*columns, *more).unionByName(states.select(*columns, *more))
     return both.withColumn("total_revenue", to_cents(F.col("total_revenue")))
 
 

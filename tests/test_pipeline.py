@@ -477,6 +477,84 @@ def test_two_level_counts_equal_batch_once_windows_have_closed(spark, topic, tmp
     assert log.groupBy(*KEY).count().filter("count > 1").count() == 0
 
 
+def state_rows(spark, out):
+    return spark.read.format("statestore").load(f"{out}/checkpoints/aggregate_log").count()
+
+
+def test_update_mode_equals_batch_and_its_state_expires(spark, topic, tmp_path, std, expected):
+    folder, send = topic
+    send(4, 5, 6, 7)
+    run(spark, folder, tmp_path, distinct="update", watermark="6 hours")
+    assert plain(em.latest_aggregates(log_of(spark, tmp_path))) == expected
+    users = em.clean_events(std).select("user_id", "event_type", "country").distinct().count()
+    held = state_rows(spark, tmp_path)
+    assert 0 < held < users  # that is about one window's; there were five
+    sentinel = {"user_id": "z", "event_type": "search", "timestamp": "2100-01-01T00:00:00"}
+    send(json.dumps(sentinel))
+    run(spark, folder, tmp_path, distinct="update", watermark="6 hours")
+    assert state_rows(spark, tmp_path) == 1
+
+
+def test_update_mode_counts_each_state_once(spark, topic, tmp_path, expected):
+    folder, send = topic
+    send(0, 1, 2, 3)  # these mix all times, so users' states change in every micro-batch
+    run(spark, folder, tmp_path, distinct="update", watermark="60 days")
+    log = log_of(spark, tmp_path)
+    assert log.groupBy(*KEY, "user_id").count().filter("count > 1").count() > 0
+    assert plain(em.latest_aggregates(log)) == expected
+    em.compact_aggregate_log(log, f"{tmp_path}/compacted")
+    compacted = em.read_aggregate_log(spark, f"{tmp_path}/compacted")
+    assert compacted.count() == log.select(*KEY, "user_id").distinct().count()
+    assert plain(em.latest_aggregates(compacted)) == expected
+    counts = em.latest_aggregates(log, sketch=True).filter("user_sketch IS NULL").count()
+    assert counts == 0  # users' states know the users
+
+
+def test_update_mode_drops_what_is_later_than_the_watermark(spark, topic, tmp_path):
+    folder, send = topic
+    for i, number in enumerate([1, 9, 10, 1]):
+        send(json.dumps({"user_id": f"u{i}", "event_type": "search",
+                         "timestamp": f"2024-06-{number:02d}T00:00:00"}))
+    run(spark, folder, tmp_path, distinct="update", watermark="1 day")
+    rows = em.latest_aggregates(log_of(spark, tmp_path))
+    assert rows.agg(F.sum("event_count"), F.sum("unique_users")).first() == (3, 3)
+
+
+def test_open_windows_complete_the_log(spark, topic, tmp_path, expected):
+    folder, send = topic
+    log, checkpoint = f"{tmp_path}/aggregate_log", f"{tmp_path}/checkpoints/aggregate_log"
+    assert em.open_windows(spark, checkpoint).count() == 0
+    send(4, 5, 6, 7)
+    run(spark, folder, tmp_path, distinct="two_level", watermark="6 hours")
+    closed = em.latest_aggregates(log_of(spark, tmp_path)).count()
+    still_open = em.open_windows(spark, checkpoint)
+    assert closed and still_open.count() and closed + still_open.count() == len(expected)
+    assert plain(em.windows_so_far(spark, log, checkpoint)) == expected
+    # As of the first micro-batch: only the first slice, of which nothing had closed.
+    first = em.prepare_events(spark.read.text(f"{folder}/000.txt"))
+    assert rows_of(em.open_windows(spark, checkpoint, 0)) == plain(
+        em.window_aggregations(first, LONG))
+    # What the stream wrote after the batch whose state is read does not count twice.
+    more = em.read_aggregate_log(spark, log).filter("batch_id >= 0").drop("batch_id")
+    more.write.mode("append").partitionBy("window_date").parquet(f"{tmp_path}/later")
+    ahead = spark.read.parquet(f"{tmp_path}/later").withColumn("batch_id", F.lit(99))
+    ahead.write.mode("append").partitionBy("window_date", "batch_id").parquet(log)
+    assert plain(em.windows_so_far(spark, log, checkpoint)) == expected
+
+
+def test_windows_without_users_and_amounts_are_read_from_state(spark, topic, tmp_path):
+    folder, send = topic
+    events = [{"user_id": u, "event_type": "search", "timestamp": "2024-06-01T00:00:00",
+               "amount": a} for u, a in (("a", None), ("a", None), ("b", None))]
+    send("\n".join(map(json.dumps, events)))
+    run(spark, folder, tmp_path, distinct="two_level", watermark="1 day")
+    row = em.open_windows(spark, f"{tmp_path}/checkpoints/aggregate_log").first()
+    assert (row["event_count"], row["unique_users"], row["total_revenue"]) == (3, 2, None)
+    run(spark, folder, tmp_path / "other", distinct="approx")
+    with pytest.raises(ValueError, match="two_level"):
+        em.open_windows(spark, f"{tmp_path}/other/checkpoints/aggregate_log")
+
+
 def test_a_watermark_drops_late_events_and_none_keeps_them(spark, topic, tmp_path):
     folder, send = topic
     day = "2024-06-{:02d}T00:00:00"
@@ -521,6 +599,8 @@ def test_streams_refuse_what_they_cannot_do(spark, topic):
         em.window_aggregations(stream, distinct="exact")
     with pytest.raises(ValueError, match="watermark"):
         em.window_aggregations(stream, distinct="two_level")
+    with pytest.raises(ValueError, match="watermark"):
+        em.window_aggregations(stream, distinct="update")
     with pytest.raises(ValueError, match="checkpoint"):
         em.write_event_lake(stream, "unused")
 
