@@ -9,9 +9,10 @@
     sixteen times as many in each round, until every member of another component has been compared
     with every other. Links found on the way join components, and members of one component need
     no further comparison; so a group of thousands of near copies takes time in proportion to its
-    size, without a cap on the size of a bucket or the number of partners. Only a bucket of texts
-    that are alike but never enough to be linked has all its sketches compared; such pairs are
-    compared inside the join and give no rows.
+    size, without a cap on the size of a bucket or the number of partners. What is still open after
+    sixteen leaders are texts that are alike, but mostly not enough to be linked. Their buckets are
+    replaced by finer ones: texts that share one of their rarest shingles, as all linked ones do.
+    These are compared in the same rounds.
 4.  A pair with close sketches is a candidate; the full sets decide.
 
 With 25 bands of 5 samples a pair with a similarity of 0.85 shares no band with a probability of
@@ -20,6 +21,8 @@ With 25 bands of 5 samples a pair with a similarity of 0.85 shares no band with
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -209,22 +212,9 @@ def _settled(components: DataFrame, links: DataFrame) -> DataFrame:
 
 def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """id and component of the classes that have links."""
-    spark = classes.sparkSession
     banded = classes.select(F.col("class_id").alias("id"),
                             F.posexplode("bands").alias("band", "bucket"))
-    several = stored(banded.groupBy("bucket").agg(F.count("*").alias("members"))
-                     .filter("members > 1").select("bucket"))
-    members = stored(banded.join(few(several), "bucket"))
-    # Texts that are alike share many buckets with the same members. The one with the smallest
-    # band is enough: it is the first shared band of all its pairs that another of them has.
-    same = ["members", "ids_a", "ids_b"]
-    kept = (members.groupBy("bucket").agg(
-        F.count("*").alias("members"), F.min("id").alias("first"), F.min("band").alias("lowest"),
-        F.bit_xor(F.xxhash64("id")).alias("ids_a"),
-        F.bit_xor(F.xxhash64(F.lit("member"), "id")).alias("ids_b"))
-        .groupBy(*same).agg(F.min_by(F.struct("bucket", "first"), "lowest").alias("kept"))
-        .select("kept.bucket", "kept.first", "members"))
-    members = stored(members.join(few(stored(kept)), "bucket"))
+    members = _buckets(banded)
     ids = stored(members.select("id").distinct())
     # For telling the first shared band, 32 bits of each band's hash are enough.
     short = F.transform("bands", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int"))
@@ -233,38 +223,106 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
         F.col("n_shingles").alias("n")), "id", ids))
     sets = stored(map_texts(by_ids(docs, "doc_id", ids), _sets,
                             "id bigint, shingles array<bigint>"))
-    known = few(known)
-    components = spark.createDataFrame([], "id bigint, component bigint")
-    links = None
-    most = members.agg(F.max("members")).first()[0] or 0
-    share = 0  # leaders of a bucket so far, 0 at first: only its smallest id
-    while most:
-        labelled = members.join(few(components), "id", "left").withColumn(
-            "component", F.coalesce("component", "id"))
-        if share == 0:
-            pending, leaders = labelled, labelled.filter("id = first")
-        else:
-            open_buckets = labelled.groupBy("bucket").agg(
-                F.min("component").alias("low"), F.max("component").alias("high")
-            ).filter("low <> high").select("bucket")
-            pending = stored(labelled.join(few(stored(open_buckets)), "bucket", "left_semi"))
-            if pending.isEmpty():
+    state = _Links(classes.sparkSession.createDataFrame([], "id bigint, component bigint"), None,
+                   few(known), sets, percent)
+    left = state.compare(members, _first_shared_band(), most_rounds=2)
+    if left is not None:
+        state.compare(_buckets(_rare_shingles(left, sets, percent)), F.lit(True))
+    return state.components if state.links is None else _settled(state.components, state.links)
+
+
+def _buckets(rows: DataFrame) -> DataFrame:
+    """The stored rows (id, band, bucket) of buckets with several members, their number and smallest id.
+
+    Texts that are alike share many buckets with the same members. The one with the smallest band
+    is enough: it is the first shared band of all its pairs that another of them has.
+    """
+    several = stored(rows.groupBy("bucket").agg(F.count("*").alias("members"))
+                     .filter("members > 1").select("bucket"))
+    members = stored(rows.join(few(several), "bucket"))
+    # Sums rather than exclusive ors: an id may be there twice, and would cancel itself out.
+    same = ["members", "first", "last", "ids_a", "ids_b"]
+    kept = (members.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min("id").alias("first"), F.max("id").alias("last"),
+        F.min("band").alias("lowest"), F.sum(F.shiftright(F.xxhash64("id"), 32)).alias("ids_a"),
+        F.sum(F.shiftright(F.xxhash64(F.lit("member"), "id"), 32)).alias("ids_b"))
+        .groupBy(*same).agg(F.min_by("bucket", "lowest").alias("bucket"))
+        .select("bucket", "first", "members"))
+    return stored(members.join(few(stored(kept)), "bucket"))
+
+
+def _rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """id and, as band and bucket, the rarest shingles of each member's set.
+
+    Of n shingles a linked text lacks at most n less `percent` of them, rounded up. If both sets are
+    put in one order, so many of the first ones and one more have a shingle in common, or the texts are
+    not linked. Rare shingles come first in that order, and those that only one member has need not be
+    kept: what texts that are merely alike have in common then plays no part. Counts are those
+    among the members.
+    """
+    ids = members.select("id").distinct()
+    every = by_ids(sets, "id", ids).select(
+        "id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    several = stored(every.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1"))
+    common = every.join(few(several), "shingle").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("common"))
+    needed = F.ceil(F.col("n") * percent / 100)
+    first = F.slice("common", 1, F.greatest(F.size("common") - needed + 1, F.lit(0)).cast("int"))
+    shingle = common.select("id", F.explode(first).alias("of"))
+    return stored(shingle.select("id", F.col("of.shingle").alias("band"),
+                                 F.col("of.shingle").alias("bucket")))
+
+
+@dataclass
+class _Links:
+    """What is known of the classes, and the links and components found so far."""
+
+    components: DataFrame
+    links: DataFrame | None
+    known: DataFrame
+    sets: DataFrame
+    percent: int
+
+    def compare(self, members: DataFrame, once: F.Column,
+                most_rounds: int | None = None) -> DataFrame | None:
+        """Compare the members of each bucket with its leaders, round by round.
+
+        Of the pairs, those that fulfil `once`. Returns the members of buckets that are still open
+        after so many rounds, if any.
+        """
+        most = members.agg(F.max("members")).first()[0] or 0
+        share, rounds = 0, 0  # leaders of a bucket so far, 0 at first: only its smallest id
+        while most:
+            labelled = members.join(few(self.components), "id", "left").withColumn(
+                "component", F.coalesce("component", "id"))
+            if share == 0:
+                pending, leaders = labelled, labelled.filter("id = first")
+            else:
+                # All pairs of the smaller buckets have been compared by now.
+                open_buckets = labelled.filter(F.col("members") > share // ROUND_FACTOR).groupBy(
+                    "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")
+                                  ).filter("low <> high").select("bucket")
+                pending = stored(labelled.join(few(stored(open_buckets)), "bucket", "left_semi"))
+                if pending.isEmpty():
+                    break
+                if rounds == most_rounds:
+                    return pending
+                turn = _place("bucket", "id") * F.col("members")
+                earlier = share // ROUND_FACTOR if share > ROUND_FACTOR else 0
+                leaders = pending.filter((turn < share) & (turn >= earlier))
+            near = (_sided(leaders.join(self.known, "id"), "a")
+                    .join(_sided(pending.join(self.known, "id"), "b").drop("band"), "bucket")
+                    .filter((F.col("of_a") != F.col("of_b")) & once & _close(self.percent))
+                    .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            found = stored(_confirmed(stored(near), self.sets, self.percent))
+            self.links = found if self.links is None else self.links.unionByName(found)
+            if not found.isEmpty():
+                self.components = _relabelled(self.components, self.links)
+            if share >= most:
                 break
-            turn = _place("bucket", "id") * F.col("members")
-            earlier = share // ROUND_FACTOR if share > ROUND_FACTOR else 0
-            leaders = pending.filter((turn < share) & (turn >= earlier))
-        near = (_sided(leaders.join(known, "id"), "a")
-                .join(_sided(pending.join(known, "id"), "b").drop("band"), "bucket")
-                .filter((F.col("of_a") != F.col("of_b")) & _first_shared_band() & _close(percent))
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        found = stored(_confirmed(stored(near), sets, percent))
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            components = _relabelled(components, links)
-        if share >= most:
-            break
-        share = ROUND_FACTOR if share == 0 else share * ROUND_FACTOR
-    return components if links is None else _settled(components, links)
+            share = ROUND_FACTOR if share == 0 else share * ROUND_FACTOR
+            rounds += 1
+        return None
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

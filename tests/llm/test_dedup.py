@@ -6,6 +6,7 @@ import re
 import pytest
 
 from eventmetrics.llm import common, queries
+from eventmetrics.llm import near_dedup as near
 from eventmetrics.llm import exact_dedup as exact
 from eventmetrics.llm.common import by_ids
 from eventmetrics.llm.components import connected_components
@@ -178,6 +179,36 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert kept == {i for i, c in expected.items() if i == c}
 
 
+def alike(n, words, changed, seed=1):
+    """Texts that are alike: a common text, of which each has changed a run of words."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    texts = {}
+    for i in range(n):
+        own, at = list(base), draw.randrange(words - changed)
+        own[at:at + changed] = [f"x{draw.randrange(10 ** 6)}" for _ in range(changed)]
+        texts[i] = " ".join(own)
+    return texts
+
+
+def test_links_within_open_buckets_equal_brute_force(spark, monkeypatch):
+    texts = alike(150, 100, 14)
+    for i in range(0, 60, 3):  # near copies of some
+        words = texts[i].split()
+        words[-1 if i % 2 else 0] = "changed"
+        texts[1000 + i] = " ".join(words)
+    refined = []
+    rare = near._rare_shingles
+    monkeypatch.setattr(near, "_rare_shingles", lambda m, s, p: refined.append(rare(m, s, p)) or refined[-1])
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(df).collect()}
+    expected = brute_force(texts)
+    assert found == expected and len(set(expected.values())) > 50
+    # Of two texts' 6,000 pairs only some share a rare shingle: far fewer than all.
+    rows = refined[0].groupBy("bucket").count().selectExpr("sum(count * (count - 1)) / 2").first()[0]
+    assert len(refined) == 1 and rows < 150 * 149 / 2
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     found = {}
     for r in near_duplicates(odd).collect():
