@@ -225,9 +225,15 @@ def _link_classes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFram
                             "id bigint, shingles array<bigint>"))
     state = _Links(classes.sparkSession.createDataFrame([], "id bigint, component bigint"), None,
                    few(known), sets, percent)
-    left = state.compare(members, _first_shared_band(), most_rounds=2)
+    left = state.compare(members, _first_shared_band() & _close(percent), most_rounds=2)
     if left is not None:
-        state.compare(_buckets(_rare_shingles(left, sets, percent)), F.lit(True))
+        # Near copies have one name from here on, so that only others are compared.
+        state.components = stored(_settled(state.components, state.links))
+        left = _still_open(members, state.components, ROUND_FACTOR)
+        rare = _rare_shingles(left, sets, percent)
+        state.known = few(stored(known.drop("bands").join(few(rare), ["id", "n"])))
+        state.compare(_buckets(rare.select("id", F.explode("bands").alias("bucket")).withColumn(
+            "band", F.col("bucket"))), _close(percent) & _first_shared_shingle())
     return state.components if state.links is None else _settled(state.components, state.links)
 
 
@@ -252,7 +258,7 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """id and, as band and bucket, the rarest shingles of each member's set.
+    """id, n and, as `bands`, the rarest shingles of each member's set, which has n; stored.
 
     Of n shingles a linked text lacks at most n less `percent` of them, rounded up. If both sets are
     put in one order, so many of the first ones and one more have a shingle in common, or the texts are
@@ -268,9 +274,27 @@ def _rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("common"))
     needed = F.ceil(F.col("n") * percent / 100)
     first = F.slice("common", 1, F.greatest(F.size("common") - needed + 1, F.lit(0)).cast("int"))
-    shingle = common.select("id", F.explode(first).alias("of"))
-    return stored(shingle.select("id", F.col("of.shingle").alias("band"),
-                                 F.col("of.shingle").alias("bucket")))
+    return stored(common.select("id", F.col("n").cast("bigint").alias("n"),
+                                F.transform(first, lambda x: x["shingle"]).alias("bands")))
+
+
+def _first_shared_shingle() -> F.Column:
+    """Whether this bucket's is the first rare shingle that the pair shares."""
+    return F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))
+
+
+def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
+    return members.join(few(components), "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
+
+
+def _still_open(members: DataFrame, components: DataFrame, more_than: int) -> DataFrame:
+    """The stored members, with components, of larger buckets that have several components."""
+    labelled = _labelled(members, components)
+    several = labelled.filter(F.col("members") > more_than).groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).filter("low <> high").select("bucket")
+    return stored(labelled.join(few(stored(several)), "bucket", "left_semi"))
 
 
 @dataclass
@@ -283,26 +307,22 @@ class _Links:
     sets: DataFrame
     percent: int
 
-    def compare(self, members: DataFrame, once: F.Column,
+    def compare(self, members: DataFrame, condition: F.Column,
                 most_rounds: int | None = None) -> DataFrame | None:
         """Compare the members of each bucket with its leaders, round by round.
 
-        Of the pairs, those that fulfil `once`. Returns the members of buckets that are still open
+        Pairs that fulfil `condition` are candidates. Returns the members of buckets that are still open
         after so many rounds, if any.
         """
         most = members.agg(F.max("members")).first()[0] or 0
         share, rounds = 0, 0  # leaders of a bucket so far, 0 at first: only its smallest id
         while most:
-            labelled = members.join(few(self.components), "id", "left").withColumn(
-                "component", F.coalesce("component", "id"))
             if share == 0:
-                pending, leaders = labelled, labelled.filter("id = first")
+                pending = _labelled(members, self.components)
+                leaders = pending.filter("id = first")
             else:
                 # All pairs of the smaller buckets have been compared by now.
-                open_buckets = labelled.filter(F.col("members") > share // ROUND_FACTOR).groupBy(
-                    "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")
-                                  ).filter("low <> high").select("bucket")
-                pending = stored(labelled.join(few(stored(open_buckets)), "bucket", "left_semi"))
+                pending = _still_open(members, self.components, share // ROUND_FACTOR)
                 if pending.isEmpty():
                     break
                 if rounds == most_rounds:
@@ -312,7 +332,7 @@ class _Links:
                 leaders = pending.filter((turn < share) & (turn >= earlier))
             near = (_sided(leaders.join(self.known, "id"), "a")
                     .join(_sided(pending.join(self.known, "id"), "b").drop("band"), "bucket")
-                    .filter((F.col("of_a") != F.col("of_b")) & once & _close(self.percent))
+                    .filter((F.col("of_a") != F.col("of_b")) & condition)
                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
             found = stored(_confirmed(stored(near), self.sets, self.percent))
             self.links = found if self.links is None else self.links.unionByName(found)
