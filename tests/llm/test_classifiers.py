@@ -140,3 +140,17 @@ def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, table):
     kept = drop_toxic(docs.unionByName(more), labels)
     assert [r["text"] for r in kept.filter(f"doc_id = {10**7}").collect()] == [text]
     assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fitting_takes_few_jobs(spark, table):
+    # A job for each level of each tree filled the driver's memory, run after run.
+    docs, labels = table("documents", "sf0.01"), table("labels", "sf0.01")
+    context = spark.sparkContext
+    context.setJobGroup("toxicity in few jobs", "counted")
+    try:
+        drop_toxic(docs, labels)
+        jobs = context.statusTracker().getJobIdsForGroup("toxicity in few jobs")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert 0 < len(jobs) < 50
