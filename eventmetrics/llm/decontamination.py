@@ -13,6 +13,8 @@ punctuation play no part.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,14 +78,24 @@ def _item_words(batch: pa.RecordBatch):
                "item_words": lists(block.hashes.view(np.int64), block.counts)}
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """The fixed-size bitmap of the passages' hashes; put together in parts by Spark."""
+def _packed(batch: pa.RecordBatch):
+    yield {"part": batch.column(0),
+           "bits": [zlib.compress(x.as_buffer(), 1) for x in batch.column(1)]}
+
+
+def _bitmap_parts(seeds: DataFrame) -> DataFrame:
+    """The bitmap in at most FILTER_BITS / _ROW_BITS rows, packed: most bits of most parts are zeros."""
     bit = F.col("seed").bitwiseAND(FILTER_BITS - 1)
     parts = seeds.groupBy(F.shiftright(bit, 15).alias("part")).agg(
         F.bitmap_construct_agg(bit.bitwiseAND(_ROW_BITS - 1)).alias("bits"))
+    return map_texts(parts, _packed, "part bigint, bits binary")
+
+
+def _bitmap(seeds: DataFrame) -> np.ndarray:
+    """The fixed-size bitmap of the passages' hashes; put together in parts by Spark."""
     out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for part, bits in parts.toLocalIterator():  # at most FILTER_BITS / _ROW_BITS rows
-        at = part * (_ROW_BITS // 8)
+    for part, packed in _bitmap_parts(seeds).toLocalIterator():
+        at, bits = part * (_ROW_BITS // 8), zlib.decompress(packed)
         out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 

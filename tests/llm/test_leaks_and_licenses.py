@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 
-from eventmetrics.llm import queries
+from eventmetrics.llm import decontamination, queries
 from eventmetrics.llm.decontamination import (
     benchmark_overlaps,
     best_stretch,
@@ -24,6 +24,16 @@ def changed(text, every, first):
     return " ".join("zzz" if i % every == first else w for i, w in enumerate(words))
 
 
+def test_the_bitmap_reaches_the_driver_packed(spark):
+    # As 16 MB of rows it made the driver's heap grow by more than a hundred.
+    seeds = spark.range(20_000).selectExpr("id", "xxhash64(id) AS seed", "id AS place")
+    wanted = {r["seed"] & (decontamination.FILTER_BITS - 1) for r in seeds.collect()}
+    bits = np.unpackbits(decontamination._bitmap(seeds), bitorder="little")
+    assert set(np.flatnonzero(bits).tolist()) == wanted
+    parts = decontamination._bitmap_parts(seeds).collect()
+    assert len(parts) > 4000 and sum(len(r["bits"]) for r in parts) < 1 << 20
+
+
 def test_passages_are_found_however_they_were_changed(spark, table):
     items = table("benchmark").collect()
     clean = [r["text"] for r in table("documents").filter("doc_id < 40").collect()]
