@@ -230,10 +230,10 @@ def blocks(column: pa.Array, separators: np.ndarray = SPACES,
     without spaces is a word.
     """
     data, offsets = column_bytes(column)
-    if unicode:
-        data = without_punctuation(data)
     for first, end in row_blocks(offsets):
         part = data[offsets[first]:offsets[end]]
+        if unicode:  # a block at a time: its copies of the bytes are small
+            part = without_punctuation(part)
         bounds = offsets[first:end + 1] - offsets[first]
         if len(part) > BLOCK_BYTES:
             starts, ends, hashes = _long_row(part, separators, codes, unicode)

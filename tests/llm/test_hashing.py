@@ -1,6 +1,7 @@
 """The array kernel against Python's own words."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -62,3 +63,16 @@ def test_a_long_text_is_read_in_pieces():
     assert [b.counts.tolist() for b in blocks] == [[1], [800_002], [1]]
     assert blocks[1].hashes[0] == hashing.hash_words(["ab"])[0]
     assert blocks[1].hashes[-2:].tolist() == hashing.hash_words(["x" * 1_500_000, "end"]).tolist()
+
+
+def test_unicode_words_take_memory_for_a_block_not_the_batch():
+    column = pa.array(["«été» — über… " * 2000] * 1000, pa.large_string())
+    size = column.nbytes
+    tracemalloc.start()
+    try:
+        words_found = sum(len(b.hashes) for b in hashing.blocks(column, hashing.PUNCTUATION, unicode=True))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert words_found == 2 * 2000 * 1000
+    assert peak < 2 * size + (64 << 20)
